@@ -12,7 +12,28 @@ from pyspark.sql import types as T
 EPS = 1e-8  # fixed value: the guard added to every denominator
 INF = float("inf")
 
-NUMERIC = (T.NumericType,)
+
+# Wide projections are written as SQL text: building hundreds of columns call
+# by call costs seconds on the driver.
+
+
+def num(v: float) -> str:
+    """A double literal."""
+    return f"({float(v)!r}D)"
+
+
+def name(c: str) -> str:
+    """A quoted column name."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def text(v: str) -> str:
+    """A string literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def finite_sql(x: str, otherwise: str = "NULL") -> str:
+    return f"if(abs({x}) < double('Infinity'), {x}, {otherwise})"
 
 
 def is_numeric(df: DataFrame, name: str) -> bool:
@@ -49,21 +70,11 @@ def known(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(c), c) if is_fractional(df, name) else c
 
 
-def ratio(a: Column, b: Column, eps: float = EPS) -> Column:
-    """``a / (b + eps)``; NULL where the guarded denominator is exactly zero."""
-    return F.try_divide(a.cast("double"), b.cast("double") + F.lit(eps))
-
-
 def safe_share(part: Column, whole: Column) -> Column:
     """``part / whole`` with 0 where it is undefined."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def shifted(c: Column, low: float) -> Column:
-    """The value moved so that the fitted minimum becomes 1."""
-    return c - F.lit(float(low)) + F.lit(1.0)
-
-
 def hash60(seed: int | str, *keys: Column) -> Column:
     """A 60-bit position in a random order that any engine with md5 can repeat."""
     text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
@@ -90,11 +101,6 @@ def best_index(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
-def rows_from_structs(structs: Sequence[Column]) -> Column:
-    """Turn a handful of structs of one row into rows."""
-    return F.inline(F.array(*structs))
-
-
 def vector_of(features: Sequence[str]) -> Column:
     """The features as one array column."""
     return F.array(*[F.col(f"`{c}`").cast("double") for c in features])

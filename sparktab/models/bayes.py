@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import best_index
+from sparktab.functions.expressions import best_index, name, num
 
 SMOOTHING = 1e-9  # fixed value: share of the largest variance added to every variance
 
@@ -28,11 +28,11 @@ class GaussianNBModel:
         for c in self.classes:
             const = math.log(self.prior[c])
             const -= 0.5 * sum(math.log(2.0 * math.pi * v) for v in self.var[c])
-            terms = F.lit(0.0)
-            for name, m, v in zip(self.features, self.mean[c], self.var[c]):
-                gap = F.col(f"`{name}`").cast("double") - F.lit(m)
-                terms = terms + gap * gap / F.lit(2.0 * v)
-            out.append(F.lit(const) - terms)
+            gaps = [
+                f"pow(double({name(f)}) - {num(m)}, 2) / {num(2.0 * v)}"
+                for f, m, v in zip(self.features, self.mean[c], self.var[c])
+            ]
+            out.append(F.expr(f"{num(const)} - ({' + '.join(gaps)})"))
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -6,13 +6,14 @@ columns of one row and combining them needs no join.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import best_index, safe_share
+from sparktab.functions.expressions import best_index, name, num, safe_share
 from sparktab.models.linear import logreg
 from sparktab.session import cached
 
@@ -134,28 +135,42 @@ def triple_grid(first=TRIPLE["first"], second=TRIPLE["second"], threshold: float
     return [(w, threshold) for w in pairs if w[2] > 0]
 
 
-def _blend(scores: Sequence[str], weights: Sequence[float]) -> Column:
-    terms = [F.lit(float(w)) * F.col(s) for s, w in zip(scores, weights)]
-    return sum(terms[1:], terms[0])
+def _blend(scores: Sequence[str], weights: Sequence[float]) -> str:
+    return " + ".join(f"{num(w)} * {name(s)}" for s, w in zip(scores, weights))
 
 
 def blend_search(df: DataFrame, scores: Sequence[str], label: str, grid: Sequence[tuple]) -> DataFrame:
     """F1 of every blend of the grid from one pass over the table.
 
-    Each combination is a conditional count, so rows are neither multiplied nor
-    shuffled. Returns ``(ordinal, w1.., threshold, f1)``.
+    Tasks count the hits of all combinations batch by batch and hand on one
+    short row per combination. Returns ``(ordinal, w1.., threshold, f1)``.
     """
-    y = F.col(label) == 1
-    aggs = [F.count_if(y).alias("p")]
-    for i, (w, t) in enumerate(grid):
-        guess = _blend(scores, w) > F.lit(float(t))
-        aggs += [F.count_if(guess & y).alias(f"tp{i}"), F.count_if(guess).alias(f"g{i}")]
-    cells = []
-    for i, (w, t) in enumerate(grid):
-        f1 = safe_share(F.lit(2) * F.col(f"tp{i}"), F.col(f"g{i}") + F.col("p"))
-        weights = [F.lit(float(v)).alias(f"w{j}") for j, v in enumerate(w, 1)]
-        cells.append(F.struct(F.lit(i).alias("ordinal"), *weights, F.lit(float(t)).alias("threshold"), f1.alias("f1")))
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+    cols = [f"s{j}" for j in range(len(scores))]
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tp, g = np.zeros(len(grid), dtype="int64"), np.zeros(len(grid), dtype="int64")
+        for batch in batches:
+            y, parts = batch["y"].to_numpy(dtype=bool), [batch[c].to_numpy(dtype="float64") for c in cols]
+            for i, (w, t) in enumerate(grid):
+                mixed = w[0] * parts[0]
+                for weight, part in zip(w[1:], parts[1:]):
+                    mixed = mixed + weight * part
+                guess = mixed > t
+                g[i] += guess.sum()
+                tp[i] += (guess & y).sum()
+        yield pd.DataFrame({"ordinal": np.arange(len(grid), dtype="int32"), "tp": tp, "g": g})
+
+    rows = df.select(F.coalesce(F.col(label) == 1, F.lit(False)).alias("y"), *[F.col(s).cast("double").alias(c) for s, c in zip(scores, cols)])
+    counts = rows.mapInPandas(count, "ordinal int, tp bigint, g bigint").groupBy("ordinal").agg(F.sum("tp").alias("tp"), F.sum("g").alias("g"))
+    positives = df.select(F.count_if(F.col(label) == 1)).scalar()
+    parts = [
+        (i, *[float(v) for v in w], float(t)) for i, (w, t) in enumerate(grid)
+    ]
+    names = ["ordinal", *[f"w{j}" for j in range(1, len(scores) + 1)], "threshold"]
+    types = ["int", *["double"] * (len(scores) + 1)]
+    plan = df.sparkSession.createDataFrame(parts, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
+    f1 = safe_share(F.lit(2) * F.col("tp"), F.col("g") + positives)
+    return plan.join(counts, "ordinal").select(*names, f1.alias("f1"))
 
 
 def best_blend(results: DataFrame) -> DataFrame:
@@ -164,7 +179,7 @@ def best_blend(results: DataFrame) -> DataFrame:
 
 
 def blend_predict(df: DataFrame, scores: Sequence[str], weights: Sequence[float], threshold: float, out: str = "prediction") -> DataFrame:
-    return df.withColumn(out, (_blend(scores, weights) > F.lit(float(threshold))).cast("int"))
+    return df.withColumn(out, F.expr(f"int({_blend(scores, weights)} > {num(threshold)})"))
 
 
 def select_best(results: DataFrame) -> DataFrame:

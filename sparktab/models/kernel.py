@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import finite
+from sparktab.functions.expressions import finite, name
 from sparktab.models.linear import linear_svm, logreg
 from sparktab.operators.features import ScalerModel, fit_scaler
 
@@ -97,8 +97,8 @@ class KernelSVM:
             out = df.withColumn("__v", array_to_vector(F.array(*cols)))
             out = PolynomialExpansion(degree=self.degree, inputCol="__v", outputCol="__p").transform(out)
             out = out.withColumn("__map", vector_to_array("__p"))
-        parts = [F.col("__map")[i].alias(n) for i, n in enumerate(self.names())]
-        return out.select(*df.columns, *parts)
+        parts = [f"__map[{i}] AS {n}" for i, n in enumerate(self.names())]
+        return out.selectExpr(*[name(c) for c in df.columns], *parts)
 
     def fit(self, df: DataFrame) -> KernelModel:
         scaler = fit_scaler(df, self.features, self.scale)

@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparktab.functions.expressions import name
 from sparktab.operators.features import fit_scaler
 from sparktab.operators.split import per_class
 
@@ -51,8 +52,8 @@ class Fitted:
 
 
 def _assembled(df: DataFrame, features: Sequence[str], scaler) -> DataFrame:
-    cols = [scaler.value(c) if scaler else F.col(f"`{c}`").cast("double") for c in features]
-    return df.withColumn(VECTOR, array_to_vector(F.array(*cols)))
+    cols = [scaler.sql(c) if scaler else f"double({name(c)})" for c in features]
+    return df.withColumn(VECTOR, array_to_vector(F.expr(f"array({', '.join(cols)})")))
 
 
 @dataclass(frozen=True)

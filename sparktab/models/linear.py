@@ -29,11 +29,11 @@ def logreg(
 
 def linear_svm(
     features: Sequence[str], label: str, C: float = 1.0, max_iter: int = 2000,
-    scale: str | None = "standard", weighting: str | None = "balanced", parallelism: int = 4,
+    scale: str | None = "standard", weighting: str | None = "balanced", parallelism: int = 4, tol: float = 1e-4,
 ) -> Learner:
     """Hinge loss; more than two classes are trained one against the rest."""
     def make(c: FitContext):
-        svm = columns_of(LinearSVC, weightCol=WEIGHT, regParam=1.0 / (C * c.total_weight), maxIter=max_iter, standardization=False)
+        svm = columns_of(LinearSVC, weightCol=WEIGHT, regParam=1.0 / (C * c.total_weight), maxIter=max_iter, tol=tol, standardization=False)
         if c.classes <= 2:
             return svm
         return OneVsRest(classifier=svm, featuresCol=VECTOR, labelCol="__label", weightCol=WEIGHT, parallelism=parallelism)

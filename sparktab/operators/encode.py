@@ -5,26 +5,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparktab.functions.expressions import name, num, text
 from sparktab.operators.clean import map_values
 
 MISSING = "nan"  # fixed value: the name of the level made of missing values
 MAX_LEVELS = 10_000  # levels become columns or literals, so their number must be bounded
-CASE_LEVELS = 64  # up to here a level is found by comparisons, beyond by a map lookup
 
 
-def level_text(name: str) -> Column:
+def level_text(col: str) -> str:
     """The string form a value is encoded by."""
-    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(MISSING))
+    return f"coalesce(cast({name(col)} AS string), {text(MISSING)})"
 
 
 def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Sorted distinct string forms of each column, in one pass over the table."""
     if not cols:
         return {}
-    cells = [F.struct(F.lit(c).alias("feature"), level_text(c).alias("level")) for c in cols]
+    cells = [F.struct(F.lit(c).alias("feature"), F.expr(level_text(c)).alias("level")) for c in cols]
     pairs = df.select(F.inline(F.array(*cells))).distinct()
     rows = pairs.limit(max_levels * len(cols) + 1).collect()
     found: dict[str, list[str]] = {c: [] for c in cols}
@@ -36,22 +36,15 @@ def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS)
     return {c: sorted(v) for c, v in found.items()}
 
 
-def onehot_columns(name: str, levels: Sequence[str]) -> list[tuple[str, Column]]:
+def onehot_columns(col: str, levels: Sequence[str]) -> list[tuple[str, str]]:
     """One 0/1 column per fitted level; an unseen value gives zeros throughout."""
-    text = level_text(name)
-    return [(f"{name}_{v}", F.when(text == F.lit(v), 1.0).otherwise(0.0)) for v in levels]
+    return [(f"{col}_{v}", f"if({level_text(col)} = {text(v)}, 1D, 0D)") for v in levels]
 
 
-def label_code(name: str, levels: Sequence[str], unseen: float = -1.0) -> Column:
+def label_code(col: str, levels: Sequence[str], unseen: float = -1.0) -> str:
     """Position of the value among the sorted levels; ``unseen`` otherwise."""
-    text = level_text(name)
-    if len(levels) <= CASE_LEVELS:
-        code = F.lit(float(unseen))
-        for i, v in reversed(list(enumerate(levels))):
-            code = F.when(text == F.lit(v), float(i)).otherwise(code)
-        return code
-    spot = F.array_position(F.array(*[F.lit(v) for v in levels]), text)
-    return F.when(spot > 0, (spot - 1).cast("double")).otherwise(F.lit(float(unseen)))
+    spot = f"array_position(array({', '.join(text(v) for v in levels)}), {level_text(col)})"
+    return f"if({spot} > 0, double({spot} - 1), {num(unseen)})"
 
 
 @dataclass(frozen=True)
@@ -62,7 +55,7 @@ class LabelCoder:
     classes: tuple[str, ...]
 
     def encode(self, df: DataFrame, out: str) -> DataFrame:
-        return df.withColumn(out, label_code(self.label, self.classes))
+        return df.withColumn(out, F.expr(label_code(self.label, self.classes)))
 
     def decode(self, df: DataFrame, code: str, out: str) -> DataFrame:
         names = F.array(*[F.lit(c) for c in self.classes])

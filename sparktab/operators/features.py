@@ -14,9 +14,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import EPS, finite, finite_or, ratio, shifted
+from sparktab.functions.expressions import EPS, finite_sql, name, num
 from sparktab.operators.clean import infer_roles
 from sparktab.operators.encode import fit_levels, label_code, onehot_columns
+from sparktab.operators.moments import column_moments
 from sparktab.operators.ranking import DIRECT_ROWS, exact_quantiles
 
 BLOCKS = ("linear", "quadratic", "logarithmic", "other", "statistical", "categorical")
@@ -24,15 +25,15 @@ BLOCKS = ("linear", "quadratic", "logarithmic", "other", "statistical", "categor
 # Names and formulas of the health ratios, in output order. Each
 # one is built only if every column it reads exists.
 HEALTH_RATIOS = (
-    ("bmi", "weight_kg / pow(height_cm / 100, 2)", ("weight_kg", "height_cm")),
+    ("bmi", "try_divide(weight_kg, pow(height_cm / 100, 2))", ("weight_kg", "height_cm")),
     ("bp_mean", "(bp_systolic + bp_diastolic) / 2", ("bp_systolic", "bp_diastolic")),
     ("bp_pulse_pressure", "bp_systolic - bp_diastolic", ("bp_systolic", "bp_diastolic")),
-    ("cholesterol_ratio", "hdl_cholesterol / (ldl_cholesterol + 1e-8D)", ("hdl_cholesterol", "ldl_cholesterol")),
-    ("cholesterol_hdl_ratio", "total_cholesterol / (hdl_cholesterol + 1e-8D)", ("total_cholesterol", "hdl_cholesterol")),
+    ("cholesterol_ratio", "try_divide(hdl_cholesterol, ldl_cholesterol + 1e-8D)", ("hdl_cholesterol", "ldl_cholesterol")),
+    ("cholesterol_hdl_ratio", "try_divide(total_cholesterol, hdl_cholesterol + 1e-8D)", ("total_cholesterol", "hdl_cholesterol")),
     ("vision_avg", "(vision_left + vision_right) / 2", ("vision_left", "vision_right")),
     ("vision_diff", "abs(vision_left - vision_right)", ("vision_left", "vision_right")),
     ("hearing_avg", "(hearing_left + hearing_right) / 2", ("hearing_left", "hearing_right")),
-    ("ast_alt_ratio", "ast_enzyme_level / (alt_enzyme_level + 1e-8D)", ("ast_enzyme_level", "alt_enzyme_level")),
+    ("ast_alt_ratio", "try_divide(ast_enzyme_level, alt_enzyme_level + 1e-8D)", ("ast_enzyme_level", "alt_enzyme_level")),
 )
 
 
@@ -51,36 +52,43 @@ class Stats:
 class Feature:
     name: str
     block: str
-    value: Column
+    value: str  # SQL text
 
 
-def domain_features(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]]) -> list[tuple[str, Column]]:
+def domain_features(df: DataFrame, specs: Sequence[tuple[str, str, Sequence[str]]]) -> list[tuple[str, str]]:
     """Named SQL expressions whose input columns all exist."""
     have = set(df.columns)
-    return [(name, F.expr(sql)) for name, sql, needs in specs if set(needs) <= have]
+    return [(label, sql) for label, sql, needs in specs if set(needs) <= have]
 
 
 def fit_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, Stats]:
-    """min, max, mean and std (n-1) of all columns in one aggregation."""
-    if not cols:
-        return {}
-    aggs = [F.count("*").alias("rows")]
-    for i, c in enumerate(cols):
-        x = finite(F.col(f"`{c}`"))
-        aggs += [F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.count(x).alias(f"n{i}")]
-    row = df.agg(*aggs).first()
-    return {
-        c: Stats(row[f"l{i}"], row[f"h{i}"], row[f"m{i}"], row[f"s{i}"], row[f"n{i}"] == row["rows"])
-        for i, c in enumerate(cols)
-    }
+    """min, max, mean and std (n-1) of all columns in one pass."""
+    found = column_moments(df, cols)
+    return {c: Stats(m.low, m.high, m.mean, m.std(1), m.n == m.rows) for c, m in found.items()}
 
 
-def _x(c: str) -> Column:
-    return finite(F.col(f"`{c}`"))
+def _shift(c: str, s: Stats) -> str:
+    """The value moved so that the fitted minimum becomes 1."""
+    return f"({name(c)} - {num(s.low)} + 1D)"
 
 
-def _span(c: str, s: Stats) -> Column:
-    return (_x(c) - F.lit(s.low)) / F.lit(s.high - s.low + EPS)
+def _span(c: str, s: Stats) -> str:
+    return f"({name(c)} - {num(s.low)}) / {num(s.high - s.low + EPS)}"
+
+
+def _away(c: str, s: Stats) -> str:
+    return f"abs({name(c)} - {num(s.mean)})"
+
+
+class _Blocks:
+    """Collects the features of the selected blocks in order."""
+
+    def __init__(self, chosen: Sequence[str]):
+        self.chosen, self.out = set(chosen), []
+
+    def add(self, block: str, label: str, sql: str) -> None:
+        if block in self.chosen:
+            self.out.append(Feature(label, block, sql))
 
 
 def wide_features(df: DataFrame, spec: FeatureSpec, numeric: Sequence[str], stats: Mapping[str, Stats]) -> list[Feature]:
@@ -88,41 +96,37 @@ def wide_features(df: DataFrame, spec: FeatureSpec, numeric: Sequence[str], stat
 
     A conditional feature exists if its condition held when the model was fitted.
     """
-    usable = {c for c in numeric if stats[c].low is not None}
-    out: list[Feature] = []
-
-    def add(block: str, name: str, value: Column) -> None:
-        if block in spec.blocks:
-            out.append(Feature(name, block, value))
-
+    usable = [c for c in numeric if stats[c].low is not None]
+    known = set(usable)
+    blocks = _Blocks(spec.blocks)
+    add = blocks.add
     for c in numeric:
-        add("linear", c, F.col(f"`{c}`").cast("double"))
+        add("linear", c, name(c))
     for c in numeric:
-        add("quadratic", f"{c}_squared", _x(c) * _x(c))
+        add("quadratic", f"{c}_squared", f"{name(c)} * {name(c)}")
     for a, b in combinations(numeric[: spec.max_interact], 2):
-        add("quadratic", f"{a}_{b}_interaction", _x(a) * _x(b))
-    for name, value in domain_features(df, spec.domain):
-        add("quadratic", name, value.cast("double"))
-    for c in [c for c in numeric[: spec.max_log] if c in usable]:
-        moved = shifted(_x(c), stats[c].low)
-        add("logarithmic", f"log_{c}", F.log1p(moved))
+        add("quadratic", f"{a}_{b}_interaction", f"{name(a)} * {name(b)}")
+    for label, sql in domain_features(df, spec.domain):
+        add("quadratic", label, f"double({sql})")
+    for c in [c for c in numeric[: spec.max_log] if c in known]:
+        add("logarithmic", f"log_{c}", f"log1p({_shift(c, stats[c])})")
         if stats[c].complete:
-            add("logarithmic", f"log10_{c}", F.log10(moved))
-    for c in [c for c in numeric[: spec.max_other] if c in usable]:
-        s, size = stats[c], F.abs(shifted(_x(c), stats[c].low))
-        add("other", f"sqrt_{c}", F.sqrt(size))
-        add("other", f"{c}_power_1_5", F.pow(size, F.lit(1.5)))
-        add("other", f"{c}_power_0_5", F.sqrt(size))
+            add("logarithmic", f"log10_{c}", f"log10({_shift(c, stats[c])})")
+    for c in [c for c in numeric[: spec.max_other] if c in known]:
+        s, size = stats[c], f"abs({_shift(c, stats[c])})"
+        add("other", f"sqrt_{c}", f"sqrt({size})")
+        add("other", f"{c}_power_1_5", f"pow({size}, 1.5D)")
+        add("other", f"{c}_power_0_5", f"sqrt({size})")
         if s.std:
-            add("other", f"exp_{c}_normalized", F.exp((_x(c) - F.lit(s.mean)) / F.lit(s.std + EPS) / F.lit(3.0)))
-    for c in [c for c in numeric if c in usable]:
+            add("other", f"exp_{c}_normalized", f"exp(({name(c)} - {num(s.mean)}) / {num(s.std + EPS)} / 3D)")
+    for c in usable:
         s = stats[c]
         if s.high > s.low:
             add("statistical", f"{c}_normalized", _span(c, s))
-        add("statistical", f"{c}_distance_from_mean", F.abs(_x(c) - F.lit(s.mean)))
+        add("statistical", f"{c}_distance_from_mean", _away(c, s))
         if s.std:
-            add("statistical", f"{c}_zscore", (_x(c) - F.lit(s.mean)) / F.lit(s.std))
-    return out
+            add("statistical", f"{c}_zscore", f"({name(c)} - {num(s.mean)}) / {num(s.std)}")
+    return blocks.out
 
 
 def pair_features(spec: FeatureSpec, numeric: Sequence[str], stats: Mapping[str, Stats]) -> list[Feature]:
@@ -133,42 +137,42 @@ def pair_features(spec: FeatureSpec, numeric: Sequence[str], stats: Mapping[str,
     """
     a, b = numeric
     sa, sb = spec.short or (a, b)
+    x, y = name(a), name(b)
     both = ((a, sa), (b, sb))
-    xa, xb = _x(a), _x(b)
-    moved = {c: shifted(_x(c), stats[c].low) for c in (a, b)}
-    out: list[Feature] = []
-
-    def add(block: str, name: str, value: Column) -> None:
-        if block in spec.blocks:
-            out.append(Feature(name, block, value))
+    moved = {c: _shift(c, stats[c]) for c in (a, b)}
+    blocks = _Blocks(spec.blocks)
+    add = blocks.add
 
-    def each(block: str, pattern: str, build) -> None:
+    def each(block: str, pattern: str, sql: str) -> None:
+        """The same formula for both measures: {x} value, {m} shifted value."""
         for c, s in both:
-            add(block, pattern.format(c=c, s=s), build(c))
-
-    each("linear", "{c}", lambda c: F.col(f"`{c}`").cast("double"))
-    each("quadratic", "{c}_squared", lambda c: _x(c) * _x(c))
-    add("quadratic", f"{sa}_{sb}_interaction", xa * xb)
-    add("quadratic", f"{sa}_{sb}_ratio", ratio(xa, xb))
-    add("quadratic", f"{sb}_{sa}_ratio", ratio(xb, xa))
-    add("quadratic", f"{sa}_{sb}_diff", xa - xb)
-    add("quadratic", f"{sa}_{sb}_sum", xa + xb)
-    add("quadratic", f"{sa}_{sb}_abs_diff", F.abs(xa - xb))
-    each("logarithmic", "log_{c}", lambda c: F.log1p(moved[c]))
-    each("logarithmic", "log10_{c}", lambda c: F.log10(moved[c]))
-    each("logarithmic", "log_{s}_squared", lambda c: F.log1p(moved[c] * moved[c]))
-    add("logarithmic", f"log_{sa}_{sb}_interaction", F.log1p(moved[a] * moved[b]))
-    each("other", "sqrt_{c}", lambda c: F.sqrt(F.abs(moved[c])))
-    each("other", "exp_{s}_normalized", lambda c: F.exp(_x(c) / 100.0))
+            add(block, pattern.format(c=c, s=s), sql.format(x=name(c), m=moved[c]))
+
+    each("linear", "{c}", "{x}")
+    each("quadratic", "{c}_squared", "{x} * {x}")
+    add("quadratic", f"{sa}_{sb}_interaction", f"{x} * {y}")
+    add("quadratic", f"{sa}_{sb}_ratio", f"try_divide({x}, {y} + {num(EPS)})")
+    add("quadratic", f"{sb}_{sa}_ratio", f"try_divide({y}, {x} + {num(EPS)})")
+    add("quadratic", f"{sa}_{sb}_diff", f"{x} - {y}")
+    add("quadratic", f"{sa}_{sb}_sum", f"{x} + {y}")
+    add("quadratic", f"{sa}_{sb}_abs_diff", f"abs({x} - {y})")
+    each("logarithmic", "log_{c}", "log1p({m})")
+    each("logarithmic", "log10_{c}", "log10({m})")
+    each("logarithmic", "log_{s}_squared", "log1p({m} * {m})")
+    add("logarithmic", f"log_{sa}_{sb}_interaction", f"log1p({moved[a]} * {moved[b]})")
+    each("other", "sqrt_{c}", "sqrt(abs({m}))")
+    each("other", "exp_{s}_normalized", "exp({x} / 100D)")
     for c, s in both:
-        add("other", f"sin_{s}", F.sin(_x(c) / 100.0))
-        add("other", f"cos_{s}", F.cos(_x(c) / 100.0))
-    each("other", "{s}_power_1_5", lambda c: F.pow(F.abs(moved[c]), F.lit(1.5)))
-    each("other", "{s}_power_0_5", lambda c: F.sqrt(F.abs(moved[c])))
-    each("other", "reciprocal_{s}", lambda c: F.lit(1.0) / (F.abs(_x(c)) + F.lit(EPS)))
-    each("statistical", "{s}_normalized", lambda c: _span(c, stats[c]))
-    each("statistical", "{s}_distance_from_mean", lambda c: F.abs(_x(c) - F.lit(stats[c].mean)))
-    return out
+        add("other", f"sin_{s}", f"sin({name(c)} / 100D)")
+        add("other", f"cos_{s}", f"cos({name(c)} / 100D)")
+    each("other", "{s}_power_1_5", "pow(abs({m}), 1.5D)")
+    each("other", "{s}_power_0_5", "sqrt(abs({m}))")
+    each("other", "reciprocal_{s}", "1D / (abs({x}) + " + num(EPS) + ")")
+    for c, s in both:
+        add("statistical", f"{s}_normalized", _span(c, stats[c]))
+    for c, s in both:
+        add("statistical", f"{s}_distance_from_mean", _away(c, stats[c]))
+    return blocks.out
 
 
 @dataclass(frozen=True)
@@ -178,8 +182,11 @@ class ScalerModel:
     centre: dict[str, float]
     scale: dict[str, float]
 
+    def sql(self, c: str) -> str:
+        return f"(double({name(c)}) - {num(self.centre[c])}) / {num(self.scale[c])}"
+
     def value(self, c: str) -> Column:
-        return (F.col(f"`{c}`").cast("double") - F.lit(self.centre[c])) / F.lit(self.scale[c])
+        return F.expr(self.sql(c))
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: self.value(c) for c in self.centre if c in df.columns})
@@ -196,13 +203,11 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], mode: str | None = "standard"
         found = {r["feature"]: r["q"] for r in exact_quantiles(df, cols, (0.25, 0.5, 0.75), (), limit).collect()}
         pairs = {c: (found[c][1], found[c][2] - found[c][0]) if found.get(c) else (None, None) for c in cols}
     else:
-        aggs = []
-        for i, c in enumerate(cols):
-            x = finite(F.col(f"`{c}`"))
-            centre, scale = (F.avg(x), F.stddev_pop(x)) if mode == "standard" else (F.min(x), F.max(x) - F.min(x))
-            aggs += [centre.alias(f"c{i}"), scale.alias(f"s{i}")]
-        row = df.agg(*aggs).first()
-        pairs = {c: (row[f"c{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+        found = column_moments(df, list(cols))
+        if mode == "standard":
+            pairs = {c: (m.mean, m.std(0)) for c, m in found.items()}
+        else:
+            pairs = {c: (m.low, m.high - m.low if m.n else None) for c, m in found.items()}
     return ScalerModel({c: p[0] or 0.0 for c, p in pairs.items()}, {c: p[1] or 1.0 for c, p in pairs.items()})
 
 
@@ -290,17 +295,21 @@ class FeatureModel:
             fresh = {f.name: f.value for f in self.features(df, fit_stats(df, self.numeric))}
             # shifts keep the fitted minimum; only these features look at the batch
             scoped = [f.name for f in fitted if f.block == "statistical" or f.name.startswith("exp_")]
-            have.update({n: fresh.get(n, F.lit(0.0)) for n in scoped})
-        cols = [have.get(n, F.lit(0.0)).alias(n) for n in self.names or have]
-        return df.select(*[F.col(f"`{c}`") for c in self._carried(df)], *cols)
+            have.update({n: fresh.get(n, "0D") for n in scoped})
+        carried = [name(c) for c in self._carried(df)]
+        needed = {c for _, _, needs in self.spec.domain for c in needs} | set(self.levels)
+        rest = [name(c) for c in df.columns if c in needed - set(self.numeric)]
+        inputs = [finite_sql(f"double({name(c)})") + f" AS {name(c)}" for c in self.numeric]
+        cols = [f"{have.get(n, '0D')} AS {name(n)}" for n in self.names or have]
+        return df.selectExpr(*carried, *rest, *inputs).selectExpr(*carried, *cols)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        raw = self.engineered(df)
-        cols = []
+        """Features scaled with the fitted scaler; what is missing or infinite becomes ``fill``."""
+        raw, cols = self.engineered(df), []
         for n in self.names:
-            value = self.scaler.value(n) if self.scaler and n in self.scaler.centre else F.col(f"`{n}`")
-            cols.append((value if self.spec.fill is None else finite_or(value, self.spec.fill)).alias(n))
-        return raw.select(*[F.col(f"`{c}`") for c in self._carried(df)], *cols)
+            value = self.scaler.sql(n) if self.scaler and n in self.scaler.centre else f"double({name(n)})"
+            cols.append((value if self.spec.fill is None else finite_sql(value, num(self.spec.fill))) + f" AS {name(n)}")
+        return raw.selectExpr(*[name(c) for c in self._carried(df)], *cols)
 
     def summary(self, df: DataFrame) -> DataFrame:
         """Position, name and block of every feature."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from sparktab.functions.expressions import hash60, is_fractional, known, missing
+from sparktab.operators.moments import FEW_COLUMNS, pairwise_corr
 from sparktab.operators.ranking import DIRECT_ROWS, exact_quantiles, largest_group
 from sparktab.session import small_side
 
@@ -148,10 +150,12 @@ def _corr(df: DataFrame, a: str, b: str) -> Column:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, both halves and the diagonal, in long form.
-
-    Only the upper half is computed, in one pass.
-    """
+    """Pearson correlation of every pair, both halves and the diagonal, in long form."""
+    cols = list(cols)
+    if len(cols) > FEW_COLUMNS:
+        table = pairwise_corr(df, cols)
+        rows = [(a, b, None if math.isnan(v) else v) for a, line in zip(cols, table.tolist()) for b, v in zip(cols, line)]
+        return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     aggs = [_corr(df, a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     cells = []
@@ -163,8 +167,13 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def target_corr(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target, highest first."""
-    cells = [F.struct(F.lit(c).alias("feature"), _corr(df, c, target).alias("corr")) for c in cols]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")).orderBy(F.desc("corr"), "feature")
+    if len(cols) > FEW_COLUMNS:
+        table = corr_matrix(df, [*cols, target])
+        out = table.where((F.col("feature_b") == target) & (F.col("feature_a") != target)).select(F.col("feature_a").alias("feature"), "corr")
+    else:
+        cells = [F.struct(F.lit(c).alias("feature"), _corr(df, c, target).alias("corr")) for c in cols]
+        out = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return out.orderBy(F.desc("corr"), "feature")
 
 
 def top_corr(df: DataFrame, cols: Sequence[str], target: str, k: int = 10) -> DataFrame:

@@ -123,7 +123,8 @@ def stratified_bootstrap(
     are ranked.
     """
     spark = df.sparkSession
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    found = df.groupBy(label).count().collect()
+    counts = {r[0]: r[1] for r in sorted(found, key=lambda r: str(r[0]))}
     if n >= sum(counts.values()):
         return df.withColumn("draw", F.lit(None).cast("bigint"))
     bits = max(0, min(20, math.ceil(math.log2(max(counts.values()) / bucket_rows))))
@@ -142,9 +143,7 @@ def stratified_bootstrap(
         owner, size = F.when(inside, i).otherwise(owner), F.when(inside, counts[c]).otherwise(size)
         first += quota[c]
     classes = F.array(*[F.lit(c).cast(df.schema[label].dataType) for c in names])
-    draws = spark.range(n).select(
-        F.col("id").alias("draw"),
-    ).select("draw", F.get(classes, owner).alias("c"), size.cast("bigint").alias("size"))
+    draws = spark.range(n).withColumnRenamed("id", "draw").select("draw", F.get(classes, owner).alias("c"), size.cast("bigint").alias("size"))
     draws = draws.withColumn("rank", F.floor(unit_hash(f"{seed}-draw", F.col("draw")) * F.col("size")).cast("bigint"))
     # ranks meet buckets through a coarse cell, so this is an equi join, not a range scan
     width = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(2**bits))).cast("bigint")
