@@ -71,13 +71,13 @@ def report(source: str, label: str, prediction: str, digits: int = 6) -> str:
     return f"""cl AS (SELECT DISTINCT c FROM (SELECT {label}::VARCHAR AS c FROM {source} UNION ALL SELECT {prediction}::VARCHAR FROM {source})),
     cnt AS (SELECT c, count(*) FILTER ({label}::VARCHAR = c AND {prediction}::VARCHAR = c) AS tp,
       count(*) FILTER ({prediction}::VARCHAR = c) AS g, count(*) FILTER ({label}::VARCHAR = c) AS support FROM cl, {source} GROUP BY c),
-    sc AS (SELECT *, coalesce(tp::DOUBLE / nullif(g, 0), 0) AS precision, coalesce(tp::DOUBLE / nullif(support, 0), 0) AS recall,
+    rep AS (SELECT *, coalesce(tp::DOUBLE / nullif(g, 0), 0) AS precision, coalesce(tp::DOUBLE / nullif(support, 0), 0) AS recall,
       coalesce(2.0 * tp / nullif(g + support, 0), 0) AS f1 FROM cnt)
     SELECT class, {r('precision', digits)} AS precision, {r('recall', digits)} AS recall, {r('f1', digits)} AS f1, support FROM (
-      SELECT c AS class, precision, recall, f1, support FROM sc
-      UNION ALL SELECT 'accuracy', sum(tp) / sum(support), sum(tp) / sum(support), sum(tp) / sum(support), sum(support)::BIGINT FROM sc
-      UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support)::BIGINT FROM sc
-      UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support)::BIGINT FROM sc)"""
+      SELECT c AS class, precision, recall, f1, support FROM rep
+      UNION ALL SELECT 'accuracy', sum(tp) / sum(support), sum(tp) / sum(support), sum(tp) / sum(support), sum(support)::BIGINT FROM rep
+      UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support)::BIGINT FROM rep
+      UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support)::BIGINT FROM rep)"""
 
 
 def counts(p: str, y: str = "y") -> tuple[str, str, str]:
@@ -104,7 +104,7 @@ add("select_and_drop", "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer"
 add("column_roles", """SELECT column_name AS feature, CASE WHEN column_type = 'VARCHAR' OR (column_type LIKE 'TIMESTAMP%' AND
   (SELECT count(DISTINCT o_orderdate) FROM orders) <= 10) THEN 'categorical' ELSE 'numeric' END AS role
   FROM (DESCRIBE orders) WHERE column_name <> 'o_orderkey'""")
-add("sanitized", f"""SELECT c_custkey, CASE WHEN c_acctbal > 709.78 THEN 0.0 ELSE {r('ln(1 + exp(least(c_acctbal, 709)))')} END AS grown,
+add("sanitized", f"""SELECT c_custkey, CASE WHEN c_acctbal > 709.78 THEN 0.0 ELSE {r('ln(1 + exp(least(c_acctbal, 709.78)))')} END AS grown,
   CASE WHEN c_acctbal > 0 THEN {r('ln(greatest(c_acctbal, 0.001))')} ELSE 0.0 END AS logged,
   {r('sqrt(greatest(c_acctbal, 0))')} AS root FROM customer""")
 add("rows_of_one_class", "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -241,7 +241,10 @@ def pair_parts(blocks) -> list[tuple[str, str]]:
 ALL_BLOCKS = ("linear", "quadratic", "logarithmic", "other", "statistical")
 
 
-def pair_sql(blocks, scaler: str | None, digits: int, source: str = "SELECT * FROM customer", head: str = "") -> str:
+ACCOUNTS = "SELECT c_custkey, c_mktsegment, c_acctbal / 100 AS c_acctbal, c_nationkey + 1 AS c_nationkey FROM customer"
+
+
+def pair_sql(blocks, scaler: str | None, digits: int, source: str = ACCOUNTS, head: str = "") -> str:
     parts = pair_parts(blocks)
     raw = f"""{head}src AS ({source}), st AS (SELECT min({A}) AS la, max({A}) AS ha, avg({A}) AS ea, min({B}) AS lb, max({B}) AS hb, avg({B}) AS eb FROM src),
       x AS (SELECT c_custkey, {A}::DOUBLE AS a, {B}::DOUBLE AS b, la::DOUBLE AS la, ha::DOUBLE AS ha, ea, lb::DOUBLE AS lb, hb::DOUBLE AS hb, eb FROM src, st),
@@ -260,7 +263,7 @@ add("pair_features_minmax", pair_sql(("linear", "logarithmic", "statistical"), "
 add("pair_features_robust", pair_sql(("linear", "quadratic", "other"), "robust", 4))
 add("pair_features_standard", pair_sql(ALL_BLOCKS, "standard", 4))
 add("pair_features", pair_sql(ALL_BLOCKS, None, 6))
-add("batch_statistics", pair_sql(("statistical",), None, 6, "SELECT * FROM marked WHERE is_test", split_cte("customer", "c_custkey", "c_mktsegment") + ", "))
+add("batch_statistics", pair_sql(("statistical",), None, 6, "SELECT * FROM marked WHERE is_test", f"acc AS ({ACCOUNTS}), " + split_cte("acc", "c_custkey", "c_mktsegment") + ", "))
 
 
 def wide_parts(cols) -> list[tuple[str, str]]:
@@ -282,7 +285,7 @@ PART_COLS = ("p_retailprice", "p_size")
 add("wide_features", f"""SELECT p_partkey, {', '.join(f'{r(v, 4)} AS {n}' for n, v in wide_parts(PART_COLS))} FROM part,
   (SELECT {', '.join(f'min({c}) AS l_{c}, max({c}) AS h_{c}, avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in PART_COLS)} FROM part)""")
 # levels of the generated tables
-PART_TYPES = ("ECONOMY", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
@@ -301,11 +304,11 @@ add("both_encodings", f"""SELECT c_custkey, {', '.join(f'{v} AS "{n}"' for n, v
 add("unseen_levels", """WITH l AS (SELECT p_brand AS b, (row_number() OVER (ORDER BY p_brand) - 1)::DOUBLE AS code FROM (SELECT DISTINCT p_brand FROM part WHERE p_size <= 1))
   SELECT p_partkey, coalesce(code, -1.0)::DOUBLE AS p_brand_encoded FROM part LEFT JOIN l ON p_brand = b""")
 HEALTH = """h AS (SELECT c_custkey, (c_nationkey + 150)::DOUBLE AS height, abs(c_acctbal) / 100 + 40 AS weight, (c_nationkey * 3 + 90)::DOUBLE AS sys,
-  (c_nationkey + 60)::DOUBLE AS dia, abs(c_acctbal) / 90 + 30 AS hdl, (c_nationkey * 4)::DOUBLE AS ldl, abs(c_acctbal) / 50 AS chol, c_nationkey / 10.0::DOUBLE AS vl,
+  (c_nationkey + 60)::DOUBLE AS dia, abs(c_acctbal) / 90 + 30 AS hdl, (c_nationkey * 4 + 1)::DOUBLE AS ldl, abs(c_acctbal) / 50 AS chol, c_nationkey / 10.0::DOUBLE AS vl,
   abs(c_acctbal) / 9000 AS vr, (c_nationkey % 2 + 1)::DOUBLE AS hl, (c_nationkey % 3)::DOUBLE AS hr, (c_nationkey + 10)::DOUBLE AS ast, abs(c_acctbal) / 200 + 5 AS alt FROM customer)"""
-add("health_ratios", f"""WITH {HEALTH} SELECT c_custkey, {r('weight / pow(height / 100, 2)', 4)} AS bmi, {r('(sys + dia) / 2', 4)} AS bp_mean, {r('sys - dia', 4)} AS bp_pulse_pressure,
-  {r('hdl / (ldl + 1e-8)', 4)} AS cholesterol_ratio, {r('chol / (hdl + 1e-8)', 4)} AS cholesterol_hdl_ratio, {r('(vl + vr) / 2', 4)} AS vision_avg,
-  {r('abs(vl - vr)', 4)} AS vision_diff, {r('(hl + hr) / 2', 4)} AS hearing_avg, {r('ast / (alt + 1e-8)', 4)} AS ast_alt_ratio FROM h""")
+add("health_ratios", f"""WITH {HEALTH} SELECT c_custkey, {r('weight / pow(height / 100, 2)')} AS bmi, {r('(sys + dia) / 2')} AS bp_mean, {r('sys - dia')} AS bp_pulse_pressure,
+  {r('hdl / (ldl + 1e-8)')} AS cholesterol_ratio, {r('chol / (hdl + 1e-8)')} AS cholesterol_hdl_ratio, {r('(vl + vr) / 2')} AS vision_avg,
+  {r('abs(vl - vr)')} AS vision_diff, {r('(hl + hr) / 2')} AS hearing_avg, {r('ast / (alt + 1e-8)')} AS ast_alt_ratio FROM h""")
 FEATURE_ROWS = [(n, b) for b in ALL_BLOCKS for n, _ in pair_parts((b,))]
 add("feature_list", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{n}', '{b}')" for i, (n, b) in enumerate(FEATURE_ROWS, 1)) + ") t(ordinal, feature, block) WHERE EXISTS (SELECT 1 FROM customer)")
 PRE = [("o_totalprice", "x"), ("log_o_totalprice", "ln(1 + (x - l + 1))"), ("log10_o_totalprice", "log10(x - l + 1)"),
@@ -405,7 +408,6 @@ add("decision_surface", f"""WITH src AS (SELECT l_extendedprice / 1000 AS price,
     FROM b, range(100000) i, range(100000) j WHERE i.range < ceil((x1 - x0) / 2) AND j.range < ceil((y1 - y0) / 2)),
   {naive_bayes_cte(('price', 'quantity'), 'l_linestatus', 'src', 'g', 'id')}
   SELECT {r('g.price')} AS price, {r('g.quantity')} AS quantity, c AS prediction FROM ps JOIN g USING (id) WHERE best = 1""")
-DIST2 = "sqrt(list_sum([(x - y) * (x - y) FOR x, y IN zip]))"
 
 
 def neighbours(k: int, dist: str, train: str = "embeddings", query: str = "embeddings") -> str:
@@ -413,8 +415,8 @@ def neighbours(k: int, dist: str, train: str = "embeddings", query: str = "embed
       SELECT q.vec_id AS qid, t.vec_id AS tid, t.label, {dist} AS dist FROM {query} q, {train} t) QUALIFY rank <= {k})"""
 
 
-L2 = "sqrt(list_sum(list_transform(list_zip(q.embedding, t.embedding), z -> (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE))))"
-L1 = "list_sum(list_transform(list_zip(q.embedding, t.embedding), z -> abs(z[1]::DOUBLE - z[2]::DOUBLE)))"
+L2 = "sqrt(list_sum(list_transform(list_zip(q.embedding, t.embedding), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE))))"
+L1 = "list_sum(list_transform(list_zip(q.embedding, t.embedding), lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE)))"
 add("nearest_neighbours", f"WITH {neighbours(5, L2)} SELECT qid, tid, {r('dist')} AS dist, rank::INTEGER AS rank FROM nb")
 add("nearest_neighbours_manhattan", f"WITH {neighbours(3, L1)} SELECT qid, tid, {r('dist')} AS dist, rank::INTEGER AS rank FROM nb")
 add("knn_classify", f"""WITH {split_cte('embeddings', 'vec_id', 'label')}, tr AS (SELECT * FROM marked WHERE NOT is_test), te AS (SELECT * FROM marked WHERE is_test),

@@ -351,37 +351,43 @@ def class_ratio(spark, sf):
 
 # --- features ------------------------------------------------------------------
 
+def accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Two measures of every customer, in units that keep all digits comparable."""
+    c = read(spark, sf, "customer")
+    return c.select("c_custkey", "c_mktsegment", (F.col("c_acctbal") / 100).alias("c_acctbal"), (F.col("c_nationkey") + 1).alias("c_nationkey"))
+
+
 def account_pair(scaler: str | None, **options) -> FeatureSpec:
     return FeatureSpec("c_custkey", layout="pair", numeric=("c_acctbal", "c_nationkey"), categorical=(), short=("balance", "nation"), scaler=scaler, **options)
 
 
 @query
 def pair_features(spark, sf):
-    df = read(spark, sf, "customer")
+    df = accounts(spark, sf)
     return rounded(account_pair(None).fit(df).transform(df))
 
 
 @query
 def pair_features_standard(spark, sf):
-    df = read(spark, sf, "customer")
+    df = accounts(spark, sf)
     return rounded(account_pair("standard").fit(df).transform(df), 4)
 
 
 @query
 def pair_features_minmax(spark, sf):
-    df = read(spark, sf, "customer")
+    df = accounts(spark, sf)
     return rounded(account_pair("minmax", blocks=("linear", "logarithmic", "statistical")).fit(df).transform(df))
 
 
 @query
 def pair_features_robust(spark, sf):
-    df = read(spark, sf, "customer")
+    df = accounts(spark, sf)
     return rounded(account_pair("robust", blocks=("linear", "quadratic", "other")).fit(df).transform(df), 4)
 
 
 @query
 def batch_statistics(spark, sf):
-    df = read(spark, sf, "customer")
+    df = accounts(spark, sf)
     train, test = split.train_test(df, "c_custkey", "c_mktsegment")
     model = account_pair(None, blocks=("statistical",), stats_scope="batch").fit(train)
     return rounded(model.transform(test))
@@ -428,18 +434,18 @@ def health_ratios(spark, sf):
     a, n = F.col("c_acctbal"), F.col("c_nationkey")
     df = c.select(
         "c_custkey", (n + 150).alias("height_cm"), (F.abs(a) / 100 + 40).alias("weight_kg"), (n * 3 + 90).alias("bp_systolic"),
-        (n + 60).alias("bp_diastolic"), (F.abs(a) / 90 + 30).alias("hdl_cholesterol"), (n * 4).alias("ldl_cholesterol"),
+        (n + 60).alias("bp_diastolic"), (F.abs(a) / 90 + 30).alias("hdl_cholesterol"), (n * 4 + 1).alias("ldl_cholesterol"),
         (F.abs(a) / 50).alias("total_cholesterol"), (n / 10).alias("vision_left"), (F.abs(a) / 9000).alias("vision_right"),
         (n % 2 + 1).alias("hearing_left"), (n % 3).alias("hearing_right"), (n + 10).alias("ast_enzyme_level"), (F.abs(a) / 200 + 5).alias("alt_enzyme_level"),
     )
     spec = FeatureSpec("c_custkey", scaler=None, max_interact=0, blocks=("quadratic",), categorical=())
     out = spec.fit(df).transform(df)
-    return rounded(out.select("c_custkey", *[label for label, _, _ in spec.domain]), 4)
+    return rounded(out.select("c_custkey", *[label for label, _, _ in spec.domain]))
 
 
 @query
 def feature_list(spark, sf):
-    df = read(spark, sf, "customer")
+    df = accounts(spark, sf)
     return account_pair(None).fit(df).summary(df)
 
 
