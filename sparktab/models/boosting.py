@@ -81,12 +81,11 @@ class AdaBoost:
             # dividing by the mean keeps the weights in range over many rounds
             grown = F.col("__boost") * F.when(miss, math.exp(alpha)).otherwise(1.0) / F.lit(row["s"] / row["n"])
             update = scored.withColumn("__boost", grown).select(VECTOR, "__label", "__boost")
-            if (r + 1) % self.checkpoint_every == 0:
-                update = checkpointed(update)
-                data.unpersist()
-                data = update
-            elif (r + 1) < self.rounds:
-                data = update
+            update = cached(checkpointed(update) if (r + 1) % self.checkpoint_every == 0 else update)
+            if r + 1 < self.rounds:
+                update.count()
+            data.unpersist()
+            data = update
         data.unpersist()
         return AdaBoostModel(self.features, classes, trees, alphas)
 

@@ -148,8 +148,9 @@ def blend_search(df: DataFrame, scores: Sequence[str], label: str, grid: Sequenc
     cols = [f"s{j}" for j in range(len(scores))]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tp, g = np.zeros(len(grid), dtype="int64"), np.zeros(len(grid), dtype="int64")
+        tp, g, p = np.zeros(len(grid), dtype="int64"), np.zeros(len(grid), dtype="int64"), 0
         for batch in batches:
+            p += int(batch["y"].sum())
             y, parts = batch["y"].to_numpy(dtype=bool), [batch[c].to_numpy(dtype="float64") for c in cols]
             for i, (w, t) in enumerate(grid):
                 mixed = w[0] * parts[0]
@@ -158,18 +159,17 @@ def blend_search(df: DataFrame, scores: Sequence[str], label: str, grid: Sequenc
                 guess = mixed > t
                 g[i] += guess.sum()
                 tp[i] += (guess & y).sum()
-        yield pd.DataFrame({"ordinal": np.arange(len(grid), dtype="int32"), "tp": tp, "g": g})
+        yield pd.DataFrame({"ordinal": np.arange(len(grid), dtype="int32"), "tp": tp, "g": g, "p": p})
 
     rows = df.select(F.coalesce(F.col(label) == 1, F.lit(False)).alias("y"), *[F.col(s).cast("double").alias(c) for s, c in zip(scores, cols)])
-    counts = rows.mapInPandas(count, "ordinal int, tp bigint, g bigint").groupBy("ordinal").agg(F.sum("tp").alias("tp"), F.sum("g").alias("g"))
-    positives = df.select(F.count_if(F.col(label) == 1)).scalar()
+    counts = rows.mapInPandas(count, "ordinal int, tp bigint, g bigint, p bigint").groupBy("ordinal").agg(*[F.sum(c).alias(c) for c in ("tp", "g", "p")])
     parts = [
         (i, *[float(v) for v in w], float(t)) for i, (w, t) in enumerate(grid)
     ]
     names = ["ordinal", *[f"w{j}" for j in range(1, len(scores) + 1)], "threshold"]
     types = ["int", *["double"] * (len(scores) + 1)]
     plan = df.sparkSession.createDataFrame(parts, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
-    f1 = safe_share(F.lit(2) * F.col("tp"), F.col("g") + positives)
+    f1 = safe_share(F.lit(2) * F.col("tp"), F.col("g") + F.col("p"))
     return plan.join(counts, "ordinal").select(*names, f1.alias("f1"))
 
 

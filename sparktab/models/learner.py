@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparktab.functions.expressions import name
 from sparktab.operators.features import fit_scaler
 from sparktab.operators.split import per_class
+from sparktab.session import ensure_checkpoint_dir
 
 VECTOR = "__features"
 WEIGHT = "__weight"
@@ -72,6 +73,7 @@ class Learner:
     scale: str | None = None
 
     def fit(self, df: DataFrame) -> Fitted:
+        ensure_checkpoint_dir(df.sparkSession)  # tree ensembles cut their lineage there
         counts = {r[0]: r[1] for r in df.groupBy(self.label).count().collect()}
         rows = sum(counts.values())
         weights = {c: 1.0 for c in counts}

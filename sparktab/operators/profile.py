@@ -292,7 +292,10 @@ def summary_report(
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) -> DataFrame:
-    """Equal-width bin counts, the last bin closed; each class uses its own range."""
+    """Equal-width bin counts, the last bin closed; each class uses its own range.
+
+    A constant gets a range one unit wide around it.
+    """
     keys = [by] if by else []
     x = known(df, col).cast("double")
     data = df.select(*[_q(k) for k in keys], x.alias("x")).where(F.col("x").isNotNull())
@@ -303,8 +306,10 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
     else:
         span = spans.first()
         data = data.select("x", *[F.lit(span[c]).cast("double").alias(c) for c in ("low", "high")])
+    half = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
+    data = data.select(*[_q(k) for k in keys], "x", (F.col("low") - half).alias("low"), (F.col("high") + half).alias("high"))
     step = (F.col("high") - F.col("low")) / F.lit(bins)
-    cell = F.coalesce(F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("x") - F.col("low"), step))), F.lit(0))
+    cell = F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("low")) / step))
     counts = data.groupBy(*keys, "low", "high", cell.cast("int").alias("bin")).agg(F.count("*").alias("n"))
     edge = F.col("low") + F.col("bin") * step
     return counts.select(*keys, "bin", edge.alias("bin_low"), (edge + step).alias("bin_high"), "n")

@@ -51,9 +51,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
 
 
-def share(col: str, chars: str) -> Column:
+def share(col: str, rest: Column) -> Column:
+    """Share of the characters of a text that are missing from ``rest``."""
     n = F.length(col)
-    return F.coalesce(F.try_divide((n - F.length(F.translate(col, chars, ""))).cast("double"), n), F.lit(0.0))
+    return F.coalesce(F.try_divide((n - F.length(rest)).cast("double"), n), F.lit(0.0))
+
+
+def without(col: str, letter: str) -> Column:
+    return F.replace(F.replace(col, F.lit(letter)), F.lit(letter.upper()))
 
 
 def shape_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,10 +67,10 @@ def shape_features(spark: SparkSession, sf: str) -> DataFrame:
     words = F.split("text", " ")
     return docs.select(
         "doc_id", "lang",
-        share("text", LETTERS).alias("letter_share"),
+        share("text", F.translate("text", LETTERS, "")).alias("letter_share"),
         (F.size(F.array_distinct(words)) / F.size(words)).alias("word_share"),
         F.log1p(F.col("n_chars")).alias("log_chars"),
-        *[share("text", c + c.upper()).alias(f"share_{c}") for c in "aeno"],
+        *[share("text", without("text", c)).alias(f"share_{c}") for c in "aeno"],
     )
 
 
