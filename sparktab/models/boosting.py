@@ -59,7 +59,7 @@ class AdaBoost:
         classes = max(2, int(max(balance)) + 1)
         vec = array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in self.features]))
         data = cached(df.select(vec.alias(VECTOR), F.col(self.label).cast("double").alias("__label"), F.lit(1.0).alias("__boost")))
-        trees, alphas = [], []
+        trees, alphas, stale = [], [], None
         for r in range(self.rounds):
             weight = F.col("__boost") * per_class(F.col("__label"), {float(c): w for c, w in balance.items()})
             base = columns_of(
@@ -82,10 +82,11 @@ class AdaBoost:
             grown = F.col("__boost") * F.when(miss, math.exp(alpha)).otherwise(1.0) / F.lit(row["s"] / row["n"])
             update = scored.withColumn("__boost", grown).select(VECTOR, "__label", "__boost")
             update = cached(checkpointed(update) if (r + 1) % self.checkpoint_every == 0 else update)
-            if r + 1 < self.rounds:
-                update.count()
-            data.unpersist()
-            data = update
+            if stale is not None:
+                stale.unpersist()  # the table after it has been read by now
+            stale, data = data, update
+        if stale is not None:
+            stale.unpersist()
         data.unpersist()
         return AdaBoostModel(self.features, classes, trees, alphas)
 

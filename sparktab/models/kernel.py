@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import finite, name
+from sparktab.functions.expressions import finite
 from sparktab.models.linear import linear_svm, logreg
 from sparktab.operators.features import ScalerModel, fit_scaler
 
@@ -57,7 +57,7 @@ class KernelModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         mapped = self.owner.mapped(df, self.scaler, self.gamma)
-        return self.inner.transform(mapped).drop(*self.owner.names())
+        return self.inner.transform(mapped).drop("__map")
 
 
 @dataclass(frozen=True)
@@ -77,17 +77,6 @@ class KernelSVM:
     max_iter: int = 200
     seed: int = 42
 
-    def width(self) -> int:
-        if self.kernel == "rbf":
-            return self.n_components
-        d, out = len(self.features), 1
-        for i in range(1, self.degree + 1):
-            out = out * (d + i) // i
-        return out - 1
-
-    def names(self) -> list[str]:
-        return [f"__phi{i}" for i in range(self.width())]
-
     def mapped(self, df: DataFrame, scaler: ScalerModel | None, gamma: float) -> DataFrame:
         cols = [scaler.value(c) if scaler else F.col(f"`{c}`").cast("double") for c in self.features]
         if self.kernel == "rbf":
@@ -97,14 +86,13 @@ class KernelSVM:
             out = df.withColumn("__v", array_to_vector(F.array(*cols)))
             out = PolynomialExpansion(degree=self.degree, inputCol="__v", outputCol="__p").transform(out)
             out = out.withColumn("__map", vector_to_array("__p"))
-        parts = [f"__map[{i}] AS {n}" for i, n in enumerate(self.names())]
-        return out.selectExpr(*[name(c) for c in df.columns], *parts)
+        return out.select(*df.columns, "__map")
 
     def fit(self, df: DataFrame) -> KernelModel:
         scaler = fit_scaler(df, self.features, self.scale)
         gamma = gamma_scale(df, self.features, scaler) if self.gamma == "scale" else float(self.gamma)
         make = logreg if self.head == "logistic" else linear_svm
-        learner = make(self.names(), self.label, self.C, max_iter=self.max_iter, scale=None)
+        learner = make("__map", self.label, self.C, max_iter=self.max_iter, scale=None)
         return KernelModel(self, scaler, gamma, learner.fit(self.mapped(df, scaler, gamma)))
 
 

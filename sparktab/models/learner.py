@@ -33,7 +33,7 @@ class FitContext:
 class Fitted:
     """Scaler, vector assembly and a trained MLlib model as one transform."""
 
-    features: Sequence[str]
+    features: Sequence[str] | str
     scaler: object
     model: Model
     classes: int
@@ -52,7 +52,9 @@ class Fitted:
         return out.select(*keep, F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
 
 
-def _assembled(df: DataFrame, features: Sequence[str], scaler) -> DataFrame:
+def _assembled(df: DataFrame, features: Sequence[str] | str, scaler) -> DataFrame:
+    if isinstance(features, str):  # already one array column
+        return df.withColumn(VECTOR, array_to_vector(features))
     cols = [scaler.sql(c) if scaler else f"double({name(c)})" for c in features]
     return df.withColumn(VECTOR, array_to_vector(F.expr(f"array({', '.join(cols)})")))
 
@@ -62,11 +64,12 @@ class Learner:
     """Recipe of a classifier. ``make`` gets the weights' total, as the
     regularisation of some estimators depends on it.
 
+    ``features`` are numeric columns or the name of one array column.
     ``weighting`` is ``balanced``, ``ratio`` (positive class only) or None.
     Labels are 0..K-1.
     """
 
-    features: tuple[str, ...]
+    features: tuple[str, ...] | str
     label: str
     make: Callable[[FitContext], Estimator]
     weighting: str | None = "balanced"
@@ -83,9 +86,10 @@ class Learner:
             weights[1] = counts.get(0, 0) / counts[1] if counts.get(1) else 1.0
         total = sum(counts[c] * weights[c] for c in counts)
         context = FitContext(rows, total, max(2, int(max(counts)) + 1 if counts else 2))
-        scaler = fit_scaler(df, self.features, self.scale)
+        names = [self.features] if isinstance(self.features, str) else self.features
+        scaler = None if isinstance(self.features, str) else fit_scaler(df, names, self.scale)
         label = F.col(self.label)
-        data = _assembled(df.select(*self.features, self.label), self.features, scaler).select(
+        data = _assembled(df.select(*names, self.label), self.features, scaler).select(
             VECTOR, label.cast("double").alias("__label"), per_class(label, weights).alias(WEIGHT)
         )
         return Fitted(self.features, scaler, self.make(context).fit(data), context.classes)

@@ -15,7 +15,7 @@ from sparktab.models.learner import VECTOR, WEIGHT, FitContext, Learner, columns
 
 
 def logreg(
-    features: Sequence[str], label: str, C: float = 1.0, penalty: str = "l2", max_iter: int = 1000,
+    features: Sequence[str] | str, label: str, C: float = 1.0, penalty: str = "l2", max_iter: int = 1000,
     scale: str | None = "standard", weighting: str | None = "balanced", tol: float = 1e-6,
 ) -> Learner:
     def make(c: FitContext):
@@ -24,11 +24,11 @@ def logreg(
             elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False,
         )
 
-    return Learner(tuple(features), label, make, weighting, scale)
+    return Learner(features if isinstance(features, str) else tuple(features), label, make, weighting, scale)
 
 
 def linear_svm(
-    features: Sequence[str], label: str, C: float = 1.0, max_iter: int = 2000,
+    features: Sequence[str] | str, label: str, C: float = 1.0, max_iter: int = 2000,
     scale: str | None = "standard", weighting: str | None = "balanced", parallelism: int = 4, tol: float = 1e-4,
 ) -> Learner:
     """Hinge loss; more than two classes are trained one against the rest."""
@@ -38,4 +38,4 @@ def linear_svm(
             return svm
         return OneVsRest(classifier=svm, featuresCol=VECTOR, labelCol="__label", weightCol=WEIGHT, parallelism=parallelism)
 
-    return Learner(tuple(features), label, make, weighting, scale)
+    return Learner(features if isinstance(features, str) else tuple(features), label, make, weighting, scale)

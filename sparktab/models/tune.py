@@ -8,9 +8,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import best_index
 from sparktab.operators.features import fit_scaler
-from sparktab.operators.knn import class_votes, knn_join
+from sparktab.operators.knn import class_votes, knn_join, literal
 from sparktab.operators.metrics import evaluate
 from sparktab.session import cached
 
@@ -95,7 +94,7 @@ def knn_grid(
     """
     classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
-    names = F.array(*[F.lit(c) for c in classes])
+    names = f"array({', '.join(literal(c) for c in classes)})"
     settings = [(k, w) for k in ks for w in weights]
     used = sorted({1 if m == "manhattan" else p for m in metrics for p in powers})
     tables = []
@@ -106,9 +105,9 @@ def knn_grid(
             train, held = scaler.transform(train), scaler.transform(held)
         for p in used:
             found = knn_join(train, held, key, features, max(ks), p, (label,), **options)
-            votes = found.groupBy("qid").agg(
-                F.array(*[F.get(names, best_index(class_votes(F.col(label), classes, k, w))) for k, w in settings]).alias("guess")
-            )
+            shares = found.groupBy("qid").agg(*[F.expr(class_votes(label, classes, k, w)).alias(f"v{i}") for i, (k, w) in enumerate(settings)])
+            guesses = ", ".join(f"element_at({names}, int(array_position(v{i}, array_max(v{i}))))" for i in range(len(settings)))
+            votes = shares.selectExpr("qid", f"array({guesses}) AS guess")
             scored = votes.join(held.select(F.col(key).alias("qid"), F.col(label).alias("y")), "qid")
             tables.append(scored.select(F.lit(f).alias("fold"), F.lit(p).alias("p_used"), "y", F.posexplode("guess").alias("setting", "guess")))
     out = tables[0]
