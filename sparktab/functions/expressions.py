@@ -36,12 +36,12 @@ def finite_sql(x: str, otherwise: str = "NULL") -> str:
     return f"if(abs({x}) < double('Infinity'), {x}, {otherwise})"
 
 
-def is_numeric(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.NumericType)
+def is_numeric(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, T.NumericType)
 
 
-def is_fractional(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.FractionalType)
+def is_fractional(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, T.FractionalType)
 
 
 def finite(c: Column) -> Column:
@@ -58,16 +58,16 @@ def finite_or(c: Column, value: float = 0.0) -> Column:
     return F.when(F.abs(x) < F.lit(INF), x).otherwise(F.lit(float(value)))
 
 
-def missing(df: DataFrame, name: str) -> Column:
+def missing(df: DataFrame, col: str) -> Column:
     """True for NULL and, in fractional columns, for NaN."""
-    c = F.col(f"`{name}`")
-    return (c.isNull() | F.isnan(c)) if is_fractional(df, name) else c.isNull()
+    c = F.col(name(col))
+    return (c.isNull() | F.isnan(c)) if is_fractional(df, col) else c.isNull()
 
 
-def known(df: DataFrame, name: str) -> Column:
+def known(df: DataFrame, col: str) -> Column:
     """The column with NaN turned into NULL, so that aggregates skip it."""
-    c = F.col(f"`{name}`")
-    return F.when(~F.isnan(c), c) if is_fractional(df, name) else c
+    c = F.col(name(col))
+    return F.when(~F.isnan(c), c) if is_fractional(df, col) else c
 
 
 def safe_share(part: Column, whole: Column) -> Column:
@@ -103,4 +103,4 @@ def best_index(scores: Column) -> Column:
 
 def vector_of(features: Sequence[str]) -> Column:
     """The features as one array column."""
-    return F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    return F.expr("array(" + ", ".join(f"double({name(c)})" for c in features) + ")")

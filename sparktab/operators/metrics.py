@@ -146,10 +146,15 @@ def log_loss(df: DataFrame, p: str, y: str, w: str | None = None) -> DataFrame:
     return df.agg((-F.avg(F.col(w) * loss if w else loss)).alias("log_loss"))
 
 
+def _scored(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Rows with a label and a score that is a number."""
+    s = F.col(score).cast("double")
+    return df.where(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull())
+
+
 def _score_counts(df: DataFrame, score: str, label: str, positive) -> DataFrame:
     y = F.col(label) == F.lit(positive)
-    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return known.groupBy(F.col(score).cast("double").alias("score")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    return _scored(df, score, label).groupBy(F.col(score).cast("double").alias("score")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
 
 
 def _splits(df: DataFrame, score: str, bucket_rows: int) -> list[float]:
@@ -172,7 +177,7 @@ def running_counts(
     before it; only the table of bucket totals is handled by one task.
     """
     counts = _score_counts(df, score, label, positive)
-    splits = _splits(df, score, bucket_rows)
+    splits = _splits(_scored(df, score, label), score, bucket_rows)
     down = W.partitionBy("bucket").orderBy(F.desc("score")) if splits else W.orderBy(F.desc("score"))
     upto = down.rowsBetween(W.unboundedPreceding, 0)
     if splits:
@@ -203,8 +208,7 @@ def running_counts(
 
 def _class_totals(df: DataFrame, score: str, label: str, positive) -> tuple[int, int]:
     y = F.col(label) == F.lit(positive)
-    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    row = known.agg(F.count_if(y).alias("p"), F.count_if(~y).alias("n")).first()
+    row = _scored(df, score, label).agg(F.count_if(y).alias("p"), F.count_if(~y).alias("n")).first()
     return row["p"], row["n"]
 
 

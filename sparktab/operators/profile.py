@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import hash60, is_fractional, known, missing
+from sparktab.functions.expressions import finite, hash60, known, missing
 from sparktab.operators.moments import FEW_COLUMNS, pairwise_corr
 from sparktab.operators.ranking import DIRECT_ROWS, exact_quantiles, largest_group
 from sparktab.session import small_side
@@ -56,7 +56,7 @@ def value_counts(df: DataFrame, col: str, sort: str = "count") -> DataFrame:
 
 
 def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Sequence[float], limit: int) -> DataFrame:
-    """count, mean, std, min, max and quantiles per class and column, in long form."""
+    """count, mean, std, min, max and quantiles (of finite values) per class and column, in long form."""
     direct = largest_group(df, by) <= limit
     spots = F.array(*[F.lit(float(p)) for p in probs])
     cells = []
@@ -67,7 +67,7 @@ def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Seque
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
         ]
         if direct:
-            parts.append(F.percentile(x, spots).alias("q"))
+            parts.append(F.percentile(finite(x), spots).alias("q"))
         cells.append(F.struct(*parts))
     keys = [_q(b) for b in by]
     wide = df.groupBy(*keys).agg(F.array(*cells).alias("cells"))
