@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.expressions import best_index, name, num
+from sparktab.operators.moments import FEW_COLUMNS, class_moments
 
 SMOOTHING = 1e-9  # fixed value: share of the largest variance added to every variance
 
@@ -58,27 +59,37 @@ class GaussianNB:
 
         The overall variance follows from the class rows, so one pass is enough.
         """
-        aggs = [F.count("*").alias("n")]
-        for i, c in enumerate(self.features):
-            x = F.col(f"`{c}`").cast("double")
-            aggs += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-        rows = {r[0]: r for r in df.where(F.col(self.label).isNotNull()).groupBy(self.label).agg(*aggs).collect()}
-        classes = tuple(sorted(rows))
-        total = sum(rows[c]["n"] for c in classes)
+        stats = self._class_stats(df)
+        classes = tuple(sorted(stats))
+        rows = {c: stats[c][0] for c in classes}
+        total = sum(rows.values())
         largest = 0.0
         for i in range(len(self.features)):
-            mean = sum(rows[c]["n"] * rows[c][f"m{i}"] for c in classes) / total
-            spread = sum(rows[c]["n"] * (rows[c][f"v{i}"] + (rows[c][f"m{i}"] - mean) ** 2) for c in classes)
+            mean = sum(rows[c] * stats[c][1][i] for c in classes) / total
+            spread = sum(rows[c] * (stats[c][2][i] + (stats[c][1][i] - mean) ** 2) for c in classes)
             largest = max(largest, spread / total)
         eps = self.smoothing * largest
-        pick = range(len(self.features))
         return GaussianNBModel(
             tuple(self.features), classes,
-            {c: rows[c]["n"] / total for c in classes},
-            {c: [rows[c][f"m{i}"] for i in pick] for c in classes},
-            {c: [rows[c][f"v{i}"] + eps for i in pick] for c in classes},
+            {c: rows[c] / total for c in classes},
+            {c: stats[c][1] for c in classes},
+            {c: [v + eps for v in stats[c][2]] for c in classes},
         )
 
+    def _class_stats(self, df: DataFrame) -> dict:
+        """``{class: (rows, means, population variances)}``."""
+        if len(self.features) > FEW_COLUMNS:
+            found = class_moments(df, list(self.features), self.label)
+            pick = {c: [m[f] for f in self.features] for c, m in found.items()}
+            return {c: (ms[0].rows, [m.mean for m in ms], [m.m2 / m.n for m in ms]) for c, ms in pick.items()}
+        aggs = [F.count("*").alias("n")]
+        for i, c in enumerate(self.features):
+            x = F.col(f"`{c}`").cast("double")
+            aggs += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+        rows = df.where(F.col(self.label).isNotNull()).groupBy(self.label).agg(*aggs).collect()  # one per class
+        pick = range(len(self.features))
+        return {r[0]: (r["n"], [r[f"m{i}"] for i in pick], [r[f"v{i}"] for i in pick]) for r in rows}
+
 
 def gaussian_nb(df: DataFrame, features: Sequence[str], label: str) -> GaussianNBModel:
     return GaussianNB(tuple(features), label).fit(df)

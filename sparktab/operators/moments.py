@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sparktab.functions.expressions import finite
 
@@ -34,9 +35,9 @@ class Moments:
         return (self.m2 / (self.n - ddof)) ** 0.5 if self.n > ddof else None
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    """Columns as doubles; NULL and infinities become NaN."""
-    cols = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns]
+def _matrix(batch: pa.RecordBatch, first: int = 0) -> np.ndarray:
+    """Columns from ``first`` on as doubles; NULL and infinities become NaN."""
+    cols = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns[first:]]
     x = np.column_stack(cols) if cols else np.empty((batch.num_rows, 0))
     return np.where(np.isfinite(x), x, np.nan)
 
@@ -107,6 +108,36 @@ def column_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, Moments]:
     return out
 
 
+def class_moments(df: DataFrame, cols: Sequence[str], by: str) -> dict:
+    """The same per class, in one pass: ``{class: {column: Moments}}``. NULL classes are left out."""
+    kind = df.schema[by].dataType
+
+    def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict = {}
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode()
+            codes, x = coded.indices.to_numpy(zero_copy_only=False), _matrix(batch, 1)
+            for i, v in enumerate(coded.dictionary.to_pylist()):
+                part = _summary(x[codes == i])
+                totals[v] = _merge(totals[v], part) if v in totals else part
+        for v, total in totals.items():
+            width = total.shape[1]
+            head = [pa.array([v] * width, type=to_arrow_type(kind)), pa.array(np.arange(width, dtype="int32"))]
+            yield pa.RecordBatch.from_arrays([*head, *[pa.array(m) for m in total]], names=["g", "pos", *NAMES])
+
+    def combine(parts: pd.DataFrame) -> pd.DataFrame:
+        out = _combine(parts)
+        out.insert(0, "g", parts["g"].iloc[:1].to_numpy())
+        return out
+
+    schema = f"g {kind.simpleString()}, {SCHEMA}"
+    narrow = df.where(F.col(by).isNotNull()).select(F.col(by).alias("g"), *[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    found: dict = {}
+    for r in narrow.mapInArrow(partials, schema).groupBy("g", "pos").applyInPandas(combine, schema).collect():
+        found.setdefault(r["g"], {})[cols[r["pos"]]] = Moments(int(r["rows"]), int(r["n"]), r["mean"], r["m2"], r["low"], r["high"])
+    return found
+
+
 def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     """Pearson correlations over the rows where both values are finite.
 

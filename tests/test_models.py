@@ -70,6 +70,17 @@ def test_naive_bayes_equals_direct_computation(spark):
     assert np.array([got[k] for k in range(1, 6)]) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_naive_bayes_statistics_of_many_columns(spark, kind):
+    names = tuple(f"c{i}" for i in range(12))
+    df = spark.range(600).select(*[(F.hash("id", F.lit(i)) % 100 * 1.0 + F.col("id") % 3).alias(c) for i, c in enumerate(names)], (F.col("id") % 3).cast(kind).alias("y"))
+    wide, narrow = GaussianNB(names, "y").fit(df), GaussianNB(names[:3], "y").fit(df)
+    assert wide.classes == narrow.classes and wide.prior == narrow.prior
+    for c in wide.classes:
+        assert wide.mean[c][:3] == pytest.approx(narrow.mean[c]) and wide.var[c][:3] == pytest.approx(narrow.var[c])
+    assert wide.transform(df).where("prediction IS NULL").count() == 0
+
+
 def test_fourier_features_approach_the_kernel(spark):
     pts = np.random.default_rng(0).normal(size=(30, 2))
     df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id int, x array<double>")
