@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from sparktab.functions.expressions import safe_share
-from sparktab.operators.ranking import DIRECT_ROWS
 
 MAX_BUCKETS = 10_000
+BUCKET_ROWS = 1_000_000  # distinct scores that one task may have to sort
 
 
 def _f1(tp: Column, fp: Column, fn: Column) -> Column:
@@ -169,7 +169,7 @@ def _splits(df: DataFrame, score: str, bucket_rows: int) -> list[float]:
 
 
 def running_counts(
-    df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = DIRECT_ROWS
+    df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Per distinct score, highest first: positives and negatives at or above it.
 
@@ -213,7 +213,7 @@ def _class_totals(df: DataFrame, score: str, label: str, positive) -> tuple[int,
 
 
 def roc_curve(
-    df: DataFrame, score: str, label: str, positive=1, drop_intermediate: bool = True, bucket_rows: int = DIRECT_ROWS
+    df: DataFrame, score: str, label: str, positive=1, drop_intermediate: bool = True, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Points ``(threshold, fpr, tpr)`` from (0, 0); points on a straight run are left out."""
     p, n = _class_totals(df, score, label, positive)
@@ -231,14 +231,14 @@ def roc_curve(
     return start.unionByName(points)
 
 
-def roc_auc(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = DIRECT_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Area under the ROC curve: each score adds a trapezoid of its own width."""
     run = running_counts(df, score, label, positive, bucket_rows)
     slab = F.col("neg") * (F.col("tp") - F.col("pos") / F.lit(2.0))
     return run.agg(F.try_divide(F.sum(slab), (F.sum("pos") * F.sum("neg")).cast("double")).alias("roc_auc"))
 
 
-def pr_curve(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = DIRECT_ROWS) -> DataFrame:
+def pr_curve(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Points ``(threshold, precision, recall)``, ending at precision 1 and recall 0."""
     p, _ = _class_totals(df, score, label, positive)
     run = running_counts(df, score, label, positive, bucket_rows)
@@ -250,7 +250,7 @@ def pr_curve(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int
     return points.unionByName(end)
 
 
-def pr_auc(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = DIRECT_ROWS) -> DataFrame:
+def pr_auc(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Trapezoid area of precision over recall."""
     run = running_counts(df, score, label, positive, bucket_rows)
     tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")

@@ -57,7 +57,7 @@ def value_counts(df: DataFrame, col: str, sort: str = "count") -> DataFrame:
 
 def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Sequence[float], limit: int) -> DataFrame:
     """count, mean, std, min, max and quantiles (of finite values) per class and column, in long form."""
-    direct = largest_group(df, by) <= limit
+    direct = largest_group(df, by) * len(cols) <= limit
     spots = F.array(*[F.lit(float(p)) for p in probs])
     cells = []
     for c in cols:

@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from sparktab.functions.expressions import finite, is_fractional
 from sparktab.session import small_side
 
-DIRECT_ROWS = 1_000_000  # up to here one group fits a task with room to spare
+DIRECT_ROWS = 4_000_000  # values (rows times columns) of one group that fit a task with room to spare
 BINS = 512
+BIN_ROWS = 100_000  # bin counts fetched per pass, over all brackets
 
 
 @dataclass
@@ -80,6 +81,7 @@ def _inside(long: DataFrame, frame: DataFrame, by: Sequence[str], rows: int) ->
 
 
 def _narrow(long, df, by, kind, wide: list[Bracket], bins: int) -> list[Bracket]:
+    bins = max(16, min(bins, BIN_ROWS // len(wide)))
     frame = _bracket_frame(df, by, kind, wide)
     offset = (F.col("value") - F.col("low")).cast("double")
     width = (F.col("high") - F.col("low")).cast("double")
@@ -202,7 +204,7 @@ def exact_quantiles(
     Groups that fit a task use Spark's exact ``percentile``; larger ones are
     narrowed first, with the same result.
     """
-    if largest_group(df, by) <= limit:
+    if largest_group(df, by) * len(cols) <= limit:
         spots = F.array(*[F.lit(float(p)) for p in probs])
         cells = [F.struct(F.lit(c).alias("feature"), F.percentile(finite(F.col(f"`{c}`")), spots).alias("q")) for c in cols]
         grouped = df.groupBy(*[f"`{b}`" for b in by]).agg(F.array(*cells).alias("cells"))

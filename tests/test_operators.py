@@ -60,6 +60,16 @@ def test_narrowed_quantiles_equal_exact_ones(spark):
         assert narrowed[g] == pytest.approx(exact[g], rel=1e-12)
 
 
+def test_many_columns_narrow_to_the_same_quantiles(spark):
+    cols = [f"c{i}" for i in range(30)]
+    df = spark.range(800).select(*[(F.hash("id", F.lit(i)) % 1000 / 7.0).alias(c) for i, c in enumerate(cols)])
+    a = {r["feature"]: r["q"] for r in ranking.exact_quantiles(df, cols, (0.25, 0.5, 0.75)).collect()}
+    b = {r["feature"]: r["q"] for r in ranking.exact_quantiles(df, cols, (0.25, 0.5, 0.75), limit=100).collect()}
+    assert a.keys() == b.keys()
+    for c in cols:
+        assert b[c] == pytest.approx(a[c], rel=1e-12)
+
+
 def test_ranks_of_integers_stay_exact(spark):
     big = 2**60
     df = spark.range(1000).select((F.lit(big) + F.col("id")).alias("x"))
