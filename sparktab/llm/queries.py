@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparktab.llm.packing import pack
+from sparktab.llm.simhash import simhash_groups
 from sparktab.llm.token_counts import token_counts
 
 
@@ -12,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -20,5 +25,5 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_best_fit_packing, op5_token_counts)}
 ORACLES: dict[str, str] = {}
