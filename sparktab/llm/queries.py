@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparktab.llm.packing import pack
+from sparktab.llm.pii import digest, find_pii
 from sparktab.llm.simhash import simhash_groups
 from sparktab.llm.token_counts import token_counts
 
@@ -25,5 +26,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_best_fit_packing, op5_token_counts)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_pii(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_best_fit_packing, op5_token_counts, op10_pii)}
 ORACLES: dict[str, str] = {}
