@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparktab.llm.decontaminate import find_items
 from sparktab.llm.packing import pack
 from sparktab.llm.pii import digest, find_pii
+from sparktab.llm.quality import score_quality
 from sparktab.llm.simhash import simhash_groups
 from sparktab.llm.token_counts import token_counts
 
@@ -31,9 +32,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_pii(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_best_fit_packing, op5_token_counts, op7_benchmark_decontamination, op10_pii)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_best_fit_packing, op5_token_counts, op7_benchmark_decontamination, op9_quality_co_training, op10_pii)}
 ORACLES: dict[str, str] = {}
