@@ -297,5 +297,8 @@ def listed(spans: Column) -> Column:
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Numbers of plain spans by kind, the hash of their list, and the list of all spans."""
-    numbers = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    numbers = [number(k) for k in KINDS]
     return found.select(key, *numbers, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
