@@ -7,13 +7,14 @@ the bands that meet the bound, and align window and region inside the band. The
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.llm.common import GROUP_BYTES, by_bytes, hash_of, rows_of, texts
@@ -189,12 +190,14 @@ def find_items(df: DataFrame, items: DataFrame, settings: Settings | None = None
 
 def drop_contaminated(df: DataFrame, items: DataFrame, settings: Settings | None = None, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, that hold no passage of an item. Rows as in ``find_items``."""
-    for held in indexes(items, settings or Settings(), item_key, item_text):
-
+    def clean(held: Broadcast) -> Callable[[Column], Column]:
         @F.pandas_udf("boolean")
-        def clean(s: pd.Series, held=held) -> pd.Series:  # noqa: ANN001
+        def holds_none(s: pd.Series) -> pd.Series:
             bodies = [t.encode() if t else b"" for t in s]
             return pd.Series([not m for _, some in by_bytes(bodies, bodies, GROUP_BYTES) for m in held.value.matches(some)], dtype=bool)
 
-        df = df.where(clean(df[text]))
+        return holds_none
+
+    for held in indexes(items, settings or Settings(), item_key, item_text):
+        df = df.where(clean(held)(df[text]))
     return df

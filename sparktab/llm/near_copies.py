@@ -1,0 +1,155 @@
+"""One document of each group of near copies: SimHash links, and pairs of texts verified at a similarity.
+
+Fingerprints two bits apart are linked as in ``simhash``. Copies with more edits than that (five-word similarity of
+0.8 is some ten bits of 64, a radius at which probes no longer separate anything) are found by min-hash keys of the
+same shingles, met in bands, and verified on the whole shingle sets. Both kinds of links make the groups.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from sparktab.llm.common import cut, rows_of, texts
+from sparktab.llm.components import components
+from sparktab.llm.simhash import BLOCK, links, majority, shingle_hashes
+from sparktab.llm.token_counts import pa_type
+
+# 16 keys of four minima each: a pair at similarity 0.8 shares one with a chance of 0.9998.
+BANDS, ROWS = 16, 4
+# In the order of a band's bucket each text meets the first one and this many before it.
+NEIGHBOURS = 3
+_FACTORS = np.random.default_rng(20).integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def five_words(threes: np.ndarray, n_words: int) -> np.ndarray:
+    """Hashes of the five-word shingles, each from the three-word shingles at its ends; distinct, ascending."""
+    if n_words > 5:
+        threes = threes[:-2] * np.uint64(0x9E3779B97F4A7C15) + (threes[2:] ^ (threes[2:] >> np.uint64(29)))
+    elif n_words > 3:
+        threes = (threes[:1] + threes[-1:] * np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15)
+    return np.unique(threes)
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """Keys of the bands; texts without words share theirs."""
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), BLOCK // 8):
+        low = np.minimum(low, (shingles[at : at + BLOCK // 8, None] * _FACTORS).min(axis=0))
+    low = low.reshape(BANDS, ROWS) ^ (low.reshape(BANDS, ROWS) >> np.uint64(31))
+    return (low * _FACTORS[:ROWS]).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def traits(body: bytes) -> tuple[int, int, np.ndarray]:
+    """Hash of the words, SimHash fingerprint, five-word shingles."""
+    words = body.lower().split()
+    node = xxhash.xxh3_64_intdigest(b" ".join(words))
+    threes = shingle_hashes(body, 3)
+    return node - (1 << 64) if node >> 63 else node, majority(threes), five_words(threes, len(words))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    if not len(a) and not len(b):
+        return 1.0
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
+
+
+def described(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, node, fp, bands`` per row. node is a 64-bit hash of the lower-cased words: texts of equal words are one node."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, bodies in rows_of(batches):
+            own = [traits(b) for b in bodies]
+            bands = pa.array([band_keys(t[2]) for t in own], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array([t[0] for t in own]), pa.array([t[1] for t in own]), bands], ["key", "node", "fp", "bands"])
+
+    return texts(df, key, text).mapInArrow(scan, f"key {kind}, node long, fp long, bands array<long>")
+
+
+def shingle_sets(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``node, shingles`` (packed) for the rows of ``df``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, bodies in rows_of(batches):
+            own = [traits(b) for b in bodies]
+            yield pa.RecordBatch.from_arrays([pa.array([t[0] for t in own]), pa.array([t[2].tobytes() for t in own], pa.binary())], ["node", "shingles"])
+
+    return texts(df, key, text).mapInArrow(scan, "node long, shingles binary")
+
+
+def verified(pairs: DataFrame, least: float) -> DataFrame:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [[np.frombuffer(x, np.uint64) for x in b.column(i).to_pylist()] for i in (2, 3)]
+            good = np.array([similarity(x, y) >= least for x, y in zip(*sets, strict=True)], dtype=bool)
+            yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(good)) for i in (0, 1)], ["a", "b"])
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(scan, "a long, b long")
+
+
+def candidate_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes that share a band's key: with the first of its bucket and a few before, in an order that differs by band."""
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "at"))
+    order = W.partitionBy("band", "at").orderBy(F.xxhash64("node", "band"))
+    met = keyed.select("node", F.array(F.first("node").over(order), *[F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1)]).alias("others"))
+    met = met.where(F.element_at("others", 2).isNotNull())  # all but the first of a bucket
+    pairs = met.select("node", F.explode("others").alias("other")).where("other IS NOT NULL AND other <> node")
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def near_copy_groups(df: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, node, group, n_same`` for every row: the group's smallest node, and how many rows have the same key and node.
+
+    Two texts are linked if their fingerprints differ in at most two bits, or if they share at least ``least`` of their
+    distinct five-word shingles (shorter texts: the whole sequence). Buckets of any size are taken whole: each text is compared with its neighbours in
+    sixteen orders, so work grows with the rows. Null and empty texts are one node. Repeated rows share a group.
+    """
+    own = cut(described(df, key, text))
+    nodes = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min("key").alias("key"))
+    roots = components(links(cut(nodes.select("fp").distinct())))
+    at_root = nodes.select("node", "fp").join(roots.withColumnRenamed("node", "fp").withColumnRenamed("component", "root"), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
+    least_node = at_root.groupBy("root").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "a")
+    simhash = at_root.join(least_node, "root").select("a", F.col("node").alias("b")).where("a <> b")
+    pairs = cut(candidate_pairs(nodes))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sources = own.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("k")).select(F.col("k").alias("wanted")).distinct()
+    some = df.join(sources, df[key].eqNullSafe(F.col("wanted")), "left_semi")
+    sets = shingle_sets(some, key, text).join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    close = verified(pairs.join(x, "a").join(y, "b"), least)
+    groups = components(reduce(DataFrame.union, [simhash, close]))
+    counted = own.groupBy("key", "node").agg(F.count(F.lit(1)).alias("n_same"))
+    return counted.join(groups.withColumnRenamed("component", "group"), "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"), "n_same")
+
+
+def keep_one_of_each(df: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, with one row for each group of near copies: that of the smallest key (null last).
+
+    Of repeated rows one stays. An empty table gives no rows; other columns and their names are of no effect.
+    """
+    found = near_copy_groups(df, least, key, text)
+    stays = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col("node"), F.col("n_same"))).alias("s")).select(F.col("s.key").alias("kept_key"), F.col("s.node").alias("kept_node"), F.col("s.n_same").alias("kept_n"))
+
+    @F.pandas_udf("long")
+    def node_of(s):  # noqa: ANN001, ANN202
+        def one(t):  # noqa: ANN001, ANN202
+            n = xxhash.xxh3_64_intdigest(b" ".join((t or "").encode().lower().split()))
+            return n - (1 << 64) if n >> 63 else n
+
+        return s.map(one, na_action=None)
+
+    names = df.columns
+    row = df.select(F.struct(*[df[c] for c in names]).alias("row"), df[key].alias("own_key"), node_of(df[text]).alias("own_node"))
+    left = row.join(stays, F.col("own_key").eqNullSafe(F.col("kept_key")) & (F.col("own_node") == F.col("kept_node")))
+    once = left.where("kept_n = 1").select("row")
+    again = left.where("kept_n > 1").groupBy("own_key", "own_node").agg(F.first("row").alias("row")).select("row")
+    return once.union(again).select("row.*")
