@@ -9,15 +9,18 @@ other exactly as in the ids of the whole text.
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
 # Different words that one worker remembers; beyond, it starts anew (results are the same).
-MEMO_WORDS = 400_000
-# Words that are handed to the library at once.
-ENCODE_WORDS = 2_000
+MEMO_WORDS = 1_000_000
+# Words in one line for the library.
+JOINED_WORDS = 200
+SIGNS = frozenset(bytes([c]) for c in b".,;:!?")
+UPPER = re.compile(rb"[A-Z]")
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:
@@ -52,25 +55,50 @@ class WordEncoder:
         self.skips = set(lowers) <= {"NFC", "NFD", "NFKC", "Replace", "Lowercase"} and "Lowercase" in lowers
         if self.skips:
             self.plain.normalizer = None
+        special = next((t for t in json.loads(self.full.to_str())["added_tokens"] if t["special"] and t["content"].startswith("<|")), None)
+        self.mark = special["id"] if special else None
+        self.separator = f" {special['content']} ".encode() if special else b""
         self.counts = counts
         self.memo: dict[bytes, bytes | int] = {}
 
     def _encoded(self, tokenizer: Tokenizer, words: list[bytes]) -> None:
-        for at in range(0, len(words), ENCODE_WORDS):
-            some = words[at : at + ENCODE_WORDS]
-            done = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
+        lists = [words[at : at + JOINED_WORDS] for at in range(0, len(words), JOINED_WORDS)]
+        lines = [self.separator.join(ws).decode("utf-8", "replace") for ws in lists]
+        for some, done in zip(lists, tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+            ids = np.array(done.ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            starts = np.append(0, ends[:-1] + 1)
             if self.counts:
-                self.memo.update(zip(some, map(len, done), strict=True))
+                self.memo.update(zip(some, (ends - starts).tolist(), strict=True))
             else:
-                self.memo.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(some, done, strict=True))
+                raw = ids.tobytes()
+                self.memo.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, starts.tolist(), ends.tolist(), strict=True))
+
+    def _alone(self, words: list[bytes]) -> None:
+        for w in words:
+            ids = self.full.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
+            self.memo[w] = len(ids) if self.counts else np.array(ids, dtype="<u4").tobytes()
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.memo]
-        plain = [w for w in new if self.skips and w.isascii() and w == w.lower()]
-        self._encoded(self.plain, plain)
-        if len(plain) < len(new):
-            easy = set(plain)
-            self._encoded(self.full, [w for w in new if w not in easy])
+        """Encode what is not known yet: many words in a line, told apart by a special token between them."""
+        memo = self.memo
+        new = [w for w in words if w not in memo]
+        # a letter and a sign after it are never in one token
+        ended = [w for w in new if w[-1:] in SIGNS and w[:-1].isalpha()]
+        stems = {w[:-1] for w in ended}
+        stems.update(w[-1:] for w in ended)
+        ends = set(ended)
+        rest = [w for w in stems if w not in memo]
+        rest += [w for w in new if w not in ends and w not in stems]
+        marked = [w for w in rest if b"<|" in w or self.mark is None]
+        self._alone(marked)
+        rest = [w for w in rest if b"<|" not in w] if self.mark is not None else []
+        easy = [w for w in rest if self.skips and w.isascii() and not UPPER.search(w)]
+        self._encoded(self.plain, easy)
+        if len(easy) < len(rest):
+            done = set(easy)
+            self._encoded(self.full, [w for w in rest if w not in done])
+        memo.update((w, memo[w[:-1]] + memo[w[-1:]]) for w in ended)
 
     def split(self, bodies: list[bytes]) -> list[list[bytes]]:
         """Words of each text. Lower-casing first merges more words; special strings keep their case."""
