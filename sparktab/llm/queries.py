@@ -8,8 +8,10 @@ from sparktab.llm.decontaminate import find_items
 from sparktab.llm.packing import pack
 from sparktab.llm.pii import digest, find_pii
 from sparktab.llm.quality import score_quality
+from sparktab.llm.sharding import shard_rows
 from sparktab.llm.simhash import simhash_groups
 from sparktab.llm.token_counts import token_counts
+from sparktab.llm.vector_dedup import vector_links
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -28,6 +34,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,5 +50,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_pii(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_best_fit_packing, op5_token_counts, op7_benchmark_decontamination, op9_quality_co_training, op10_pii)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_simhash_near_dedup, op3_sharding, op4_best_fit_packing, op5_token_counts, op6_embedding_near_dedup, op7_benchmark_decontamination, op9_quality_co_training, op10_pii,
+    )
+}
 ORACLES: dict[str, str] = {}
