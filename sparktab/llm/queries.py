@@ -11,6 +11,7 @@ from sparktab.llm.quality import score_quality
 from sparktab.llm.sharding import shard_rows
 from sparktab.llm.simhash import simhash_groups
 from sparktab.llm.token_counts import token_counts
+from sparktab.llm.toxicity import score_toxicity
 from sparktab.llm.vector_dedup import vector_links
 
 
@@ -42,6 +43,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,7 +58,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_simhash_near_dedup, op3_sharding, op4_best_fit_packing, op5_token_counts, op6_embedding_near_dedup, op7_benchmark_decontamination, op9_quality_co_training, op10_pii,
+        op2_simhash_near_dedup, op3_sharding, op4_best_fit_packing, op5_token_counts, op6_embedding_near_dedup, op7_benchmark_decontamination, op8_toxicity, op9_quality_co_training, op10_pii,
     )
 }
 ORACLES: dict[str, str] = {}
