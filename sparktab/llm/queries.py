@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparktab.llm.decontaminate import find_items
+from sparktab.llm.license_scan import scan_licenses
 from sparktab.llm.packing import pack
 from sparktab.llm.pii import digest, find_pii
 from sparktab.llm.quality import score_quality
@@ -19,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_simhash_near_dedup, op3_sharding, op4_best_fit_packing, op5_token_counts, op6_embedding_near_dedup, op7_benchmark_decontamination, op8_toxicity, op9_quality_co_training, op10_pii,
+        op1_license_scan, op2_simhash_near_dedup, op3_sharding, op4_best_fit_packing, op5_token_counts, op6_embedding_near_dedup, op7_benchmark_decontamination, op8_toxicity, op9_quality_co_training, op10_pii,
     )
 }
 ORACLES: dict[str, str] = {}
