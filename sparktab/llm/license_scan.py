@@ -237,17 +237,26 @@ def train(others: list[list[bytes]], s: Settings) -> Model:
     pieces = [ws[i : i + 3] for ws in every for i in range(0, max(len(ws) - 2, 1), 3) if len(ws) > 8]
     ys += [unknown] * (len(others) + len(pieces) + 1)
     xs += [*others, *pieces, []]
-    x, y = model.dense(xs), np.array(ys)
+    y = np.array(ys)
     held = g.random(len(y)) < 0.2
-    a, target = x[~held], np.eye(unknown + 1)[y[~held]]
-    weight = 1 / np.maximum(np.bincount(y[~held], minlength=unknown + 1), 1)[y[~held]]
+    # equal rows are one, with their number: most other text has no known gram at all
+    number: dict[tuple, int] = {}
+    for ws, k in ((xs[i], ys[i]) for i in np.flatnonzero(~held)):
+        row = (k, *model.row(ws).tolist())
+        number[row] = number.get(row, 0) + 1
+    a = np.zeros((len(number), len(model.known)))
+    for out, (_, *own) in zip(a, number, strict=True):
+        out[own] = 1 / np.sqrt(max(len(own), 1))
+    label = np.array([k for k, *_ in number])
+    target, weight = np.eye(unknown + 1)[label], np.array(list(number.values()), dtype=float)
+    weight /= np.maximum(np.bincount(label, weights=weight, minlength=unknown + 1), 1)[label]
     weight /= weight.sum()
     for step in range(s.steps):
         d = (softmax(a @ model.w + model.bias) - target) * weight[:, None]
         rate = 30.0 * (1 - 0.9 * step / s.steps)
         model.w -= rate * (a.T @ d + 1e-5 * model.w)
         model.bias -= rate * d.sum(axis=0)
-    z, truth = x[held] @ model.w + model.bias, y[held]
+    z, truth = model.dense([xs[i] for i in np.flatnonzero(held)]) @ model.w + model.bias, y[held]
     heats = np.exp(np.linspace(-2, 2, 41))
     loss = [-np.log(softmax(z / h)[np.arange(len(truth)), truth] + 1e-12).mean() for h in heats]
     model.heat = float(heats[int(np.argmin(loss))])
