@@ -165,6 +165,11 @@ class Model:
             out[own] = 1 / np.sqrt(max(len(own), 1))
         return x
 
+    def holds_template(self, words: list[bytes]) -> bool:
+        row = self.row(words)
+        own = set(self.known[row].tolist()) if len(row) > 1 else set()
+        return bool(own) and any(len(own & t) >= self.s.shared * len(t) for ts in self.templates for t in ts)
+
     def chances(self, row: np.ndarray) -> np.ndarray:
         z = (self.w[row].sum(axis=0) / np.sqrt(max(len(row), 1)) + self.bias) / self.heat
         e = np.exp(z - z.max())
@@ -225,7 +230,7 @@ def train(others: list[list[bytes]], s: Settings) -> Model:
     model = Model(sorted(TEMPLATES), s)
     unknown = len(model.families)
     # paragraphs that hold a template are no examples of other text
-    others = [ws for ws in others if not any(len(set(model.known[model.row(ws)].tolist()) & t) >= s.shared * len(t) for ts in model.templates for t in ts)]
+    others = [ws for ws in others if not model.holds_template(ws)]
     xs, ys = [], []
     for k, f in enumerate(model.families):
         for t in TEMPLATES[f]:
