@@ -271,15 +271,16 @@ def train(others: list[list[bytes]], s: Settings) -> Model:
 def fit_licenses(df: DataFrame, settings: Settings | None = None, key: str = "doc_id", text: str = "text") -> Model:
     """Train with at most about ``sample_rows`` rows of ``df``, by hash, and ``sample_paragraphs`` windows of each as other text."""
     s = settings or Settings()
+    kind = df.schema[key].dataType.simpleString()
     share = min(1.0, s.sample_rows / max(df.count(), 1))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, bodies in rows_of(batches):
+        for keys, bodies in rows_of(batches):
             out = [[b" ".join(p[2]) for p in sorted(paragraphs(b, s), key=lambda p: zlib.crc32(b" ".join(p[2])))[: s.sample_paragraphs]] for b in bodies]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.binary()))], ["found"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array(out, pa.list_(pa.binary()))], ["key", "found"])
 
     chosen = df.where(hash_of(df[key], F.lit("license")) % (1 << 20) < int(share * (1 << 20)))
-    rows = texts(chosen, key, text).mapInArrow(some, "found array<binary>").collect()
+    rows = texts(chosen, key, text).mapInArrow(some, f"key {kind}, found array<binary>").groupBy("key").agg(F.min("found").alias("found")).collect()  # one row for each key
     return train(sorted(bytes(p).split(b" ") for r in rows for p in r["found"]), s)
 
 

@@ -122,7 +122,7 @@ def near_copy_groups(df: DataFrame, least: float = 0.8, key: str = "doc_id", tex
     pairs = cut(candidate_pairs(nodes))
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sources = own.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("k")).select(F.col("k").alias("wanted")).distinct()
-    some = df.join(sources, df[key].eqNullSafe(F.col("wanted")), "left_semi")
+    some = df.join(sources, df[key].eqNullSafe(sources["wanted"]), "left_semi")
     sets = shingle_sets(some, key, text).join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     close = verified(pairs.join(x, "a").join(y, "b"), least)

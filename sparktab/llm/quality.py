@@ -196,7 +196,7 @@ def _frames(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Ser
     return a, np.stack(b) if b else np.zeros((0, META))
 
 
-def _inputs(df: DataFrame, text: str, meta: tuple[str, str, str]) -> list[Column]:
+def _inputs(df: DataFrame, text: str = "text", meta: tuple[str, str, str] = ("lang", "source", "n_chars")) -> list[Column]:
     return [df[text].cast("binary"), df[meta[0]].cast("string"), df[meta[1]].cast("string"), df[meta[2]].cast("double")]
 
 
@@ -210,6 +210,8 @@ def fit_quality(df: DataFrame, labels: DataFrame, settings: Settings | None = No
     known = labels.where(labels[key].isNotNull() & labels[label].isNotNull()).groupBy(labels[key].alias("key")).agg(F.min(labels[label].cast("int")).alias("y"))
     share = lambda bound, n: int(min(1.0, bound / max(n, 1)) * (1 << 30))
     rank = lambda c, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(1 << 30))
+    # only what is needed, under own names: other columns of the documents may be called anything
+    base = df.select(df[key].alias("key"), df[text].alias("text"), *[df[c].alias(n) for c, n in zip(meta, ("lang", "source", "n_chars"), strict=True)])
     counted = known.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     chosen = known.where(rank(F.col("key"), "labelled") < share(s.labelled, counted))
 
@@ -218,15 +220,18 @@ def fit_quality(df: DataFrame, labels: DataFrame, settings: Settings | None = No
         a, b = _frames(t, g, o, n)
         return pd.DataFrame({"text": [r.tobytes() for r in a], "meta": [r.tobytes() for r in b]})
 
-    both = df.join(F.broadcast(chosen), df[key] == chosen["key"]).select(df[key].alias("key"), "y", packed(*_inputs(df, text, meta)).alias("x"))
-    others = df.where(rank(df[key], "pool") < share(s.pool, df.count())).join(F.broadcast(chosen.select("key")), df[key] == F.col("key"), "left_anti")
+    x = packed(*_inputs(base)).alias("x")
+    # one row for each key, so that a key of very many rows does not fill the sample
+    one = lambda d, *by: d.groupBy(*by).agg(F.min("x").alias("x"))
+    both = one(base.join(F.broadcast(chosen), "key").select("key", "y", x), "key", "y")
+    others = base.where(rank(F.col("key"), "pool") < share(s.pool, base.count())).join(F.broadcast(chosen.select("key")), "key", "left_anti")
     rows = sorted(both.collect(), key=lambda r: (r["key"], bytes(r["x"]["text"])))
-    free = sorted((r["x"] for r in others.select(packed(*_inputs(others, text, meta)).alias("x")).collect()), key=lambda x: bytes(x["text"]))
+    free = sorted((r["x"] for r in one(others.select("key", x), "key").collect()), key=lambda r: bytes(r["text"]))
     matrix = lambda xs, name, width: np.frombuffer(b"".join(bytes(x[name]) for x in xs), np.float32).reshape(-1, width)
-    x = [r["x"] for r in rows]
+    features = [r["x"] for r in rows]
     held = np.array([zlib.crc32(str(r["key"]).encode()) % 5 == 0 for r in rows], dtype=bool)
     y = np.array([r["y"] for r in rows], dtype=np.int64)
-    return co_train(matrix(x, "text", PAIRS + SUMMARY), matrix(x, "meta", META), y, held, (matrix(free, "text", PAIRS + SUMMARY), matrix(free, "meta", META)), s)
+    return co_train(matrix(features, "text", PAIRS + SUMMARY), matrix(features, "meta", META), y, held, (matrix(free, "text", PAIRS + SUMMARY), matrix(free, "meta", META)), s)
 
 
 def quality_scores(df: DataFrame, model: Model, text: str = "text", meta: tuple[str, str, str] = ("lang", "source", "n_chars")) -> Column:

@@ -362,8 +362,8 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, settings: Settings | None = N
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array(out, pa.list_(pa.binary()))], ["key", "windows"])
 
     kind = df.schema[key].dataType.simpleString()
-    own = texts(df.join(chosen, df[key] == F.col("k"), "left_semi"), key, text).mapInArrow(cut_windows, f"key {kind}, windows array<binary>")
-    found = own.join(chosen, F.col("key") == F.col("k")).select("key", "windows", "y").collect()
+    own = texts(df.join(chosen, df[key] == chosen["k"], "left_semi"), key, text).mapInArrow(cut_windows, f"key {kind}, windows array<binary>")
+    found = own.join(chosen, F.col("key") == F.col("k")).groupBy("key", "y").agg(F.min("windows").alias("windows")).collect()  # one row for each key
     found.sort(key=lambda r: (r["key"], [bytes(w) for w in r["windows"]]))
     return train([([bytes(w).split(b" ") if w else [] for w in r["windows"]], r["y"]) for r in found], s)
 

@@ -97,7 +97,7 @@ def spots(nodes: DataFrame, r: Routes) -> DataFrame:
                     cells, last, _ = r.split(unit([data[i] for i in rows]) @ made[width])
                     slab = np.floor(last / r.slab).astype(np.int64)
                     route = np.broadcast_to(np.arange(r.routes), cells.shape)
-                    place = (b.column(1).to_numpy()[rows].astype(np.int64)[:, None] * 1_000_003 + route * 7_919 + int(width) * 104_729).astype(np.uint64)
+                    place = b.column(1).to_numpy()[rows].view(np.uint64)[:, None] + (route * 7_919 + int(width) * 104_729).astype(np.uint64)
                     place = (place * np.uint64(0x9E3779B97F4A7C15)) ^ cells
                     reach = (last + r.window) // r.slab > slab
                     for who, home in (((slice(None), slice(None)), True), (np.nonzero(reach), False)):
@@ -109,7 +109,7 @@ def spots(nodes: DataFrame, r: Routes) -> DataFrame:
                             ["at", "route", "home", "node", "label", "copies", "vector"],
                         )
 
-    return nodes.select("node", "label", "width", "vector", "copies").mapInArrow(scan, "at long, route int, home boolean, node long, label int, copies long, vector binary")
+    return nodes.select("node", "label", "width", "vector", "copies").mapInArrow(scan, "at long, route int, home boolean, node long, label long, copies long, vector binary")
 
 
 def compared(rows: pa.Table, r: Routes, threshold: float, made: dict[int, np.ndarray]) -> list[np.ndarray]:
@@ -193,7 +193,7 @@ def local_links(placed: DataFrame, r: Routes, threshold: float) -> DataFrame:
 
 
 def vector_links(df: DataFrame, threshold: float = 0.98, miss: float = 5e-4, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
-    """``key, n_links, component_id, kept`` for every row.
+    """``key, n_links, component_id, kept`` for every row. Vectors are taken as 32-bit numbers, labels by their 64-bit hash.
 
     Two vectors of one width and one label (not null) are linked if their cosine in double precision reaches ``threshold``. Vectors that are null or zero, or hold
     nulls, NaN or infinities, link with nothing. Equal vectors are one node, with their number; a window of any size is compared whole, in parts. component_id: the smallest key reachable
@@ -203,7 +203,7 @@ def vector_links(df: DataFrame, threshold: float = 0.98, miss: float = 5e-4, key
     values = F.transform(df[vector], lambda v: v.cast("float"))
     finite = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     sound = df[label].isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(values, lambda v: v != 0), F.lit(False))
-    rows = df.select(df[key].alias("key"), df[label].cast("int").alias("label"), values.alias("values"), sound.alias("sound"))
+    rows = df.select(df[key].alias("key"), F.xxhash64(df[label]).alias("label"), values.alias("values"), sound.alias("sound"))
     rows = rows.withColumn("node", F.when(F.col("sound"), F.xxhash64("label", "values"))).withColumn("mark", F.when(F.col("sound"), F.xxhash64(F.lit("second"), "values", "label")))
     alone = rows.where("NOT sound").select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"), F.lit(True).alias("kept"))
     good = rows.where("sound")
@@ -234,4 +234,4 @@ def _as_bytes(nodes: DataFrame) -> DataFrame:
             own = [flat[s:e].tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(own, pa.binary()), b.column(4)], ["node", "label", "width", "vector", "copies"])
 
-    return nodes.select("node", "label", "width", "values", "copies").mapInArrow(pack, "node long, label int, width int, vector binary, copies long")
+    return nodes.select("node", "label", "width", "values", "copies").mapInArrow(pack, "node long, label long, width int, vector binary, copies long")
