@@ -63,7 +63,8 @@ STRANGE = frozenset(map(chr, ONE_TO_ONE)) | frozenset("­​‌‍‎‏⁠﻿")
 STRANGE_LATIN = [bytes([ord(c)]) for c in STRANGE if ord(c) < 256]
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _GAP = r"[\s,;.()-]{0,3}"
-SPELLED = re.compile(rf"(?:(?<!\w)plus{_GAP})?(?:(?<!\w)(?:{_WORD})(?!\w){_GAP}|\+?[0-9]{_GAP}){{4,}}", re.IGNORECASE)
+_ITEM = rf"(?:(?<!\w)(?:{_WORD})(?!\w)|\+?[0-9])"
+SPELLED = re.compile(rf"(?:(?<!\w)plus{_GAP})?{_ITEM}(?:{_GAP}{_ITEM}){{3,}}+", re.IGNORECASE)
 _BY_LETTER = "|".join(f"{c}(?:{'|'.join(w[1:] for w in DIGIT_WORDS if w[0] == c)})" for c in sorted({w[0] for w in DIGIT_WORDS}))
 # over lower-cased text after a blank; begins with a set of characters, which the matcher can skip to
 SPELLED_HINT = re.compile(rf"[\s,;.()\[\]{{}}<>:/|=*+\"'-](?:{_BY_LETTER})[\s,;.()-]{{1,3}}(?:{_BY_LETTER}|[0-9])")
@@ -178,8 +179,7 @@ def fold_digits(t: Traced) -> Traced:
         if not ONE_SPELLED.search(m[0]):
             return m[0]
         spelled = ONE_SPELLED.sub(lambda w: "+" if w[1] else str(DIGIT_WORDS[w[2].lower()]), m[0])
-        tail = re.search(rf"{_GAP}$", m[0])[0]
-        return re.sub(r"[^0-9+]", "", spelled) + tail
+        return re.sub(r"[^0-9+]", "", spelled)
 
     return t.rewrite(SPELLED, run)
 
