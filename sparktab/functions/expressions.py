@@ -87,13 +87,30 @@ def unit_hash(seed: int | str, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def poisson_weight(u: Column, rate: float, terms: int = 12) -> Column:
-    """Number of copies of a row in a Poisson(rate) bootstrap, by inverting the CDF."""
-    bounds, total = [], 0.0
-    for i in range(terms):
-        total += math.exp(-rate) * rate**i / math.factorial(i)
+def unit_hash52(seed: int | str, *keys: Column) -> Column:
+    """The same with 52 bits: every rank of a group of up to 2^52 rows can be drawn."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def poisson_bounds(rate: float) -> list[float]:
+    """Cumulative Poisson chances up to where no 32-bit uniform number lies beyond."""
+    bounds, i, term, total = [], 0, math.exp(-rate), 0.0
+    while total < 1 - 2.0**-34 and (i <= rate or term > 0):
+        total += term
         bounds.append(total)
-    return sum((F.when(u >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0)).cast("int")
+        i += 1
+        term *= rate / i
+    return bounds
+
+
+def poisson_weight(u: Column, rate: float) -> Column:
+    """Number of copies of a row in a Poisson(rate) bootstrap, by inverting the CDF.
+
+    ``u`` is bound once as an array element, so that a hash is evaluated once per row.
+    """
+    steps = lambda x: sum((F.when(x >= F.lit(b), 1).otherwise(0) for b in poisson_bounds(rate)), F.lit(0))
+    return F.transform(F.array(u), steps)[0].cast("int")
 
 
 def best_index(scores: Column) -> Column:

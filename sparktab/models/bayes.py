@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.expressions import best_index, name, num
+from sparktab.functions.expressions import best_index, finite, name, num
 from sparktab.operators.moments import FEW_COLUMNS, class_moments
 
 SMOOTHING = 1e-9  # fixed value: share of the largest variance added to every variance
@@ -84,7 +84,7 @@ class GaussianNB:
             return {c: (ms[0].rows, [m.mean for m in ms], [m.m2 / m.n for m in ms]) for c, ms in pick.items()}
         aggs = [F.count("*").alias("n")]
         for i, c in enumerate(self.features):
-            x = F.col(f"`{c}`").cast("double")
+            x = finite(F.col(f"`{c}`"))  # as beyond a few columns
             aggs += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
         rows = df.where(F.col(self.label).isNotNull()).groupBy(self.label).agg(*aggs).collect()  # one per class
         pick = range(len(self.features))

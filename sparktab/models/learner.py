@@ -77,6 +77,7 @@ class Learner:
 
     def fit(self, df: DataFrame) -> Fitted:
         ensure_checkpoint_dir(df.sparkSession)  # tree ensembles cut their lineage there
+        df = df.where(F.col(self.label).isNotNull())
         counts = {r[0]: r[1] for r in df.groupBy(self.label).count().collect()}
         rows = sum(counts.values())
         weights = {c: 1.0 for c in counts}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparktab.models.learner import VECTOR, WEIGHT, FitContext, Learner, columns_of
 from sparktab.operators.metrics import confusion_counts, scores_of
-from sparktab.operators.split import bootstrap_replicas
+from sparktab.operators.split import replica_copies
 
 
 def random_forest(
@@ -38,13 +38,11 @@ def out_of_bag(learner: Learner, df: DataFrame, key: str, replicas: int = 5, fra
     trains on its copies and scores the rows it did not draw.
     """
     cells: dict[tuple, int] = {}
-    drawn = bootstrap_replicas(df.select(key), key, frac, replicas, seed)
     for r in range(replicas):
-        bag = drawn.where(F.col("replica") == r).select(key, "copies")
-        rows = df.join(bag, key, "left")
-        inside = rows.where(F.col("copies").isNotNull()).withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies")))
-        model = learner.fit(inside.drop("copies", "__copy"))
-        scored = model.transform(rows.where(F.col("copies").isNull()).drop("copies"))
+        rows = df.withColumn("__copies", replica_copies(key, r, frac, seed))
+        inside = rows.where(F.col("__copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
+        model = learner.fit(inside.drop("__copies", "__copy"))
+        scored = model.transform(rows.where(F.col("__copies") == 0).drop("__copies"))
         for row in confusion_counts(scored, learner.label).collect():
             cells[(row["label"], row["prediction"])] = cells.get((row["label"], row["prediction"]), 0) + row["n"]
     return scores_of([{"label": y, "prediction": p, "n": n} for (y, p), n in cells.items()])

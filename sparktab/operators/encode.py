@@ -43,8 +43,10 @@ def onehot_columns(col: str, levels: Sequence[str]) -> list[tuple[str, str]]:
 
 def label_code(col: str, levels: Sequence[str], unseen: float = -1.0) -> str:
     """Position of the value among the sorted levels; ``unseen`` otherwise."""
-    spot = f"array_position(array({', '.join(text(v) for v in levels)}), {level_text(col)})"
-    return f"if({spot} > 0, double({spot} - 1), {num(unseen)})"
+    if not levels:
+        return num(unseen)
+    codes = ", ".join(f"{text(v)}, {num(i)}" for i, v in enumerate(levels))
+    return f"coalesce(try_element_at(map({codes}), {level_text(col)}), {num(unseen)})"
 
 
 @dataclass(frozen=True)

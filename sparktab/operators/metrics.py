@@ -7,6 +7,7 @@ no task has to hold all distinct scores.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -165,7 +166,7 @@ def _splits(df: DataFrame, score: str, bucket_rows: int) -> list[float]:
         return []
     probs = [i / parts for i in range(1, parts)]
     row = df.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10 * parts).alias("s")).first()
-    return sorted(set(row["s"] or []))
+    return sorted({s for s in row["s"] or [] if math.isfinite(s)})
 
 
 def running_counts(
@@ -235,7 +236,7 @@ def roc_auc(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int
     """Area under the ROC curve: each score adds a trapezoid of its own width."""
     run = running_counts(df, score, label, positive, bucket_rows)
     slab = F.col("neg") * (F.col("tp") - F.col("pos") / F.lit(2.0))
-    return run.agg(F.try_divide(F.sum(slab), (F.sum("pos") * F.sum("neg")).cast("double")).alias("roc_auc"))
+    return run.agg(F.try_divide(F.sum(slab), (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("roc_auc"))
 
 
 def pr_curve(df: DataFrame, score: str, label: str, positive=1, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

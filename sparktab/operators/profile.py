@@ -56,25 +56,29 @@ def value_counts(df: DataFrame, col: str, sort: str = "count") -> DataFrame:
 
 
 def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Sequence[float], limit: int) -> DataFrame:
-    """count, mean, std, min, max and quantiles (of finite values) per class and column, in long form."""
+    """count, mean, std, min, max and quantiles per class and column, in long form; finite values only."""
     direct = largest_group(df, by) * len(cols) <= limit
     spots = F.array(*[F.lit(float(p)) for p in probs])
     cells = []
     for c in cols:
-        x = known(df, c).cast("double")
+        x = finite(_q(c))
         parts = [
             F.lit(c).alias("feature"), F.count(x).alias("n"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
         ]
         if direct:
-            parts.append(F.percentile(finite(x), spots).alias("q"))
+            parts.append(F.percentile(x, spots).alias("q"))
         cells.append(F.struct(*parts))
     keys = [_q(b) for b in by]
     wide = df.groupBy(*keys).agg(F.array(*cells).alias("cells"))
     long = wide.select(*keys, F.inline("cells"))
     if direct:
         return long
-    return long.join(exact_quantiles(df, cols, probs, by, limit), [*by, "feature"])
+    q = exact_quantiles(df, cols, probs, by, limit).withColumnsRenamed({b: f"__{b}" for b in by} | {"feature": "__feature"})
+    match = F.col("feature") == F.col("__feature")
+    for b in by:
+        match &= _q(b).eqNullSafe(_q(f"__{b}"))
+    return long.join(q, match, "left").drop("__feature", *[f"__{b}" for b in by])
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: str | None = None, limit: int = DIRECT_ROWS) -> DataFrame:
@@ -145,8 +149,7 @@ def crosstab(df: DataFrame, a: str, b: str, levels: Sequence | None = None, marg
 
 
 def _corr(df: DataFrame, a: str, b: str) -> Column:
-    x, y = known(df, a).cast("double"), known(df, b).cast("double")
-    return F.corr(x, y)
+    return F.corr(finite(_q(a)), finite(_q(b)))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -211,7 +214,7 @@ def outlier_summary(df: DataFrame, cols: Sequence[str], k: float = 1.5, limit: i
     fences = {r["feature"]: r for r in _fences(df, cols, [], k, limit).collect()}
     cells = []
     for c in cols:
-        f, x = fences[c], known(df, c).cast("double")
+        f, x = fences[c], finite(_q(c))
         bad = (x < F.lit(f["lower"])) | (x > F.lit(f["upper"])) if f["q1"] is not None else F.lit(False)
         n = F.count_if(bad)
         cells.append(
@@ -253,7 +256,7 @@ def ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def summary_report(
     train: DataFrame, test: DataFrame, key: str, target: str,
-    numeric: Sequence[str], categorical: Sequence[str], range_cols: int = 5,
+    numeric: Sequence[str], categorical: Sequence[str], range_cols: int | None = None,
 ) -> DataFrame:
     """Sizes, feature counts by role, class mix, ranges, missing values, duplicates."""
     spark = train.sparkSession
@@ -297,7 +300,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
     A constant gets a range one unit wide around it.
     """
     keys = [by] if by else []
-    x = known(df, col).cast("double")
+    x = finite(_q(col))
     data = df.select(*[_q(k) for k in keys], x.alias("x")).where(F.col("x").isNotNull())
     spans = data.groupBy(*keys).agg(F.min("x").alias("low"), F.max("x").alias("high"))
     if by:
@@ -317,7 +320,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: str, k: float = 1.5, limit: int = DIRECT_ROWS) -> DataFrame:
     """Quartiles, whiskers at the last value inside the fences, and flier counts."""
-    cells = [F.struct(F.lit(c).alias("feature"), known(df, c).cast("double").alias("x")) for c in cols]
+    cells = [F.struct(F.lit(c).alias("feature"), finite(_q(c)).alias("x")) for c in cols]
     long = df.select(_q(by), F.inline(F.array(*cells))).where(F.col("x").isNotNull())
     fences = _fences(df, cols, [by], k, limit).withColumnsRenamed({by: "__by", "feature": "__feature"})
     match = F.col(by).eqNullSafe(F.col("__by")) & (F.col("feature") == F.col("__feature"))

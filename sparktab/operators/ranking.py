@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
@@ -204,7 +205,16 @@ def exact_quantiles(
     Groups that fit a task use Spark's exact ``percentile``; larger ones are
     narrowed first, with the same result.
     """
-    if largest_group(df, by) * len(cols) <= limit:
+    keys = [F.col(f"`{b}`") for b in by]
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    crowded = sizes.where(F.col("__n") * len(cols) > limit)
+    large = crowded.collect()  # so few because each holds many rows; all other groups stay in the cluster
+    if by and large and len(large) < sizes.count():
+        marks = crowded.select(*[k.alias(f"__{b}") for k, b in zip(keys, by)])
+        match = reduce(lambda x, y: x & y, [k.eqNullSafe(F.col(f"`__{b}`")) for k, b in zip(keys, by)])
+        small = exact_quantiles(df.join(marks, match, "left_anti"), cols, probs, by, limit)
+        return small.unionByName(exact_quantiles(df.join(marks, match, "left_semi"), cols, probs, by, limit))
+    if not large:
         spots = F.array(*[F.lit(float(p)) for p in probs])
         cells = [F.struct(F.lit(c).alias("feature"), F.percentile(finite(F.col(f"`{c}`")), spots).alias("q")) for c in cols]
         grouped = df.groupBy(*[f"`{b}`" for b in by]).agg(F.array(*cells).alias("cells"))
@@ -212,5 +222,7 @@ def exact_quantiles(
     found = order_values(df, cols, quantile_ranks(probs), by, limit)
     fields = [T.StructField(b, df.schema[b].dataType) for b in by]
     fields += [T.StructField("feature", T.StringType()), T.StructField("q", T.ArrayType(T.DoubleType()))]
-    rows = [(*key, [float(interpolated(r, p)) for p in probs]) for key, r in found.items()]
+    groups = [tuple(r[b] for b in by) for r in large] if by else [()]
+    # a group's column without a finite value has its row too, as in smaller groups
+    rows = [(*g, c, [float(interpolated(found[(*g, c)], p)) for p in probs] if (*g, c) in found else None) for g in groups for c in cols]
     return df.sparkSession.createDataFrame(rows, T.StructType(fields))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktab.functions.expressions import hash60, poisson_weight, unit_hash
+from sparktab.functions.expressions import hash60, poisson_weight, unit_hash, unit_hash52
 from sparktab.operators.ranking import DIRECT_ROWS, order_values
 from sparktab.session import small_side
 
@@ -127,7 +127,7 @@ def stratified_bootstrap(
     counts = {r[0]: r[1] for r in sorted(found, key=lambda r: str(r[0]))}
     if n >= sum(counts.values()):
         return df.withColumn("draw", F.lit(None).cast("bigint"))
-    bits = max(0, min(20, math.ceil(math.log2(max(counts.values()) / bucket_rows))))
+    bits = max(0, min(36, math.ceil(math.log2(max(counts.values()) / bucket_rows))))
     bucket = F.shiftright("__h", 60 - bits) if bits else F.lit(0).cast("bigint")
     rows = df.withColumn("__h", hash60(seed, F.col(key))).withColumn("__bucket", bucket)
     upto = W.partitionBy(label).orderBy("__bucket").rowsBetween(W.unboundedPreceding, 0)
@@ -144,7 +144,7 @@ def stratified_bootstrap(
         first += quota[c]
     classes = F.array(*[F.lit(c).cast(df.schema[label].dataType) for c in names])
     draws = spark.range(n).withColumnRenamed("id", "draw").select("draw", F.get(classes, owner).alias("c"), size.cast("bigint").alias("size"))
-    draws = draws.withColumn("rank", F.floor(unit_hash(f"{seed}-draw", F.col("draw")) * F.col("size")).cast("bigint"))
+    draws = draws.withColumn("rank", F.floor(unit_hash52(f"{seed}-draw", F.col("draw")) * F.col("size")).cast("bigint"))
     # ranks meet buckets through a coarse cell, so this is an equi join, not a range scan
     width = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(2**bits))).cast("bigint")
     cut = spans.withColumn("size", per_class(F.col("c"), size_of).cast("bigint"))
@@ -169,9 +169,15 @@ def bootstrap_replicas(df: DataFrame, key: str, frac: float = 0.8, n: int = 20,
     Copies follow Poisson(frac), the limit of drawing ``frac * rows`` rows with
     replacement; every row decides by itself, so nothing is shuffled.
     """
-    each = df.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    u = unit_hash(seed, F.col("replica"), F.col(key))
-    return each.withColumn("copies", poisson_weight(u, frac)).where(F.col("copies") > 0)
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: F.struct(r.alias("replica"), replica_copies(key, r, frac, seed).alias("copies")))
+    each = df.withColumn("__r", F.explode(F.filter(drawn, lambda d: d["copies"] > 0)))
+    return each.select(*[F.col(f"`{c}`") for c in df.columns], "__r.replica", "__r.copies")
+
+
+def replica_copies(key: str, replica: Column | int, frac: float, seed: int = 42) -> Column:
+    """Copies of a row in one replica: a column, so that a single replica needs neither the others nor a join."""
+    r = replica if isinstance(replica, Column) else F.lit(replica)
+    return poisson_weight(unit_hash(seed, r, F.col(key)), frac)
 
 
 def class_weights(df: DataFrame, label: str, mode: str = "balanced", out: str = "weight") -> DataFrame:

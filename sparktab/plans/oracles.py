@@ -19,6 +19,10 @@ def unit(seed: str, keys: str) -> str:
     return f"(('0x' || substr(md5(concat_ws('|', '{seed}', {keys})), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
+def unit52(seed: str, keys: str) -> str:
+    return f"(('0x' || substr(md5(concat_ws('|', '{seed}', {keys})), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
 def r(x: str, digits: int = 6) -> str:
     return f"round({x}, {digits}) + 0.0"
 
@@ -153,7 +157,7 @@ add("describe_by_class", " UNION ALL ".join(moments("lineitem", c, "l_returnflag
 add("stats_by_group", moments("customer", "c_acctbal", "c_mktsegment", ("q1", "median", "q3")))
 add("distinct_counts", " UNION ALL ".join(f"SELECT '{c}' AS feature, count(DISTINCT {c}) AS n_distinct FROM part" for c in ("p_brand", "p_type", "p_size", "p_name")))
 add("distinct_values", "SELECT DISTINCT o_orderpriority FROM orders")
-add("duplicate_rows", """SELECT 'rows' AS kind, (count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem)))::BIGINT AS n_duplicates FROM lineitem
+add("duplicate_rows", """SELECT 'rows' AS kind, (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)))::BIGINT AS n_duplicates FROM lineitem
   UNION ALL SELECT 'keys', count(*) - count(DISTINCT l_orderkey) FROM lineitem""")
 add("crosstab", """SELECT coalesce(l_returnflag, 'All') AS l_returnflag, count(*) FILTER (l_linestatus = 'F') AS F,
   count(*) FILTER (l_linestatus = 'O') AS O, count(*) AS "All" FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), ())""")
@@ -332,7 +336,7 @@ add("plain_folds", f"SELECT o_orderkey, (ntile(5) OVER (ORDER BY {h60('o_orderke
 add("stratified_bootstrap", f"""WITH c AS (SELECT o_orderstatus AS s, count(*) AS n, 800.0 * count(*) / sum(count(*)) OVER () AS share FROM orders GROUP BY 1),
   q AS (SELECT *, floor(share) + (row_number() OVER (ORDER BY share - floor(share) DESC, s) <= 800 - sum(floor(share)) OVER ())::INTEGER AS quota FROM c),
   p AS (SELECT *, sum(quota) OVER (ORDER BY s) - quota AS lo FROM q),
-  d AS (SELECT range AS draw, s, floor({unit('42-draw', 'range')} * n) AS rk FROM range(800), p WHERE range >= lo AND range < lo + quota),
+  d AS (SELECT range AS draw, s, floor({unit52('42-draw', 'range')} * n) AS rk FROM range(800), p WHERE range >= lo AND range < lo + quota),
   o AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {h60('o_orderkey')}, o_orderkey) - 1 AS rk FROM orders)
   SELECT draw, o_orderkey, o_orderstatus FROM d JOIN o ON s = o_orderstatus AND d.rk = o.rk""")
 

@@ -272,8 +272,7 @@ def distinct_values(spark, sf):
 
 @query
 def duplicate_rows(spark, sf):
-    li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    return profile.duplicate_counts(li, "l_orderkey")
+    return profile.duplicate_counts(read(spark, sf, "lineitem"), "l_orderkey")
 
 
 @query

@@ -347,3 +347,58 @@ def test_blend_with_one_weight_is_the_model(spark):
     df = spark.createDataFrame([(0.9, 0.1, 1), (0.2, 0.8, 0), (0.6, 0.4, 0)], "a double, b double, y int")
     out = blend_search(df, ["a", "b"], "y", [((1.0, 0.0), 0.5), ((0.0, 1.0), 0.5)]).orderBy("ordinal").collect()
     assert [r["f1"] for r in out] == pytest.approx([2 / 3, 0.0])
+
+
+def test_both_sides_of_the_size_limit_agree(spark):
+    """NULL groups, columns without a finite value, NaN and infinities: the same rows from either path."""
+    from sparktab.operators import profile
+
+    inf, nan = float("inf"), float("nan")
+    data = [(g, float(i % 17) if i % 5 else None, None, [inf, -inf, nan, float(i)][i % 4]) for g in ("a", "b", None) for i in range(60)]
+    data += [("lonely", 1.0, None, inf)]
+    df = spark.createDataFrame(data, "g string, x double, empty double, odd double")
+    cols, order = ["x", "empty", "odd"], lambda d: sorted(map(str, d.collect()))
+    for limit in (1, 100, 200):  # narrowed for all groups, for the large ones, for none
+        for f in (lambda n: profile.describe(df, cols, "g", n), lambda n: profile.describe(df, cols, None, n), lambda n: profile.outlier_summary(df, cols, 1.5, n), lambda n: profile.box_stats(df, cols, "g", 1.5, n)):
+            assert order(f(limit)) == order(f(10**9))
+    assert profile.describe(df, cols, "g", 1).count() == 12
+    assert profile.histogram(df, "odd", 4).agg(F.sum("n")).first()[0] == 45
+    assert profile.corr_matrix(df, ["x", "odd"]).where("feature_a = 'x' AND feature_b = 'odd'").first()["corr"] == pytest.approx(
+        profile.corr_matrix(df.select("*", *[F.col("x").alias(f"x{i}") for i in range(9)]), ["x", "odd", *[f"x{i}" for i in range(9)]]).where("feature_a = 'x' AND feature_b = 'odd'").first()["corr"]
+    )
+
+
+def test_incomplete_vectors_have_no_neighbours(spark):
+    from sparktab.operators.knn import knn_join
+
+    rows = [(i, float(i), float(i % 3)) for i in range(30)]
+    odd = [(100, None, 1.0), (101, float("nan"), 1.0), (102, 1.0, float("inf"))]
+    clean, mixed = (spark.createDataFrame(d, "id long, a double, b double") for d in (rows, rows + odd))
+    want = sorted(map(tuple, knn_join(clean, clean, "id", ["a", "b"], 3).collect()))
+    assert len(want) == 90
+    for size in (64 << 20, 0):  # broadcast, pivots
+        assert sorted(map(tuple, knn_join(mixed, mixed, "id", ["a", "b"], 3, broadcast_bytes=size).collect())) == want
+
+
+def test_curves_with_infinite_scores_and_many_buckets(spark):
+    from sparktab.operators.metrics import roc_auc
+
+    inf = float("inf")
+    df = spark.createDataFrame([(s, int((i * 7) % 3 == 0)) for i, s in enumerate([inf, -inf, 0.5, 0.25, inf, 0.75, -inf, 0.1] * 20)], "score double, y int")
+    one, many = (roc_auc(df, "score", "y", 1, n).first()[0] for n in (10_000, 10))
+    assert one == pytest.approx(many)
+
+
+def test_copies_follow_the_rate(spark):
+    from sparktab.functions.expressions import poisson_weight, unit_hash
+
+    mean = spark.range(20_000).select(F.avg(poisson_weight(unit_hash(1, F.col("id")), 15.0))).first()[0]
+    assert abs(mean - 15) < 0.15
+
+
+def test_codes_of_levels(spark):
+    from sparktab.operators.encode import label_code
+
+    df = spark.createDataFrame([("b",), ("a",), ("zz",), (None,)], "c string")
+    assert [r[0] for r in df.select(F.expr(label_code("c", ["a", "b"]))).collect()] == [1.0, 0.0, -1.0, -1.0]
+    assert [r[0] for r in df.select(F.expr(label_code("c", []))).collect()] == [-1.0] * 4
