@@ -448,6 +448,35 @@ add("naive_bayes_report", f"""WITH {QUALITY}, {split_cte('data', 'doc_id', 'qual
   tr AS (SELECT * FROM sc WHERE NOT is_test), te AS (SELECT * FROM sc WHERE is_test),
   {naive_bayes_cte(SHAPE, 'quality', 'tr', 'te', 'doc_id')}, best AS (SELECT truth, c AS guess FROM ps WHERE best = 1), {report('best', 'truth', 'guess')}""")
 
+
+def bayes_folds_cte(features, label: str, folded: str, grid: dict[int, str], binary: bool) -> str:
+    """Scores of naive Bayes on every fold, for each smoothing of the grid: ``fs(param_id, f, f1, f1_macro, accuracy)``."""
+    aggs = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in features)
+    top = ", ".join(f"var_pop({f})" for f in features)
+    terms = " - ".join(f"(0.5 * ln(2 * pi() * (v_{f} + top * smooth)) + (q.{f} - m_{f}) * (q.{f} - m_{f}) / (2 * (v_{f} + top * smooth)))" for f in features)
+    settings = " UNION ALL ".join(f"SELECT {i} AS param_id, {s}::DOUBLE AS smooth" for i, s in grid.items())
+    f1 = "max(f1) FILTER (c = 1)" if binary else "avg(f1)"
+    return f"""kf AS (SELECT DISTINCT fold AS f FROM {folded}), pg AS ({settings}),
+    st AS (SELECT f, {label} AS c, count(*) AS n, {aggs} FROM kf JOIN {folded} ON fold <> f GROUP BY 1, 2),
+    ov AS (SELECT f, greatest({top}) AS top, count(*) AS total FROM kf JOIN {folded} ON fold <> f GROUP BY 1),
+    ll AS (SELECT param_id, st.f, q.doc_id, q.{label} AS truth, c, ln(n::DOUBLE / total) - {terms} AS s
+      FROM {folded} q JOIN st ON st.f = q.fold JOIN ov ON ov.f = q.fold CROSS JOIN pg),
+    gs AS (SELECT param_id, f, truth, c AS guess FROM ll QUALIFY row_number() OVER (PARTITION BY param_id, f, doc_id ORDER BY s DESC, c) = 1),
+    cs AS (SELECT param_id, f, truth AS c FROM gs UNION SELECT param_id, f, guess FROM gs),
+    pc AS (SELECT param_id, f, c, coalesce(2.0 * count(*) FILTER (truth = c AND guess = c) / nullif(count(*) FILTER (truth = c) + count(*) FILTER (guess = c), 0), 0)::DOUBLE AS f1
+      FROM cs JOIN gs USING (param_id, f) GROUP BY 1, 2, 3),
+    fs AS (SELECT param_id, f, {f1} AS f1, avg(f1) AS f1_macro, any_value(hit) AS accuracy
+      FROM pc JOIN (SELECT param_id, f, avg((truth = guess)::INTEGER) AS hit FROM gs GROUP BY 1, 2) USING (param_id, f) GROUP BY 1, 2)"""
+
+
+add("cross_validated_score", f"""WITH {LANGUAGES}, folded AS (SELECT *, (ntile(5) OVER (PARTITION BY y ORDER BY doc_id) - 1)::INTEGER AS fold FROM data),
+  {bayes_folds_cte(VOWELS, 'y', 'folded', {0: '1e-9'}, False)}
+  SELECT f AS fold, {r('f1', 4)} AS f1, {r('f1_macro', 4)} AS f1_macro, {r('accuracy', 4)} AS accuracy FROM fs""")
+add("best_single_fold", f"""WITH {QUALITY}, folded AS (SELECT *, (ntile(5) OVER (ORDER BY {h60('doc_id')}, doc_id) - 1)::INTEGER AS fold FROM data),
+  {bayes_folds_cte(SHAPE, 'quality', 'folded', {0: '1e-9', 1: '0.1', 2: '0.01', 3: '0.001', 4: '1e-6'}, True)}
+  SELECT param_id, CASE param_id WHEN 0 THEN '{{}}' WHEN 1 THEN '{{"smoothing": 0.1}}' WHEN 2 THEN '{{"smoothing": 0.01}}' WHEN 3 THEN '{{"smoothing": 0.001}}' ELSE '{{"smoothing": 1e-06}}' END AS params,
+    f AS fold, {r('f1', 4)} AS f1, {r('f1_macro', 4)} AS f1_macro, {r('accuracy', 4)} AS accuracy FROM fs ORDER BY fs.f1 DESC, param_id, f LIMIT 1""")
+
 # --- combining ---------------------------------------------------------------------
 
 

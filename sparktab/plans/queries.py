@@ -864,7 +864,7 @@ def cross_validation(spark, sf):
 @query
 def best_single_fold(spark, sf):
     df = cached(split.kfold(quality(spark, sf), "doc_id", 5))
-    report = tune.cv_report(lambda p: GaussianNB(SHAPE, "quality", **p), [{}, {"smoothing": 0.1}], df, "quality")
+    report = tune.cv_report(lambda p: GaussianNB(SHAPE, "quality", **p), [{}, *[{"smoothing": s} for s in (0.1, 0.01, 0.001, 1e-6)]], df, "quality")
     return rounded(tune.best_fold(report), 4)
 
 
