@@ -817,7 +817,7 @@ def scaled_languages(spark, sf) -> DataFrame:
 @query
 def neural_network(spark, sf):
     train, test = split.train_test(scaled_languages(spark, sf), "doc_id", "y")
-    model = mlp(VOWELS, "y", "doc_id", hidden=(32, 16), lr=0.3, dropout=0.1, epochs=15, batch=64).fit(train, test)
+    model = mlp(VOWELS, "y", "doc_id", hidden=(128, 64), lr=0.3, dropout=0.1, epochs=50, batch=64).fit(train, test)
     return rounded(metrics.classification_report(model.transform(test), "y"), 4)
 
 
@@ -825,7 +825,7 @@ def neural_network(spark, sf):
 def network_history(spark, sf):
     df = cached(quality(spark, sf))
     train, test = split.train_test(fit_scaler(df, SHAPE).transform(df), "doc_id", "quality")
-    return rounded(mlp(SHAPE, "quality", "doc_id", hidden=(16,), lr=0.3, epochs=8, batch=32).fit(train, test).history_frame(spark), 4)
+    return rounded(mlp(SHAPE, "quality", "doc_id", hidden=(128, 64), lr=0.3, epochs=50, batch=32).fit(train, test).history_frame(spark), 4)
 
 
 @query
@@ -855,8 +855,8 @@ def bagged_neighbours(spark, sf):
 
 @query
 def cross_validation(spark, sf):
-    df = cached(split.kfold(quality(spark, sf), "doc_id", 3))
-    grid = [{"C": 1.0, "penalty": "l2"}, {"C": 0.1, "penalty": "l1"}]
+    df = cached(split.kfold(quality(spark, sf), "doc_id", 5))
+    grid = [{"C": c, "penalty": p} for p, c in (("l2", 0.1), ("l2", 1.0), ("l2", 10.0), ("l1", 0.1), ("l1", 1.0))]
     report = tune.cv_report(lambda p: logreg(SHAPE, "quality", **p), grid, df, "quality")
     return rounded(tune.cv_means(report), 4)
 
@@ -876,8 +876,9 @@ def cross_validated_score(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    df = cached(split.stratified_folds(languages(spark, sf), "doc_id", "y", 3))
-    best, model, _ = tune.grid_search(lambda p: logreg(VOWELS, "y", **p), [{"C": 0.1}, {"C": 10.0}], df, "y", "f1_macro")
+    df = cached(split.stratified_folds(languages(spark, sf), "doc_id", "y", 5))
+    grid = [{"C": c} for c in (0.01, 0.1, 1.0, 10.0, 100.0)]
+    best, model, _ = tune.grid_search(lambda p: logreg(VOWELS, "y", **p), grid, df, "y", "f1_macro")
     out = predict(model, df, "doc_id")
     return out.groupBy("prediction").agg(F.count("*").alias("n")).withColumn("best_c", F.lit(best["C"]))
 
@@ -887,7 +888,7 @@ def svm_search(spark, sf):
     df = cached(quality(spark, sf))
     train, valid = split.train_test(df, "doc_id", "quality")
     grid = [{"C": c} for c in (0.25, 0.5, 1.0, 2.0)]
-    _, scores = tune.holdout_search(lambda p: linear_svm(SHAPE, "quality", max_iter=100, **p), grid, train, valid, "quality")
+    _, scores = tune.holdout_search(lambda p: linear_svm(SHAPE, "quality", max_iter=1000, **p), grid, train, valid, "quality")
     return rounded(spark.createDataFrame([(p["C"], f) for p, f in scores], "c double, f1 double"), 4)
 
 
