@@ -66,4 +66,22 @@ QUERIES = {
         op1_license_scan, op2_simhash_near_dedup, op3_sharding, op4_best_fit_packing, op5_token_counts, op6_embedding_near_dedup, op7_benchmark_decontamination, op8_toxicity, op9_quality_co_training, op10_pii,
     )
 }
-ORACLES: dict[str, str] = {}
+# Trained models, token ids, XXH64 and CRC-32 over texts have no SQL form; these queries are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op6_embedding_near_dedup": """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM embeddings v JOIN least c ON c.a = v.vec_id LEFT JOIN degree d ON d.a = v.vec_id""",
+}
