@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +27,7 @@ CLIP = 1e-15  # fixed value: probabilities are clipped by this much before the l
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+    return 0.5 * (1.0 + np.tanh(0.5 * z))
 
 
 def initial_weights(sizes: Sequence[int], activation: str, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -132,6 +131,19 @@ class MLPModel:
         return spark.createDataFrame([tuple(h.get(n) for n in names) for h in self.history], schema)
 
 
+def whole_shards(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Frames sorted by ``shard``, put together again shard by shard; one shard is held at a time."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        for shard, rows in frame.groupby("shard", sort=False):
+            if held and held[0]["shard"].iloc[0] != shard:
+                yield int(held[0]["shard"].iloc[0]), pd.concat(held)
+                held = []
+            held.append(rows)
+    if held:
+        yield int(held[0]["shard"].iloc[0]), pd.concat(held)
+
+
 @dataclass(frozen=True)
 class MLP:
     features: tuple[str, ...]
@@ -147,6 +159,7 @@ class MLP:
     patience: int = 8
     weighting: str | None = "balanced"
     seed: int = 42
+    shard_rows: int = 32_768
 
     def fit(self, df: DataFrame, valid: DataFrame | None = None) -> MLPModel:
         """Train; with ``valid``, stop early on its F1 and keep the best weights."""
@@ -156,7 +169,7 @@ class MLP:
             table = {c: 1.0 for c in table}
         sizes = [len(self.features), *self.hidden, 1 if classes == 2 else classes]
         model = MLPModel(self.features, sizes, initial_weights(sizes, self.activation, self.seed), self.activation, classes)
-        train, parts = self._shuffled(df, table)
+        train = self._sharded(df, table)
         held = cached(self._columns(valid, table)) if valid is not None else None
         best, best_f1, waited = model.weights, 0.0, 0
         try:
@@ -189,24 +202,26 @@ class MLP:
             label.cast("int").alias("y"), per_class(label, table).alias("w"),
         )
 
-    def _shuffled(self, df: DataFrame, table: dict) -> tuple[DataFrame, int]:
-        """Rows in a repeatable random order, enough of them in every partition."""
-        data = self._columns(df, table)
-        rows = df.count()
-        parts = max(1, min(df.sparkSession.sparkContext.defaultParallelism, rows // (4 * self.batch)))
-        return cached(data.repartition(parts, "h").sortWithinPartitions("h")), parts
+    def _sharded(self, df: DataFrame, table: dict) -> DataFrame:
+        """Rows by shard, in a repeatable random order.
+
+        A shard is one averaged network. How many there are follows from the rows alone and who is in them from the hash of the key,
+        so neither cores nor Arrow batches change the result.
+        """
+        shards = max(1, -(-df.count() // self.shard_rows))
+        data = self._columns(df, table).withColumn("shard", F.pmod(F.col("h"), F.lit(shards)))
+        return cached(data.repartition("shard").sortWithinPartitions("shard", "h"))
 
     def _epoch(self, train: DataFrame, weights, sizes, lr: float, epoch: int):
         batch, drop, activation, seed, outputs = self.batch, self.dropout, self.activation, self.seed, sizes[-1]
         shared = train.sparkSession.sparkContext.broadcast(flatten(weights))
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            part = TaskContext.get().partitionId()
-            rng = np.random.default_rng([seed, epoch, part])
-            mine = [(w.copy(), b.copy()) for w, b in unflatten(shared.value, sizes)]
-            rows = batches = 0
-            loss = 0.0
-            for frame in frames:
+            total = None
+            for shard, frame in whole_shards(frames):
+                rng = np.random.default_rng([seed, epoch, shard])
+                mine = [(w.copy(), b.copy()) for w, b in unflatten(shared.value, sizes)]
+                loss = batches = 0.0
                 x = np.array(frame["x"].tolist(), dtype="float64").reshape(len(frame), -1)
                 y, w = frame["y"].to_numpy(), frame["w"].to_numpy()
                 order = rng.permutation(len(frame))
@@ -219,12 +234,12 @@ class MLP:
                         mw -= lr * gw
                         mb -= lr * gb
                     batches += 1
-                rows += len(frame)
-            if rows:
-                tail = [rows, loss, batches]
-                yield pd.DataFrame({"v": [np.concatenate([flatten(mine) * rows, tail])]})
+                own = np.concatenate([flatten(mine) * len(frame), [len(frame), loss, batches]])
+                total = own if total is None else total + own
+            if total is not None:
+                yield pd.DataFrame({"v": [total]})
 
-        local = train.select("x", "y", "w").mapInPandas(run, "v array<double>")
+        local = train.select("shard", "x", "y", "w").mapInPandas(run, "v array<double>")
         summed = local.select(F.posexplode("v")).groupBy("pos").agg(F.sum("col").alias("s")).toPandas()
         flat = summed.sort_values("pos")["s"].to_numpy()
         shared.destroy()

@@ -184,3 +184,20 @@ def test_predict_and_grid(blobs):
     assert predict(model, blobs, "key").columns == ["key", "prediction", "probability"]
     surface = workflows.score_grid(model, blobs, "a", "b", 0.5)
     assert surface.count() == surface.select("a", "b").distinct().count() > 100
+
+
+def test_network_does_not_depend_on_cores_or_batches(spark, blobs):
+    from sparktab.models.mlp import mlp
+
+    found = []
+    for cores, arrow in (("8", "10000"), ("2", "37")):
+        old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+        for k, v in zip(old, (cores, arrow), strict=True):
+            spark.conf.set(k, v)
+        try:
+            model = mlp(("a", "b"), "y", "key", hidden=(6,), epochs=3, batch=16, shard_rows=100, lr=0.1).fit(blobs.repartition(int(cores)))
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        found.append([h["train_loss"] for h in model.history])
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
