@@ -422,6 +422,7 @@ def neighbours(k: int, dist: str, train: str = "embeddings", query: str = "embed
 L2 = "sqrt(list_sum(list_transform(list_zip(q.embedding, t.embedding), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE))))"
 L1 = "list_sum(list_transform(list_zip(q.embedding, t.embedding), lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE)))"
 add("nearest_neighbours", f"WITH {neighbours(5, L2)} SELECT qid, tid, {r('dist')} AS dist, rank::INTEGER AS rank FROM nb")
+ORACLES["nearest_neighbours_pivots"] = ORACLES["nearest_neighbours"]
 add("nearest_neighbours_manhattan", f"WITH {neighbours(3, L1)} SELECT qid, tid, {r('dist')} AS dist, rank::INTEGER AS rank FROM nb")
 add("knn_classify", f"""WITH {split_cte('embeddings', 'vec_id', 'label')}, tr AS (SELECT * FROM marked WHERE NOT is_test), te AS (SELECT * FROM marked WHERE is_test),
   {neighbours(15, L2, 'tr', 'te')}, v AS (SELECT qid, label, CASE WHEN bool_or(min(dist) = 0) OVER (PARTITION BY qid) THEN sum((dist = 0)::INTEGER)::DOUBLE ELSE sum(1 / nullif(dist, 0)) END AS w FROM nb GROUP BY qid, label),

@@ -621,6 +621,13 @@ def nearest_neighbours(spark, sf):
     return rounded(knn.knn_join(e, e, "vec_id", "embedding", 5))
 
 
+@query
+def nearest_neighbours_pivots(spark, sf):
+    """The path for training sides that are not broadcast."""
+    e = read(spark, sf, "embeddings")
+    return rounded(knn.knn_join(e, e, "vec_id", "embedding", 5, broadcast_bytes=0))
+
+
 @query
 def nearest_neighbours_manhattan(spark, sf):
     e = read(spark, sf, "embeddings")
