@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from sparktab.functions.expressions import name, num, text
 from sparktab.operators.clean import map_values
+from sparktab.session import checkpointed
 
 MISSING = "nan"  # fixed value: the name of the level made of missing values
 MAX_LEVELS = 10_000  # levels become columns or literals, so their number must be bounded
@@ -32,7 +33,7 @@ def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS)
         found[r["feature"]].append(r["level"])
     for c, levels in found.items():
         if len(levels) > max_levels:
-            raise ValueError(f"{c!r} has more than {max_levels} levels; treat it as a key and join a code table")
+            raise ValueError(f"{c!r} has more than {max_levels} levels; use code_table and encode_by_table")
     return {c: sorted(v) for c, v in found.items()}
 
 
@@ -49,6 +50,27 @@ def label_code(col: str, levels: Sequence[str], unseen: float = -1.0) -> str:
     return f"coalesce(try_element_at(map({codes}), {level_text(col)}), {num(unseen)})"
 
 
+def code_table(df: DataFrame, col: str) -> DataFrame:
+    """``level, code`` for any number of levels: their positions in sorted order.
+
+    Levels are sorted by ranges; a range's first code is the number of levels in the ranges before it, so neither the
+    driver nor one task holds them all. The ranges are written once, because codes must come from the same ones.
+    """
+    levels = df.select(F.expr(level_text(col)).alias("level")).distinct().repartitionByRange("level")
+    ranges = checkpointed(levels).withColumn("part", F.spark_partition_id())
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # a row for each range
+    starts = ranges.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(W.partitionBy("part").orderBy("level")) - 1
+    return ranges.withColumn("own", own).join(starts, "part").select("level", (F.col("start") + F.col("own")).cast("double").alias("code"))
+
+
+def encode_by_table(df: DataFrame, col: str, codes: DataFrame, out: str, unseen: float = -1.0) -> DataFrame:
+    """Add the code of ``col`` from a ``code_table``; ``unseen`` where it has none. The join form of ``label_code``."""
+    table = codes.select(F.col("level").alias("__level"), F.col("code").alias("__code"))
+    joined = df.join(table, F.expr(level_text(col)) == F.col("__level"), "left")
+    return joined.withColumn(out, F.coalesce("__code", F.lit(float(unseen)))).drop("__level", "__code")
+
+
 @dataclass(frozen=True)
 class LabelCoder:
     """Codes for the target classes in alphabetical order."""

@@ -303,6 +303,9 @@ add("onehot_standard", f"""WITH f AS (SELECT p_partkey, {', '.join(f'{v} AS "{n}
   SELECT p_partkey, {', '.join(f'{r(f"""("{n}" - m{i}) / s{i}""")} AS "{n}"' for i, (n, _) in enumerate(ONEHOT))} FROM f, s""")
 add("label_codes", """SELECT p_partkey, (dense_rank() OVER (ORDER BY p_brand) - 1)::DOUBLE AS p_brand_encoded,
   (dense_rank() OVER (ORDER BY p_type) - 1)::DOUBLE AS p_type_encoded FROM part""")
+add("label_codes_many", """WITH fitted AS (SELECT DISTINCT p_name FROM part WHERE p_partkey % 10 <> 0),
+  coded AS (SELECT p_name, (row_number() OVER (ORDER BY p_name) - 1)::DOUBLE AS code FROM fitted)
+  SELECT p_partkey, part.p_name, coalesce(code, -1.0)::DOUBLE AS p_name_code FROM part LEFT JOIN coded ON part.p_name = coded.p_name""")
 add("both_encodings", f"""SELECT c_custkey, {', '.join(f'{v} AS "{n}"' for n, v in onehot_sql('c_mktsegment', SEGMENTS))},
   (dense_rank() OVER (ORDER BY c_mktsegment) - 1)::DOUBLE AS c_mktsegment_encoded FROM customer""")
 add("unseen_levels", """WITH l AS (SELECT p_brand AS b, (row_number() OVER (ORDER BY p_brand) - 1)::DOUBLE AS code FROM (SELECT DISTINCT p_brand FROM part WHERE p_size <= 1))

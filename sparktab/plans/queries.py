@@ -419,6 +419,14 @@ def label_codes(spark, sf):
     return part_spec(scaler=None, encoding="label", blocks=("categorical",)).fit(df).transform(df)
 
 
+@query
+def label_codes_many(spark, sf):
+    """Any number of levels, by join; one part in ten is left out of the fit, so some names are unseen."""
+    df = read(spark, sf, "part")
+    codes = encode.code_table(df.where(F.col("p_partkey") % 10 != 0), "p_name")
+    return encode.encode_by_table(df, "p_name", codes, "p_name_code").select("p_partkey", "p_name", "p_name_code")
+
+
 @query
 def both_encodings(spark, sf):
     df = read(spark, sf, "customer")
