@@ -10,9 +10,21 @@ from pyspark.sql import functions as F
 
 from sparktab.session import ensure_checkpoint_dir
 
-# Texts are handed on in groups of about this many bytes, however many rows that is. (Spark itself bounds the bytes of
-# the Arrow batches it sends to a task: spark.sql.execution.arrow.maxBytesPerBatch, 64 MB.)
+# Texts are handed on in groups of about this many bytes, however many rows that is.
 GROUP_BYTES = 1 << 20
+# Arrow batches that Spark sends to a task hold about this many bytes at most (a longer row goes alone).
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of the session in bytes, unless it has a lower bound already.
+
+    A batch is held in the JVM, in transfer and in Python at once; ten thousand long texts would be a gigabyte each time.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(name).rstrip("bB")) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text", *others: str) -> DataFrame:
@@ -20,6 +32,7 @@ def texts(df: DataFrame, key: str = "doc_id", text: str = "text", *others: str)
 
     Operators start from this projection, so extra columns of the input can have any names.
     """
+    small_batches(df)
     body = F.coalesce(df[text], F.lit("")).cast("binary").alias("body")
     return df.select(df[key].alias("key"), body, *[df[c] for c in others])
 

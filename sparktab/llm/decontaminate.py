@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import GROUP_BYTES, by_bytes, hash_of, rows_of, texts
+from sparktab.llm.common import GROUP_BYTES, by_bytes, hash_of, rows_of, small_batches, texts
 from sparktab.llm.token_counts import pa_type
 
 Q = 8
@@ -198,6 +198,7 @@ def drop_contaminated(df: DataFrame, items: DataFrame, settings: Settings | None
 
         return holds_none
 
+    small_batches(df)
     for held in indexes(items, settings or Settings(), item_key, item_text):
         df = df.where(clean(held)(df[text]))
     return df

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import rows_of, texts
+from sparktab.llm.common import rows_of, small_batches, texts
 from sparktab.llm.token_counts import pa_type
 
 KINDS = ("email", "ip", "card", "phone")
@@ -287,7 +287,7 @@ def mask_pii(df: DataFrame, text: str = "text") -> DataFrame:
     def cleaned(s):  # noqa: ANN001, ANN202
         return s.map(lambda t: t if t is None else mask_all(t))
 
-    return df.withColumn(text, cleaned(df[text]))
+    return small_batches(df).withColumn(text, cleaned(df[text]))
 
 
 def listed(spans: Column) -> Column:

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparktab.llm.common import small_batches
+
 
 
 @dataclass(frozen=True)
@@ -207,6 +209,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, settings: Settings | None = No
     documents, so that these need not be shuffled.
     """
     s = settings or Settings()
+    small_batches(df)
     known = labels.where(labels[key].isNotNull() & labels[label].isNotNull()).groupBy(labels[key].alias("key")).agg(F.min(labels[label].cast("int")).alias("y"))
     share = lambda bound, n: int(min(1.0, bound / max(n, 1)) * (1 << 30))
     rank = lambda c, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(1 << 30))
@@ -239,6 +242,7 @@ def quality_scores(df: DataFrame, model: Model, text: str = "text", meta: tuple[
 
     Null texts and metadata are allowed (null text: as empty); repeated rows score alike.
     """
+    small_batches(df)
     held = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<text_score: double, meta_score: double, score: double>")

@@ -15,8 +15,9 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-# Different words that one worker remembers; beyond, it starts anew (results are the same).
-MEMO_WORDS = 1_000_000
+# Different words of the older and of the newer half that one worker remembers. A full newer half becomes the older one, so that
+# frequent words stay and rare ones go (results are the same).
+MEMO_WORDS = 150_000
 # Words in one line for the library.
 JOINED_WORDS = 200
 SIGNS = frozenset(bytes([c]) for c in b".,;:!?")
@@ -29,10 +30,14 @@ def default_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def safe_at_white_space(path: str) -> bool:
-    """True if the file's pre-tokeniser never lets a token hold or depend on white space."""
+def settings_of(path: str) -> dict:
+    """The file without its vocabulary and merges."""
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+        return {k: v for k, v in json.load(f).items() if k != "model"}
+
+
+def safe_at_white_space(spec: dict) -> bool:
+    """True if the pre-tokeniser never lets a token hold or depend on white space."""
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [spec.get("pre_tokenizer") or {}]
     first = steps[0]
     pattern = (first.get("pattern") or {}).get("Regex", "")
@@ -46,20 +51,22 @@ class WordEncoder:
     """Ids of words, remembered. ``counts=True`` remembers only how many there are."""
 
     def __init__(self, path: str, counts: bool = False):
-        if not safe_at_white_space(path):
+        spec = settings_of(path)
+        if not safe_at_white_space(spec):
             raise ValueError(f"{path}: its tokens can reach across white space")
         self.full = Tokenizer.from_file(path)
         self.plain = Tokenizer.from_file(path)
-        lowers = [s.get("type") for s in (json.loads(self.full.to_str()).get("normalizer") or {}).get("normalizers", [])]
+        lowers = [s.get("type") for s in (spec.get("normalizer") or {}).get("normalizers", [])]
         # lower-case ASCII words pass these normalisers unchanged, so that the copy without them gives the same ids
         self.skips = set(lowers) <= {"NFC", "NFD", "NFKC", "Replace", "Lowercase"} and "Lowercase" in lowers
         if self.skips:
             self.plain.normalizer = None
-        special = next((t for t in json.loads(self.full.to_str())["added_tokens"] if t["special"] and t["content"].startswith("<|")), None)
+        special = next((t for t in spec.get("added_tokens", []) if t["special"] and t["content"].startswith("<|")), None)
         self.mark = special["id"] if special else None
         self.separator = f" {special['content']} ".encode() if special else b""
         self.counts = counts
         self.memo: dict[bytes, bytes | int] = {}
+        self.older: dict[bytes, bytes | int] = {}
 
     def _encoded(self, tokenizer: Tokenizer, words: list[bytes]) -> None:
         lists = [words[at : at + JOINED_WORDS] for at in range(0, len(words), JOINED_WORDS)]
@@ -81,8 +88,11 @@ class WordEncoder:
 
     def learn(self, words: set[bytes]) -> None:
         """Encode what is not known yet: many words in a line, told apart by a special token between them."""
-        memo = self.memo
+        memo, older = self.memo, self.older
         new = [w for w in words if w not in memo]
+        if older:
+            memo.update((w, older[w]) for w in new if w in older)
+            new = [w for w in new if w not in older]
         # a letter and a sign after it are never in one token
         ended = [w for w in new if w[-1:] in SIGNS and w[:-1].isalpha()]
         stems = {w[:-1] for w in ended}
@@ -108,7 +118,7 @@ class WordEncoder:
         """Per text its packed ids (``<u4``), or their number."""
         lists = self.split(bodies)
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+            self.memo, self.older = {}, self.memo
         self.learn(set().union(*lists))
         get = self.memo.__getitem__
         return [sum(map(get, ws)) for ws in lists] if self.counts else [b"".join(map(get, ws)) for ws in lists]

@@ -45,7 +45,7 @@ class Settings:
 EDGES = b".,;:!?*#$%&|\"'()[]{}<>~`^_=+-/\\"
 LONGEST = 64
 # Words whose gate inputs a worker remembers.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 _LONG = re.compile(rb"(?s).{1,%d}" % LONGEST)
 
 
