@@ -23,6 +23,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     named = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), (F.col(a).isNotNull() & F.col(b).isNotNull()).alias("full"))
     stars = cut(named.where("full AND u <> v").select("u", "v").distinct())
+    if stars.isEmpty():
+        return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
     before = None
     for _ in range(ROUNDS):
         arcs = stars.union(stars.select("v", "u"))

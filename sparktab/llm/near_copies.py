@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import cut, rows_of, texts
+from sparktab.llm.common import cut, rows_of, small_batches, texts
 from sparktab.llm.components import components
 from sparktab.llm.simhash import BLOCK, links, majority, shingle_hashes
 from sparktab.llm.token_counts import pa_type
@@ -26,6 +26,9 @@ from sparktab.llm.token_counts import pa_type
 BANDS, ROWS = 16, 4
 # In the order of a band's bucket each text meets the first one and this many before it.
 NEIGHBOURS = 3
+EARLY_BANDS = 3
+# A table of keys is broadcast if it has no more rows than this (some 20 MB).
+BROADCAST_ROWS = 400_000
 _FACTORS = np.random.default_rng(20).integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -97,13 +100,23 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
 
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a band's key: with the first of its bucket and a few before, in an order that differs by band."""
+    """Pairs ``a, b`` of nodes that share a band's key: with the first of its bucket and a few before, in an order that differs by band.
+
+    ``late`` is 0 for the closest ones of the first bands: enough to connect most of a large group.
+    """
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "at"))
     order = W.partitionBy("band", "at").orderBy(F.xxhash64("node", "band"))
-    met = keyed.select("node", F.array(F.first("node").over(order), *[F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1)]).alias("others"))
-    met = met.where(F.element_at("others", 2).isNotNull())  # all but the first of a bucket
-    pairs = met.select("node", F.explode("others").alias("other")).where("other IS NOT NULL AND other <> node")
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    late = F.when(F.col("band") < EARLY_BANDS, 0).otherwise(1)
+    others = [F.struct(F.first("node").over(order).alias("other"), late.alias("late"))]
+    others += [F.struct(F.lag("node", k).over(order).alias("other"), (late if k == 1 else F.lit(1)).alias("late")) for k in range(1, NEIGHBOURS + 1)]
+    met = keyed.select("node", F.array(*others).alias("met")).where(F.col("met")[1]["other"].isNotNull())  # all but the first of a bucket
+    pairs = met.select("node", F.inline("met")).where("other IS NOT NULL AND other <> node")
+    return pairs.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(F.min("late").alias("late"))
+
+
+def counted_broadcast(df: DataFrame) -> DataFrame:
+    """Mark a narrow table for broadcast if it was counted and found small; else the join shuffles. Same rows either way."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def near_copy_groups(df: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -111,33 +124,46 @@ def near_copy_groups(df: DataFrame, least: float = 0.8, key: str = "doc_id", tex
 
     Two texts are linked if their fingerprints differ in at most two bits, or if they share at least ``least`` of their
     distinct five-word shingles (shorter texts: the whole sequence). Buckets of any size are taken whole: each text is compared with its neighbours in
-    sixteen orders, so work grows with the rows. Null and empty texts are one node. Repeated rows share a group.
+    sixteen orders, so work grows with the rows. A pair is verified only while its texts are in different groups. Null and empty texts are one node.
+    Repeated rows share a group.
     """
     own = cut(described(df, key, text))
     nodes = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min("key").alias("key"))
     roots = components(links(cut(nodes.select("fp").distinct())))
     at_root = nodes.select("node", "fp").join(roots.withColumnRenamed("node", "fp").withColumnRenamed("component", "root"), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
     least_node = at_root.groupBy("root").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "a")
-    simhash = at_root.join(least_node, "root").select("a", F.col("node").alias("b")).where("a <> b")
+    groups = cut(components(at_root.join(least_node, "root").select("a", F.col("node").alias("b")).where("a <> b")))
     pairs = cut(candidate_pairs(nodes))
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sources = own.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("k")).select(F.col("k").alias("wanted")).distinct()
-    some = df.join(sources, df[key].eqNullSafe(sources["wanted"]), "left_semi")
-    sets = shingle_sets(some, key, text).join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    close = verified(pairs.join(x, "a").join(y, "b"), least)
-    groups = components(reduce(DataFrame.union, [simhash, close]))
+    for late in (0, 1):
+        of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"{end}_group"))  # noqa: E731, B023
+        apart = pairs.where(F.col("late") == late).join(of("a"), "a", "left").join(of("b"), "b", "left")
+        asked = cut(apart.where(F.coalesce("a_group", "a") != F.coalesce("b_group", "b")).select("a", "b"))
+        close = close_pairs(df, own, asked, least, key, text)
+        known = groups.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        groups = cut(components(known.union(close)))
     counted = own.groupBy("key", "node").agg(F.count(F.lit(1)).alias("n_same"))
     return counted.join(groups.withColumnRenamed("component", "group"), "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"), "n_same")
 
 
+def close_pairs(df: DataFrame, own: DataFrame, pairs: DataFrame, least: float, key: str, text: str) -> DataFrame:
+    """Those of the pairs of nodes whose shingle sets are similar enough; sets are made for the nodes asked for only."""
+    asked = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    sources = cut(own.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("k")).select(F.col("k").alias("wanted")).distinct())
+    some = df.join(counted_broadcast(sources), df[key].eqNullSafe(sources["wanted"]), "left_semi")
+    sets = shingle_sets(some, key, text).join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    return verified(pairs.join(x, "a").join(y, "b"), least)
+
+
 def keep_one_of_each(df: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, with one row for each group of near copies: that of the smallest key (null last).
 
     Of repeated rows one stays. An empty table gives no rows; other columns and their names are of no effect.
     """
     found = near_copy_groups(df, least, key, text)
-    stays = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col("node"), F.col("n_same"))).alias("s")).select(F.col("s.key").alias("kept_key"), F.col("s.node").alias("kept_node"), F.col("s.n_same").alias("kept_n"))
+    kept = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col("node"), F.col("n_same"))).alias("s")).select(F.col("s.key").alias("kept_key"), F.col("s.node").alias("kept_node"), F.col("s.n_same").alias("kept_n"))
+
+    stays = cut(kept)
 
     @F.pandas_udf("long")
     def node_of(s):  # noqa: ANN001, ANN202
@@ -148,8 +174,10 @@ def keep_one_of_each(df: DataFrame, least: float = 0.8, key: str = "doc_id", tex
         return s.map(one, na_action=None)
 
     names = df.columns
-    row = df.select(F.struct(*[df[c] for c in names]).alias("row"), df[key].alias("own_key"), node_of(df[text]).alias("own_node"))
-    left = row.join(stays, F.col("own_key").eqNullSafe(F.col("kept_key")) & (F.col("own_node") == F.col("kept_node")))
+    row = small_batches(df).select(F.struct(*[df[c] for c in names]).alias("row"), df[key].alias("own_key"), node_of(df[text]).alias("own_node"))
+    left = row.join(counted_broadcast(stays), F.col("own_key").eqNullSafe(F.col("kept_key")) & (F.col("own_node") == F.col("kept_node")))
     once = left.where("kept_n = 1").select("row")
+    if stays.where("kept_n > 1").isEmpty():
+        return once.select("row.*")
     again = left.where("kept_n > 1").groupBy("own_key", "own_node").agg(F.first("row").alias("row")).select("row")
     return once.union(again).select("row.*")
