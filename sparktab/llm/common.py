@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -57,12 +58,21 @@ def by_bytes(keys: list, bodies: list[bytes], limit: int = GROUP_BYTES) -> Itera
         yield k, b
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on from stage to stage beside a JVM that has grown."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """Keys and bodies of Arrow batches of ``texts``, regrouped by bytes."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             yield from by_bytes(part.column(0).to_pylist(), part.column(1).to_pylist(), limit)
+        give_back()
 
 
 def hash_of(*columns: Column) -> Column:

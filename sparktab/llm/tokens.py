@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 # Different words of the older and of the newer half that one worker remembers. A full newer half becomes the older one, so that
 # frequent words stay and rare ones go (results are the same).
-MEMO_WORDS = 150_000
+MEMO_WORDS = 100_000
 # Words in one line for the library.
 JOINED_WORDS = 200
 SIGNS = frozenset(bytes([c]) for c in b".,;:!?")
