@@ -2,7 +2,8 @@
 
 Fingerprints two bits apart are linked as in ``simhash``. Copies with more edits than that (five-word similarity of
 0.8 is some ten bits of 64, a radius at which probes no longer separate anything) are found by min-hash keys of the
-same shingles, met in bands, and verified on the whole shingle sets. Both kinds of links make the groups.
+same shingles, met in bands, and verified on the whole shingle sets. Both kinds of links make the groups. Buckets whose
+texts are not in one group after their neighbours were compared are compared in full, block by block.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ BANDS, ROWS = 16, 4
 # In the order of a band's bucket each text meets the first one and this many before it.
 NEIGHBOURS = 3
 EARLY_BANDS = 3
+# Crowded buckets are compared in blocks of about this many texts and shingles at most (a longer text goes alone).
+BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 18
 # A table of keys is broadcast if it has no more rows than this (some 20 MB).
 BROADCAST_ROWS = 400_000
 _FACTORS = np.random.default_rng(20).integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -66,16 +69,16 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def described(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, node, fp, bands`` per row. node is a 64-bit hash of the lower-cased words: texts of equal words are one node."""
+    """``key, node, fp, bands, size`` (in shingles) per row. node is a 64-bit hash of the lower-cased words: texts of equal words are one node."""
     kind = df.schema[key].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, bodies in rows_of(batches):
             own = [traits(b) for b in bodies]
             bands = pa.array([band_keys(t[2]) for t in own], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array([t[0] for t in own]), pa.array([t[1] for t in own]), bands], ["key", "node", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array([t[0] for t in own]), pa.array([t[1] for t in own]), bands, pa.array([len(t[2]) for t in own])], ["key", "node", "fp", "bands", "size"])
 
-    return texts(df, key, text).mapInArrow(scan, f"key {kind}, node long, fp long, bands array<long>")
+    return texts(df, key, text).mapInArrow(scan, f"key {kind}, node long, fp long, bands array<long>, size long")
 
 
 def shingle_sets(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -124,11 +127,11 @@ def near_copy_groups(df: DataFrame, least: float = 0.8, key: str = "doc_id", tex
 
     Two texts are linked if their fingerprints differ in at most two bits, or if they share at least ``least`` of their
     distinct five-word shingles (shorter texts: the whole sequence). Buckets of any size are taken whole: each text is compared with its neighbours in
-    sixteen orders, so work grows with the rows. A pair is verified only while its texts are in different groups. Null and empty texts are one node.
+    sixteen orders, and then buckets that still hold several groups are compared in full. A pair is verified only while its texts are in different groups. Null and empty texts are one node.
     Repeated rows share a group.
     """
     own = cut(described(df, key, text))
-    nodes = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min("key").alias("key"))
+    nodes = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("size").alias("size"))
     roots = components(links(cut(nodes.select("fp").distinct())))
     at_root = nodes.select("node", "fp").join(roots.withColumnRenamed("node", "fp").withColumnRenamed("component", "root"), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
     least_node = at_root.groupBy("root").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "a")
@@ -141,20 +144,117 @@ def near_copy_groups(df: DataFrame, least: float = 0.8, key: str = "doc_id", tex
         close = close_pairs(df, own, asked, least, key, text)
         known = groups.select(F.col("component").alias("a"), F.col("node").alias("b"))
         groups = cut(components(known.union(close)))
+    crowded = crowded_links(df, own, nodes, groups, least, key, text)
+    if crowded is not None:
+        groups = cut(components(groups.select(F.col("component").alias("a"), F.col("node").alias("b")).union(crowded)))
     counted = own.groupBy("key", "node").agg(F.count(F.lit(1)).alias("n_same"))
     return counted.join(groups.withColumnRenamed("component", "group"), "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"), "n_same")
 
 
+def sets_of(df: DataFrame, own: DataFrame, asked: DataFrame, key: str, text: str) -> DataFrame:
+    """``node, shingles`` of the nodes asked for, made from one row of each."""
+    sources = cut(own.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("k")).select(F.col("k").alias("wanted")).distinct())
+    some = df.join(counted_broadcast(sources), df[key].eqNullSafe(sources["wanted"]), "left_semi")
+    return shingle_sets(some, key, text).join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
 def close_pairs(df: DataFrame, own: DataFrame, pairs: DataFrame, least: float, key: str, text: str) -> DataFrame:
     """Those of the pairs of nodes whose shingle sets are similar enough; sets are made for the nodes asked for only."""
     asked = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    sources = cut(own.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("k")).select(F.col("k").alias("wanted")).distinct())
-    some = df.join(counted_broadcast(sources), df[key].eqNullSafe(sources["wanted"]), "left_semi")
-    sets = shingle_sets(some, key, text).join(asked, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    sets = sets_of(df, own, asked, key, text)
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return verified(pairs.join(x, "a").join(y, "b"), least)
 
 
+def joining_pairs(group: np.ndarray, side: np.ndarray, bands: np.ndarray, band: int, sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Positions of similar texts that join different groups, enough of them to connect all that are similar.
+
+    Candidates share a shingle among the rarest of both sets, as all pairs of that similarity do. Of two sides only pairs across
+    are looked at, and a pair that shares several bands only in the first of them.
+    """
+    root, size = np.unique(group, return_inverse=True)[1], np.array([len(x) for x in sets])
+    start, owner = np.concatenate([[0], np.cumsum(size)]), np.repeat(np.arange(len(sets)), size)
+    _, code, number = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(number), dtype=np.int64)
+    rank[np.argsort(number, kind="stable")] = np.arange(len(number))
+    shared, code = np.sort(number) > 1, rank[code]  # by rank from here on: the rarest first
+    code = code[np.lexsort((code, owner))]
+    rare = (np.arange(len(code)) - start[owner] <= (size - np.ceil(least * size - 1e-9))[owner]) & shared[code]
+    by_code = np.flatnonzero(rare)[np.argsort(code[rare], kind="stable")]
+    edge, holder = np.searchsorted(code[by_code], np.arange(len(number) + 1)), owner[by_code]
+    out, mark, across = [], np.zeros(len(number), dtype=bool), side.any() and not side.all()
+    for i in range(len(sets)):
+        own = code[start[i] : start[i + 1]]
+        lists = [holder[edge[c] : edge[c + 1]] for c in own[rare[start[i] : start[i + 1]]]]
+        if not lists:
+            continue
+        other = np.unique(np.concatenate(lists))
+        other = other[(other > i) & (root[other] != root[i])]
+        if across:
+            other = other[side[other] != side[i]]
+        other = other[np.minimum(size[other], size[i]) >= least * np.maximum(size[other], size[i]) - 1e-9]
+        other = other[(bands[other] == bands[i]).argmax(axis=1) == band]
+        if not len(other):
+            continue
+        mark[own] = True
+        common = np.add.reduceat(mark[np.concatenate([code[start[j] : start[j + 1]] for j in other])], np.cumsum(size[other]) - size[other], dtype=np.int64)
+        mark[own] = False
+        for j in other[common / (size[i] + size[other] - common) >= least]:
+            if root[i] != root[j]:
+                root[root == root[j]] = root[i]
+                out.append((i, int(j)))
+    return out
+
+
+def crowded_links(df: DataFrame, own: DataFrame, nodes: DataFrame, groups: DataFrame, least: float, key: str, text: str) -> DataFrame | None:
+    """Links ``a, b`` of the buckets that ``candidate_pairs`` doesn't take pair by pair and that hold several groups; None without such buckets.
+
+    A bucket is one block if it is small. Else it is cut by size of the texts (only neighbouring sizes can be similar), by group
+    where a group fills a block (it isn't compared with itself), and by hash. All pairs of blocks are compared; only joining links leave a task.
+    """
+    held = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("grp"), "bands", "size")
+    keyed = held.select("node", "grp", "size", F.posexplode("bands").alias("band", "at"))
+    buckets = keyed.groupBy("band", "at").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"), F.min("grp").alias("low"), F.max("grp").alias("high"))
+    filled = (F.col("n") > BLOCK_TEXTS) | (F.col("s") > BLOCK_SHINGLES)
+    # with so many texts, the first one and those before are all
+    buckets = cut(buckets.where((F.col("n") > NEIGHBOURS + 2) & (F.col("low") != F.col("high"))).select("band", "at", filled.alias("split")))
+    if buckets.isEmpty():
+        return None
+    base = max(1 / least, 1.05) * 1.01
+    step = F.when(F.col("split"), F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / float(np.log(base)))).otherwise(F.lit(-1)).cast("int")
+    met = cut(keyed.join(counted_broadcast(buckets), ["band", "at"]).select("band", "at", step.alias("step"), "grp", "node", "size"))
+    place = ["band", "at", "step"]
+    large = cut(met.where("step >= 0").groupBy(*place, "grp").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s")).where(filled).select(*place, "grp", F.lit(True).alias("large")))
+    apart = F.when(F.col("large"), F.col("grp"))  # null: together with other groups
+    placed = met.join(F.broadcast(large) if large.count() <= BROADCAST_ROWS else large, [*place, "grp"], "left").select(*place, "grp", "node", "size", F.coalesce("large", F.lit(False)).alias("large"), F.coalesce(apart, F.lit(0)).alias("of"))
+    where = [*place, "large", "of"]
+    parts = placed.groupBy(*where).agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_SHINGLES), F.lit(1)).alias("blocks"))
+    parts = cut(parts)
+    blocks = parts.select(*where, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    name = F.struct("large", "of", "block")
+    x = blocks.select("band", "at", F.col("step").alias("x_step"), name.alias("x"))
+    y = blocks.select("band", "at", F.col("step").alias("y_step"), name.alias("y"))
+    meet = ((F.col("x_step") == F.col("y_step")) & (F.col("x") <= F.col("y"))) | (F.col("x_step") + 1 == F.col("y_step")) & (F.col("x_step") >= 0)
+    alike = F.col("x.large") & F.col("y.large") & (F.col("x.of") == F.col("y.of"))
+    tasks = cut(x.join(y, ["band", "at"]).where(meet & ~alike).withColumn("task", F.monotonically_increasing_id()))
+    ends = tasks.select("task", "band", "at", F.col("x_step").alias("step"), "x.*", F.lit(0).alias("side"))
+    ends = ends.union(tasks.where("x_step <> y_step OR x <> y").select("task", "band", "at", F.col("y_step").alias("step"), "y.*", F.lit(1).alias("side")))
+    inside = placed.join(parts, where).select(*where, "node", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"))
+    asked = cut(met.select("node").distinct())
+    sets = cut(sets_of(df, own, asked, key, text).join(held.select("node", "grp", "bands"), "node"))
+    rows = inside.join(ends, [*where, "block"]).select("task", "side", "band", "node").join(sets, "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).to_numpy()
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+        found = [np.frombuffer(v, np.uint64) for v in table.column("shingles").to_pylist()]
+        node = column("node")
+        links = np.array(joining_pairs(column("grp"), column("side"), bands, int(column("band")[0]), found, least), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": node[links[:, 0]], "b": node[links[:, 1]]})
+
+    return rows.groupBy("task").applyInArrow(compare, "a long, b long")
+
+
 def keep_one_of_each(df: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, with one row for each group of near copies: that of the smallest key (null last).
 
