@@ -2,7 +2,8 @@
 
 Paragraphs are lines (long ones in overlapping windows). A softmax regression on sparse word bigrams and trigrams, trained in numpy on templates, their variations and
 a bounded sample of other paragraphs, names a license family or "unknown"; its scores are calibrated on variations
-that it hasn't learned from. A family counts if its score is high enough and the paragraph shares enough of a template.
+that it hasn't learned from. A family counts if its score is high enough and the paragraph shares enough of a template;
+besides whole paragraphs, each region that holds enough of a template is decided, so several notices can stand side by side.
 """
 
 from __future__ import annotations
@@ -149,6 +150,9 @@ class Model:
         self.known = np.array(sorted({g for own in every for c in own for g in gram_codes(c, s.bits)[0].tolist()}), dtype=np.int64)
         self.column = np.full(1 << s.bits, -1, dtype=np.int32)
         self.column[self.known] = np.arange(len(self.known))
+        self.of = [(k, len(words_of(t.encode()))) for k, f in enumerate(families) for t in TEMPLATES[f]]
+        self.holds = np.array([np.isin(self.known, list(t)) for own in self.templates for t in own])
+        self.least = s.shared * self.holds.sum(axis=1)
         self.w = np.zeros((len(self.known), len(families) + 1))
         self.bias = np.zeros(len(families) + 1)
         self.heat = 1.0
@@ -189,16 +193,54 @@ class Model:
         good = p[k] >= self.s.score and shared >= self.s.shared
         return self.families[k] if good else UNKNOWN, float(p[k]), shared
 
+    def regions(self, words: list[bytes]) -> list[tuple[str, float, float, int, int]]:
+        """Family, score, share, first word and word after the last one, wherever the words hold enough of a template in about its length.
+
+        Each region is decided by itself, so notices beside each other don't share a score. Of regions that lie in each other by more than half
+        (families have wordings in common) the one with the largest share of its template stays.
+        """
+        kept: list[tuple[str, float, float, int, int]] = []
+        for r in sorted(self._regions(words), key=lambda r: (-r[2], r[3] - r[4], -r[1], r)):
+            if all(2 * (min(r[4], q[4]) - max(r[3], q[3])) <= min(r[4] - r[3], q[4] - q[3]) for q in kept):
+                kept.append(r)
+        return kept
+
+    def _regions(self, words: list[bytes]) -> Iterator[tuple[str, float, float, int, int]]:
+        grams, at = gram_codes(coded(words)[1:-1], self.s.bits)
+        column = self.column[grams]
+        end = at + np.repeat([2, 3], [max(len(words) - 1, 0), max(len(words) - 2, 0)])
+        column, at, end = column[column >= 0], at[column >= 0], end[column >= 0]
+        for t in np.flatnonzero(self.holds[:, np.unique(column)].sum(axis=1) >= self.least):
+            k, n = self.of[t]
+            own = self.holds[t, column]
+            order = np.argsort(end[own], kind="stable")
+            c, x, y = column[own][order], at[own][order], end[own][order]
+            while len(c):
+                spans = []  # from each start: distinct grams, and the end of the last one's first occurrence
+                for i in np.unique(x).tolist():
+                    m = (x >= i) & (y <= i + n + n // 4 + 2)
+                    first_seen = np.unique(c[m], return_index=True)[1]
+                    last = int(y[m][first_seen].max(initial=i))
+                    spans.append((len(first_seen), i - last, i, last))
+                number, _, first, last = max(spans)
+                if number < self.least[t]:
+                    break
+                family, score, shared = self.decide(words[first:last])
+                if family == self.families[k]:
+                    yield family, score, shared, first, last
+                rest = (y <= first) | (x >= last)
+                c, x, y = c[rest], x[rest], y[rest]
+
     def scan(self, body: bytes) -> list[tuple[str, float, float, int]]:
-        """Findings of a text: family, score, share of the template, line."""
+        """Findings of a text: family, score, share of the template, line. A line can have several families."""
         found: dict[tuple[int, str], tuple[str, float, float, int]] = {}
         for line, _, ws in paragraphs(body, self.s):
             row = self.row(ws)
             if len(row) < 2:  # a template has more
                 continue
-            family, score, shared = self._decide(row)
-            if family != UNKNOWN and (shared, score) > found.get((line, family), ("", 0.0, 0.0, 0))[2:0:-1]:
-                found[line, family] = (family, score, shared, line)
+            for family, score, shared, *_ in (self._decide(row), *self.regions(ws)):
+                if family != UNKNOWN and (shared, score) > found.get((line, family), ("", 0.0, 0.0, 0))[2:0:-1]:
+                    found[line, family] = (family, score, shared, line)
         return [found[k] for k in sorted(found)]
 
 

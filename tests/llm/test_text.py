@@ -1,3 +1,4 @@
+import itertools
 import hashlib
 import random
 import re
@@ -191,6 +192,15 @@ def test_families(licenses):
         assert licenses.scan(line.encode()) == []
 
 
+def test_several_notices_on_a_line(licenses):
+    one = {f: ts[0] for f, ts in ls.TEMPLATES.items()}
+    for a, b in itertools.combinations(one, 2):
+        assert [f[0] for f in licenses.scan(f"{one[a]} {one[b]}".encode())] == sorted((a, b)), (a, b)
+    for f, ts in ls.TEMPLATES.items():  # and none is found in another's notice
+        for t in ts:
+            assert [x[0] for x in licenses.scan(t.encode())] == [f], t
+
+
 def test_decisions_equal_a_dense_softmax(licenses):
     lines = [*LICENSED, "licensed under the", "this program is free", sentence(5, 40)]
     x = licenses.dense([ls.words_of(t.encode()) for t in lines])
