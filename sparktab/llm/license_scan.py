@@ -1,6 +1,6 @@
 """License scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are lines (long ones in overlapping windows). A softmax regression on sparse word bigrams and trigrams, trained in numpy on templates, their variations and
+Paragraphs are lines, and runs of lines with words, as notices can be wrapped (long ones in overlapping windows). A softmax regression on sparse word bigrams and trigrams, trained in numpy on templates, their variations and
 a bounded sample of other paragraphs, names a license family or "unknown"; its scores are calibrated on variations
 that it hasn't learned from. A family counts if its score is high enough and the paragraph shares enough of a template;
 besides whole paragraphs, each region that holds enough of a template is decided, so several notices can stand side by side.
@@ -123,6 +123,24 @@ def paragraphs(body: bytes, s: Settings) -> Iterator[tuple[int, int, list[bytes]
             yield k, at, ws[at : at + s.window]
 
 
+def joined(body: bytes, s: Settings) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Numbers of the lines of the words, words: windows of neighbouring lines that hold words, where they cross a line's end."""
+    lines, words = [], []
+    for k, line in enumerate([*body.split(b"\n"), b""]):
+        ws = words_of(line)
+        words += ws
+        lines += [k] * len(ws)
+        if ws and len(words) < 4096:
+            continue
+        last = max(len(words) - s.window, 0)
+        for at in [*range(0, last, s.stride), last]:
+            own = lines[at : at + s.window]
+            if own and own[0] != own[-1]:
+                yield own, words[at : at + s.window]
+        # very long runs go on with the last window
+        lines, words = (lines[-s.window :], words[-s.window :]) if ws else ([], [])
+
+
 def gram_codes(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed bigrams and trigrams (marked by start and end as words of their own) and the positions they begin at."""
     mix, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
@@ -232,16 +250,33 @@ class Model:
                 c, x, y = c[rest], x[rest], y[rest]
 
     def scan(self, body: bytes) -> list[tuple[str, float, float, int]]:
-        """Findings of a text: family, score, share of the template, line. A line can have several families."""
-        found: dict[tuple[int, str], tuple[str, float, float, int]] = {}
+        """Findings of a text: family, score, share of the template, line (the first one of a wrapped notice). A line can have several families."""
+        spans: list[tuple[str, int, int, float, float]] = []
         for line, _, ws in paragraphs(body, self.s):
             row = self.row(ws)
             if len(row) < 2:  # a template has more
                 continue
             for family, score, shared, *_ in (self._decide(row), *self.regions(ws)):
-                if family != UNKNOWN and (shared, score) > found.get((line, family), ("", 0.0, 0.0, 0))[2:0:-1]:
-                    found[line, family] = (family, score, shared, line)
-        return [found[k] for k in sorted(found)]
+                if family != UNKNOWN:
+                    spans.append((family, line, line, shared, score))
+        wide: list[tuple[str, int, int, float, float]] = []
+        for lines, ws in joined(body, self.s):
+            if len(self.row(ws)) < 2:
+                continue
+            wide += [(family, lines[first], lines[last - 1], shared, score) for family, score, shared, first, last in self.regions(ws)]
+        if wide:
+            # a line that is part of a wrapped notice can read like another family's: the whole notice decides
+            part = lambda f, line, shared: any(w[0] != f and w[1] <= line <= w[2] and w[1] < w[2] and w[3] > shared for w in wide) and not any(w[0] == f and w[1] <= line <= w[2] for w in wide)
+            spans = [x for x in spans if not part(x[0], x[1], x[3])] + wide
+        # the best of those that have lines in common; a wrapped notice is no second finding
+        found: list[list] = []
+        for family, first, last, shared, score in sorted(spans):
+            if found and found[-1][0] == family and first <= found[-1][1]:
+                found[-1][1] = max(found[-1][1], last)
+                found[-1][2] = max(found[-1][2], (shared, score, -first))
+            else:
+                found.append([family, last, (shared, score, -first)])
+        return sorted(((f, score, shared, -line) for f, _, (shared, score, line) in found), key=lambda r: (r[3], r[0]))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:

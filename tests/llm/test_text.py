@@ -201,6 +201,19 @@ def test_several_notices_on_a_line(licenses):
             assert [x[0] for x in licenses.scan(t.encode())] == [f], t
 
 
+def test_wrapped_notices(licenses):
+    for family, templates in ls.TEMPLATES.items():
+        for t in (t for t in templates if len(t.split()) > 1):
+            ws = t.split()
+            for at in range(1, len(ws)):
+                body = f"{sentence(1, 100)}\n\n/*\n * {' '.join(ws[:at])}\n * {' '.join(ws[at:])}\n */\n\n{sentence(2, 20)}".encode()
+                assert {f[0] for f in licenses.scan(body)} == {family}, (t, at)
+    bsd = b"All rights reserved.\n\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met"
+    assert [(f[0], f[3]) for f in licenses.scan(bsd)] == [("proprietary", 0), ("BSD", 2)]
+    far = b"\n".join([*(sentence(s, 9).encode() for s in range(900)), *bsd.split(b"\n")[2:]])
+    assert [(f[0], f[3]) for f in licenses.scan(far)] == [("BSD", 900)]
+
+
 def test_decisions_equal_a_dense_softmax(licenses):
     lines = [*LICENSED, "licensed under the", "this program is free", sentence(5, 40)]
     x = licenses.dense([ls.words_of(t.encode()) for t in lines])
