@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,27 @@ from sparktab.session import ensure_checkpoint_dir
 GROUP_BYTES = 1 << 20
 # Arrow batches that Spark sends to a task hold about this many bytes at most (a longer row goes alone).
 BATCH_BYTES = 4 << 20
+ARROW = {
+    "tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64(), "string": pa.string(),
+    "binary": pa.binary(), "boolean": pa.bool_(), "date": pa.date32(), "timestamp": pa.timestamp("us", tz="UTC"), "timestamp_ntz": pa.timestamp("us"),
+}
+
+
+def pa_type(kind: str) -> pa.DataType:
+    """Arrow type of a key column, from Spark's short name of its type (workers can't ask Spark)."""
+    if m := re.fullmatch(r"decimal\((\d+),(\d+)\)", kind):
+        return pa.decimal128(int(m[1]), int(m[2]))
+    if kind not in ARROW:
+        raise TypeError(f"keys of type {kind} are not supported")
+    return ARROW[kind]
+
+
+def bytes_of(setting: str) -> int:
+    """Bytes of a Spark size such as ``4194304``, ``64m`` or ``-1``."""
+    m = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", setting.strip().lower())
+    if not m:
+        raise ValueError(f"not a size: {setting}")
+    return int(m[1]) << 10 * " kmgtp".index(m[2] or " ")
 
 
 def small_batches(df: DataFrame) -> DataFrame:
@@ -23,7 +45,7 @@ def small_batches(df: DataFrame) -> DataFrame:
     A batch is held in the JVM, in transfer and in Python at once; ten thousand long texts would be a gigabyte each time.
     """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(conf.get(name).rstrip("bB")) <= BATCH_BYTES:
+    if not 0 < bytes_of(conf.get(name)) <= BATCH_BYTES:
         conf.set(name, str(BATCH_BYTES))
     return df
 

@@ -17,8 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import GROUP_BYTES, by_bytes, hash_of, rows_of, small_batches, texts
-from sparktab.llm.token_counts import pa_type
+from sparktab.llm.common import GROUP_BYTES, by_bytes, hash_of, pa_type, rows_of, small_batches, texts
 
 Q = 8
 BAND = 16

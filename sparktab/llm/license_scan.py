@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import hash_of, rows_of, texts
-from sparktab.llm.token_counts import pa_type
+from sparktab.llm.common import hash_of, pa_type, rows_of, texts
 
 UNKNOWN = "unknown"
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sparktab.llm.common import cut, rows_of, small_batches, texts
 from sparktab.llm.components import components
 from sparktab.llm.simhash import BLOCK, links, majority, shingle_hashes
-from sparktab.llm.token_counts import pa_type
+from sparktab.llm.common import pa_type
 
 # 16 keys of four minima each: a pair at similarity 0.8 shares one with a chance of 0.9998.
 BANDS, ROWS = 16, 4

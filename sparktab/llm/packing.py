@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import cut, rows_of, texts
-from sparktab.llm.token_counts import pa_type
+from sparktab.llm.common import cut, pa_type, rows_of, texts
 from sparktab.llm.tokens import default_path, encoder
 
 

@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import rows_of, small_batches, texts
-from sparktab.llm.token_counts import pa_type
+from sparktab.llm.common import pa_type, rows_of, small_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import cut, rows_of, texts
+from sparktab.llm.common import cut, pa_type, rows_of, texts
 from sparktab.llm.components import components
-from sparktab.llm.token_counts import pa_type
 
 BITS, SEED = 64, 42
 # A bucket with more fingerprints is not compared pair by pair but joined through common neighbours.
@@ -57,15 +56,18 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(df: DataFrame, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, fp`` for every row; fp is a signed long. Empty and null texts have zero."""
+    """``key, mark, fp`` for every row; fp is a signed long, mark a hash of the text. Empty and null texts have fp zero."""
     kind = df.schema[key].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, bodies in rows_of(batches):
-            fps = [majority(shingle_hashes(b, words)) for b in bodies]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array(fps, pa.int64())], ["key", "fp"])
+        for batch in batches:
+            marks = iter(batch.column(2).to_pylist())
+            for keys, bodies in rows_of([batch]):
+                fps = [majority(shingle_hashes(b, words)) for b in bodies]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array(list(islice(marks, len(fps))), pa.int64()), pa.array(fps, pa.int64())], ["key", "mark", "fp"])
 
-    return texts(df, key, text).mapInArrow(hashed, f"key {kind}, fp long")
+    rows = texts(df, key, text)
+    return rows.withColumn("mark", F.xxhash64("body")).mapInArrow(hashed, f"key {kind}, mark long, fp long")
 
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -203,6 +205,16 @@ def links(fps: DataFrame, radius: int = 2, parts: int = 3, hot: int = HOT_BUCKET
     return reduce(DataFrame.union, edges)
 
 
+def grouped(df: DataFrame, words: int, radius: int, parts: int, key: str, text: str) -> DataFrame:
+    """``key, mark, fp, root, component_id`` for every row; root is the group's own fingerprint."""
+    own = cut(fingerprints(df, words, key, text))
+    fps = cut(own.groupBy("fp").agg(F.min("key").alias("first")))
+    roots = components(links(fps.select("fp"), radius, parts))
+    members = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+    least = members.groupBy("root").agg(F.min("first").alias("component_id"))
+    return own.join(members.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
 def simhash_groups(df: DataFrame, words: int = 3, radius: int = 2, parts: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, fingerprint, component_id`` for every row; the fingerprint is 16 hex digits.
 
@@ -210,11 +222,25 @@ def simhash_groups(df: DataFrame, words: int = 3, radius: int = 2, parts: int =
     any number of copies costs one comparison. Null and empty texts have fingerprint zero and link like others. A row with a
     null key gets its group's smallest key (null if it has none); repeated rows stay; other columns are ignored; an empty table gives no rows.
     """
-    own = cut(fingerprints(df, words, key, text))
-    fps = cut(own.groupBy("fp").agg(F.min("key").alias("first")))
-    roots = components(links(fps.select("fp"), radius, parts))
-    members = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
-    least = members.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = members.join(least, "root").select("fp", "component_id")
-    out = own.join(known, "fp")
+    out = grouped(df, words, radius, parts, key, text)
     return out.select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(df: DataFrame, words: int = 3, radius: int = 2, parts: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, with one row for each group: that of the smallest key (a null key only if there is no other).
+
+    Of rows with that key the one with the least hash of its text stays, of repeated ones any. An empty table gives no rows; other columns and their names are
+    of no effect. Rows meet the keys that stay by key and text hash, so texts are shuffled at most once.
+    """
+    found = grouped(df, words, radius, parts, key, text)
+    own = found.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("root", "key", "mark").agg(F.count(F.lit(1)).alias("same"))
+    stays = own.groupBy("root").agg(F.min(F.struct("mark", "key", "same")).alias("s")).select(F.col("s.key").alias("kept_key"), F.col("s.mark").alias("kept_mark"), F.col("s.same").alias("same"))
+    stays = cut(stays)
+    body = F.coalesce(df[text], F.lit("")).cast("binary")
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[key].alias("own_key"), F.xxhash64(body).alias("own_mark"))
+    left = rows.join(stays, F.col("own_key").eqNullSafe(F.col("kept_key")) & (F.col("own_mark") == F.col("kept_mark")))
+    once = left.where("same = 1").select("row")
+    if stays.where("same > 1").isEmpty():
+        return once.select("row.*")
+    again = left.where("same > 1").groupBy("own_key", "own_mark").agg(F.first("row").alias("row")).select("row")
+    return once.union(again).select("row.*")

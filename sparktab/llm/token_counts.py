@@ -7,28 +7,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sparktab.llm.common import GROUP_BYTES, rows_of, texts
+from sparktab.llm.common import pa_type, rows_of, texts
 from sparktab.llm.tokens import default_path, encoder
 
 SCHEMA = "key {}, n_bytes long, n_tokens long"
 
 
-def segments(body: bytes, limit: int = GROUP_BYTES) -> Iterator[bytes]:
-    """Cut a long text into pieces of about ``limit`` bytes, at ASCII white space only.
-
-    No token reaches across it, so the pieces' counts add up. A run without white space stays whole.
-    """
-    at = 0
-    while len(body) - at > limit:
-        end = at + limit
-        found = [p for p in (body.find(c, end) for c in (b" ", b"\n", b"\t", b"\r")) if p >= 0]
-        if not found:
-            break
-        yield body[at : min(found)]
-        at = min(found)
-    yield body[at:] if at else body
-
-
 def token_counts(df: DataFrame, path: str | None = None, limit: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_bytes, n_tokens, over_limit`` for every row, over whole texts.
 
@@ -42,15 +26,7 @@ def token_counts(df: DataFrame, path: str | None = None, limit: int = 2048, key:
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, counts=True)
         for keys, bodies in rows_of(batches):
-            if len(bodies) == 1:
-                numbers = [sum(coder.encode([s])[0] for s in segments(bodies[0]))]
-            else:
-                numbers = coder.encode(bodies)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array(list(map(len, bodies)), pa.int64()), pa.array(numbers, pa.int64())], ["key", "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa_type(kind)), pa.array(list(map(len, bodies)), pa.int64()), pa.array(coder.encode(bodies), pa.int64())], ["key", "n_bytes", "n_tokens"])
 
     counted = texts(df, key, text).mapInArrow(lengths, SCHEMA.format(kind))
     return counted.select(counted["key"].alias(key), "n_bytes", "n_tokens", (counted["n_tokens"] > limit).alias("over_limit"))
-
-
-def pa_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind, pa.int64())

@@ -8,8 +8,8 @@ from tokenizers import Tokenizer
 
 from sparktab.llm.common import by_bytes
 from sparktab.llm.packing import Plan, pack
-from sparktab.llm.token_counts import segments, token_counts
-from sparktab.llm.tokens import WordEncoder, default_path
+from sparktab.llm.token_counts import token_counts
+from sparktab.llm.tokens import WordEncoder, default_path, segments
 
 from .cases import crowded, frame, rows, same_rows
 
