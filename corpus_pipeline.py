@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktab.llm.decontaminate import drop_contaminated
-from sparktab.llm.near_copies import keep_one_of_each
 from sparktab.llm.packing import pack
 from sparktab.llm.pii import mask_pii
 from sparktab.llm.quality import keep_quality
+from sparktab.llm.simhash import keep_one_of_each
 from sparktab.session import ensure_checkpoint_dir
 
 
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group that the SimHash operator links, with the shingles and the radius of its query."""
     return keep_one_of_each(docs)
 
 
@@ -52,7 +52,7 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-# A trained model, tokens and verified shingles: not expressible in SQL, so tested against a brute-force version.
+# A trained model, XXH64 and tokens: not expressible in SQL, so tested against a brute-force version.
 ORACLE_SQL = None
 
 
