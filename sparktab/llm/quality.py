@@ -38,6 +38,8 @@ CLASSES[:128] = 15
 for _i, _some in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n\r", b".", b",", b"!?", b"*#$%&@", b"|", b"\"'`", b"()[]{}", b"<>=/\\", b"-_+~^:;", b"\t"), 1):
     CLASSES[list(_some)] = _i
 PAIRS = 256
+# Log-likelihood on the held rows that two fitted numbers may explain by chance.
+NATS = 2.0
 SUMMARY = 10
 META = 64 + 16 + 4
 
@@ -88,8 +90,14 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+def log_loss(p: np.ndarray, y: np.ndarray) -> float:
+    """Mean log-loss of the chances ``p`` of label 1."""
+    p = np.clip(p, 1e-9, 1 - 1e-9)
+    return float(-np.mean(np.where(y > 0, np.log(p), np.log1p(-p))))
+
+
 class Regression:
-    """L2 logistic regression on standardised columns by Newton steps."""
+    """L2 logistic regression on standardised columns by Newton steps with a line search."""
 
     def __init__(self, penalty: float):
         self.penalty, self.w = penalty, None
@@ -97,20 +105,31 @@ class Regression:
     def _x(self, x: np.ndarray) -> np.ndarray:
         return np.hstack([np.clip((x - self.mean) / self.scale, -8, 8), np.ones((len(x), 1))])
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 12) -> Regression:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 100) -> Regression:
+        """From zero to the optimum: steps are halved until the objective falls."""
         x = x.astype(np.float64)
-        if self.w is None:
-            self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-            self.w = np.zeros(x.shape[1] + 1)
-        a = self._x(x)
+        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
+        a, w = self._x(x), np.zeros(x.shape[1] + 1)
         ridge = np.full(a.shape[1], self.penalty)
         ridge[-1] = 1e-6
+
+        def objective(v: np.ndarray) -> float:
+            z = a @ v
+            return float(np.sum(np.logaddexp(0, z) - y * z) + 0.5 * np.sum(ridge * v * v))
+
+        now = objective(w)
         for _ in range(steps):
-            p = sigmoid(a @ self.w)
-            step = np.linalg.solve((a * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ a + np.diag(ridge), a.T @ (y - p) - ridge * self.w)
-            self.w = self.w + step * min(1.0, 5 / (np.abs(step).max() + 1e-9))
-            if np.abs(step).max() < 1e-4:
+            p = sigmoid(a @ w)
+            step = np.linalg.solve((a * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ a + np.diag(ridge), a.T @ (y - p) - ridge * w)
+            size = 1.0
+            while (after := objective(w + size * step)) > now and size > 1e-6:
+                size /= 2
+            if after > now:
                 break
+            w, gain, now = w + size * step, now - after, after
+            if gain < 1e-9:
+                break
+        self.w = w
         return self
 
     def raw(self, x: np.ndarray) -> np.ndarray:
@@ -122,7 +141,10 @@ def calibrated(raw: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def platt(raw: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Slope and offset that turn raw scores into probabilities; targets drawn in a little."""
+    """Slope and offset that turn raw scores into probabilities; targets drawn in a little.
+
+    Scores that would count against themselves say nothing: their slope is zero.
+    """
     high, low = (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)
     target = np.where(y > 0, high, low)
     a, w = np.stack([raw, np.ones(len(raw))], axis=1), np.array([1.0, 0.0])
@@ -131,7 +153,7 @@ def platt(raw: np.ndarray, y: np.ndarray) -> np.ndarray:
         h = (a * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ a + 1e-6 * np.eye(2)
         step = np.linalg.solve(h, a.T @ (target - p))
         w = w + step * min(1.0, 2 / (np.abs(step).max() + 1e-12))
-    return w
+    return w if w[0] > 0 else np.array([0.0, logit(target.mean())])
 
 
 @dataclass
@@ -152,34 +174,62 @@ class Model:
         return p, q, sigmoid(np.stack([logit(p), logit(q), np.ones(len(p))], axis=1) @ self.blend)
 
 
+def in_mix(rows: list[np.ndarray], share: float) -> list[np.ndarray]:
+    """The first rows of either class (0, 1), as many as keep label 1 at ``share`` of them."""
+    least = min(len(rows[0]) / (1 - share), len(rows[1]) / share)
+    return [rows[0][: int(least * (1 - share) + 1e-9)], rows[1][: int(least * share + 1e-9)]]
+
+
 def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray, pool: tuple[np.ndarray, np.ndarray], s: Settings) -> Model:
-    """``y``: labels; ``held``: rows kept for calibration. ``pool``: both views of unlabelled rows."""
+    """``y``: labels; ``held``: rows kept for calibration. ``pool``: both views of unlabelled rows.
+
+    In each round a view hands its surest rows of the pool, in the labels' mix of classes, to the other one. Only a view that tells something about the held rows may teach
+    (its likelihood beats the labels' share by more than its two calibration parameters explain), and a view keeps what it learned only if its likelihood of the held rows did not fall
+    by more than that below its best.
+    """
     prior = (y.sum() + 1) / (len(y) + 2)
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         return Model(float(prior))
-    data = [[x[~held], y[~held].astype(float)] for x in (text, meta)]
+    inputs, seen = (text, meta), y[held]
+    data = [[x[~held], y[~held].astype(float)] for x in inputs]
+    share = float(y[~held].mean())
+    none = log_loss(np.full(len(seen), seen.mean()), seen)
+
+    def judged(view: Regression, k: int) -> tuple[np.ndarray, float]:
+        raw = view.raw(inputs[k][held])
+        line = platt(raw, seen)
+        return line, log_loss(calibrated(raw, line), seen)
+
     views = [Regression(s.penalty).fit(*d) for d in data]
-    free, added = np.ones(len(pool[0]), dtype=bool), [0, 0]
+    lines, losses = map(list, zip(*(judged(v, k) for k, v in enumerate(views)), strict=True))
+    best, free, added = list(losses), np.ones(len(pool[0]), dtype=bool), [0, 0]
     for _ in range(s.rounds):
         news = []
         for k in (0, 1):
-            raw = views[k].raw(pool[k])
-            p = calibrated(raw, platt(views[k].raw((text, meta)[k][held]), y[held]))
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                rows = np.flatnonzero(free & (sure >= s.sure))
-                rows = rows[np.argsort(-sure[rows], kind="stable")][: s.most_per_class]
-                news.append((1 - k, rows, label))
-        for k, rows, label in news:
-            data[k][0] = np.vstack([data[k][0], pool[k][rows]])
-            data[k][1] = np.append(data[k][1], np.full(len(rows), label))
-            free[rows] = False
-            added[k] += len(rows)
-        if not any(len(rows) for _, rows, _ in news):
+            if len(seen) * (none - losses[k]) <= NATS:
+                continue
+            p = calibrated(views[k].raw(pool[k]), lines[k])
+            sure = []
+            for chance in (1 - p, p):
+                rows = np.flatnonzero(free & (chance >= s.sure))
+                sure.append(rows[np.argsort(-chance[rows], kind="stable")][: s.most_per_class])
+            news.append((1 - k, in_mix(sure, share)))
+        for k, rows in news:
+            some = np.concatenate(rows)
+            if not len(some):
+                continue
+            more = [np.vstack([data[k][0], pool[k][some]]), np.concatenate([data[k][1], np.zeros(len(rows[0])), np.ones(len(rows[1]))])]
+            view = Regression(s.penalty).fit(*more)
+            line, loss = judged(view, k)
+            if len(seen) * (loss - best[k]) <= NATS:
+                data[k], views[k], lines[k], losses[k] = more, view, line, loss
+                best[k] = min(best[k], loss)
+                added[k] += len(some)
+            free[some] = False
+        if not any(len(r) for _, rows in news for r in rows):
             break
-        views = [v.fit(*d, steps=4) for v, d in zip(views, data, strict=True)]
-    lines = tuple(platt(v.raw(x[held]), y[held]) for v, x in zip(views, (text, meta), strict=True))
-    p, q = (calibrated(v.raw(x[held]), line) for v, x, line in zip(views, (text, meta), lines, strict=True))
-    return Model(float(prior), tuple(views), lines, blended(np.stack([logit(p), logit(q)], axis=1), y[held]), tuple(added))
+    p, q = (calibrated(v.raw(x[held]), line) for v, x, line in zip(views, inputs, lines, strict=True))
+    return Model(float(prior), tuple(views), tuple(lines), blended(np.stack([logit(p), logit(q)], axis=1), seen), tuple(added))
 
 
 def blended(x: np.ndarray, y: np.ndarray) -> np.ndarray:

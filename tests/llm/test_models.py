@@ -174,3 +174,57 @@ def test_stages(spark, tmp_path):
             clean = [r if r[1] is None else (r[0], t := pii.mask_all(r[1]), r[2], r[3], r[4] if r[4] is None else len(t), r[5]) for r in before]
             clean = [r if r[1] is not None or r[4] is None else (*r[:4], 0, r[5]) for r in clean]
             assert after == order(clean) and any("[EMAIL]" in (r[1] or "") for r in after)
+
+
+def test_regression_reaches_the_optimum_from_separable_rows():
+    g = np.random.default_rng(3)
+    x = g.standard_normal((80, 40))
+    y = (x[:, 0] > 0).astype(float)
+    r = quality.Regression(1.0).fit(x, y)
+    a = r._x(x)
+    slope = a.T @ (quality.sigmoid(a @ r.w) - y) + np.append(np.full(40, 1.0), 1e-6) * r.w
+    assert np.abs(slope).max() < 1e-3
+
+
+def test_a_view_without_signal_teaches_nothing():
+    """Few labels, a metadata view of noise: the text view must stay as good as it was alone."""
+    for seed in range(5):
+        g = np.random.default_rng(seed)
+        y = (g.random(2000) < 0.85).astype(int)
+        text = np.stack([y * 3 + g.standard_normal(2000) for _ in range(8)], axis=1)
+        meta = (g.random((2000, 30)) < 0.1).astype(float)
+        few = 350
+        args = text[:few], meta[:few], y[:few], np.arange(few) % 5 == 0, (text[few:1200], meta[few:1200])
+        alone, model = (co_train(*args, quality.Settings(rounds=r)) for r in (0, 3))
+        wrong = [((m.scores(text[1200:], meta[1200:])[2] >= 0.5) != y[1200:]).mean() for m in (alone, model)]
+        assert wrong[1] <= wrong[0] + 0.005 and wrong[1] < 0.01
+        assert model.lines[0][0] > 0
+
+
+def test_added_rows_keep_the_mix_of_classes():
+    zeros, ones = quality.in_mix([np.arange(40), np.arange(100, 500)], 0.8)
+    assert len(zeros) == 40 and len(ones) == 160 and ones[0] == 100
+    assert [len(r) for r in quality.in_mix([np.arange(0), np.arange(9)], 0.5)] == [0, 0]
+    assert quality.platt(np.array([3.0, 2.0, -2.0, -3.0]), np.array([0, 0, 1, 1]))[0] == 0
+
+
+def test_scores_by_a_plain_loop(spark):
+    """Every score again, from the fitted numbers alone, feature by feature."""
+    data = junk_documents(300)
+    docs = frame(spark, [d[:5] for d in data])
+    labels = spark.createDataFrame([(d[0], d[5]) for d in data if d[0] % 3], "doc_id long, quality int")
+    model = quality.fit_quality(docs, labels)
+    found = {r.doc_id: r for r in score_quality(docs, labels).collect()}
+
+    def chance(view, line, x):
+        z = view.w[-1]
+        for v, m, s, w in zip(x, view.mean, view.scale, view.w, strict=False):
+            z += w * min(8.0, max(-8.0, (float(v) - m) / s))
+        return 1 / (1 + np.exp(-(line[0] * z + line[1])))
+
+    for d in data[::17]:
+        p = chance(model.views[0], model.lines[0], quality.text_features(d[1].encode()))
+        q = chance(model.views[1], model.lines[1], quality.meta_features(*d[2:5]))
+        both = model.blend @ [quality.logit(p), quality.logit(q), 1.0]
+        r = found[d[0]]
+        assert abs(r.text_score - p) < 1e-6 and abs(r.meta_score - q) < 1e-6 and abs(r.score - 1 / (1 + np.exp(-both))) < 1e-6
