@@ -1,95 +1,17 @@
-"""Adaptive boosting of shallow trees (SAMME, Zhu et al. 2009)."""
+"""Adaptive boosting of shallow trees (SAMME, Zhu et al. 2009) on binned features."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from sparktab.models.binned import Adaptive, BinnedLearner, Gini
 
-from sparktab.functions.expressions import best_index
-from sparktab.models.learner import VECTOR, WEIGHT, columns_of
-from sparktab.operators.split import per_class, weight_table
-from sparktab.session import cached, checkpointed
 
+def adaboost(
+    features: Sequence[str] | str, label: str, rounds: int = 100, rate: float = 0.1, depth: int = 3, min_leaf: int = 2, min_split: int = 5, seed: int = 42, key: str | None = None, **options,
+) -> BinnedLearner:
+    """One tree per round on reweighted rows; the balanced class weight enters every tree on top of the boosting weight."""
+    def make(classes: int, width: int) -> Adaptive:
+        return Adaptive(classes, rounds, depth, rate, Gini(classes, min_split, min_leaf), seed)
 
-@dataclass
-class AdaBoostModel:
-    features: tuple[str, ...]
-    classes: int
-    trees: list
-    alphas: list[float]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Weighted votes of the trees; shares of the vote as probabilities."""
-        out = df.withColumn(VECTOR, array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in self.features])))
-        votes = [F.lit(0.0)] * self.classes
-        for i, (tree, alpha) in enumerate(zip(self.trees, self.alphas)):
-            tree = tree.copy().setPredictionCol(f"__t{i}").setRawPredictionCol("").setProbabilityCol("")
-            out = tree.transform(out)
-            votes = [v + F.when(F.col(f"__t{i}") == c, alpha).otherwise(0.0) for c, v in enumerate(votes)]
-        total = sum(self.alphas) or 1.0
-        out = out.withColumn("probability", F.array(*[v / F.lit(total) for v in votes]))
-        return out.select(*df.columns, best_index(F.col("probability")).alias("prediction"), "probability")
-
-
-@dataclass(frozen=True)
-class AdaBoost:
-    features: tuple[str, ...]
-    label: str
-    rounds: int = 100
-    rate: float = 0.1
-    depth: int = 3
-    min_leaf: int = 2
-    seed: int = 42
-    checkpoint_every: int = 10
-
-    def fit(self, df: DataFrame) -> AdaBoostModel:
-        """One tree per round on reweighted rows.
-
-        The balanced class weight enters every tree on top of the boosting
-        weight, as a balanced base tree does. Checkpoints cut the chain of
-        weight updates.
-        """
-        balance = weight_table(df, self.label)
-        classes = max(2, int(max(balance)) + 1)
-        vec = array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in self.features]))
-        data = cached(df.select(vec.alias(VECTOR), F.col(self.label).cast("double").alias("__label"), F.lit(1.0).alias("__boost")))
-        trees, alphas, stale = [], [], None
-        for r in range(self.rounds):
-            weight = F.col("__boost") * per_class(F.col("__label"), {float(c): w for c, w in balance.items()})
-            base = columns_of(
-                DecisionTreeClassifier, weightCol=WEIGHT, maxDepth=self.depth, minInstancesPerNode=self.min_leaf,
-                seed=self.seed + r, predictionCol="__p", probabilityCol="", rawPredictionCol="",
-            )
-            tree = base.fit(data.withColumn(WEIGHT, weight))
-            scored = tree.transform(data)
-            miss = F.col("__p") != F.col("__label")
-            row = scored.agg(F.sum(F.when(miss, F.col("__boost")).otherwise(0.0)).alias("e"), F.sum("__boost").alias("s"), F.count("*").alias("n")).first()
-            err = row["e"] / row["s"]
-            if err >= 1.0 - 1.0 / classes:
-                break
-            if err <= 0.0:
-                trees, alphas = [*trees, tree], [*alphas, 1.0]
-                break
-            alpha = self.rate * (math.log((1.0 - err) / err) + math.log(classes - 1))
-            trees, alphas = [*trees, tree], [*alphas, alpha]
-            # dividing by the mean keeps the weights in range over many rounds
-            grown = F.col("__boost") * F.when(miss, math.exp(alpha)).otherwise(1.0) / F.lit(row["s"] / row["n"])
-            update = scored.withColumn("__boost", grown).select(VECTOR, "__label", "__boost")
-            update = cached(checkpointed(update) if (r + 1) % self.checkpoint_every == 0 else update)
-            if stale is not None:
-                stale.unpersist()  # the table after it has been read by now
-            stale, data = data, update
-        if stale is not None:
-            stale.unpersist()
-        data.unpersist()
-        return AdaBoostModel(self.features, classes, trees, alphas)
-
-
-def adaboost(features: Sequence[str], label: str, rounds: int = 100, rate: float = 0.1, **options) -> AdaBoost:
-    return AdaBoost(tuple(features), label, rounds, rate, **options)
+    return BinnedLearner(features if isinstance(features, str) else tuple(features), label, make, "balanced", key, **options)

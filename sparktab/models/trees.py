@@ -1,73 +1,54 @@
-"""Forests and boosted trees on MLlib."""
+"""Forests and boosted trees with the parameters of the library's recipes; the trees are those of ``binned``."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from sparktab.models.learner import VECTOR, WEIGHT, FitContext, Learner, columns_of
-from sparktab.operators.metrics import confusion_counts, scores_of
-from sparktab.operators.split import replica_copies
+from sparktab.models.binned import Bagging, BinnedLearner, Boosting, Gini, Newton
+from sparktab.operators.metrics import scores_of
 
 
 def random_forest(
-    features: Sequence[str], label: str, trees: int = 100, depth: int = 20, min_leaf: int = 2,
-    strategy: str = "auto", seed: int = 42, weighting: str | None = "balanced",
-) -> Learner:
-    def make(c: FitContext):
-        return columns_of(
-            RandomForestClassifier, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-            featureSubsetStrategy=strategy, seed=seed, cacheNodeIds=depth > 10, maxMemoryInMB=512,
-        )
+    features: Sequence[str] | str, label: str, trees: int = 100, depth: int | None = 20, min_leaf: int = 2, strategy: str = "sqrt",
+    seed: int = 42, weighting: str | None = "balanced", min_split: int = 5, key: str | None = None, **options,
+) -> BinnedLearner:
+    """``strategy``: ``sqrt`` (rounded down, at least one) or ``all`` features at each node. ``depth`` None: no limit."""
+    def make(classes: int, width: int) -> Bagging:
+        some = max(1, math.isqrt(width)) if strategy == "sqrt" else max(1, width)
+        return Bagging(classes, trees, depth, Gini(classes, min_split, min_leaf), some, seed)
 
-    return Learner(tuple(features), label, make, weighting)
+    return BinnedLearner(features if isinstance(features, str) else tuple(features), label, make, weighting, key, **options)
 
 
-def large_forest(features: Sequence[str], label: str, trees: int = 500, depth: int = 30, seed: int = 42) -> Learner:
-    """Many deep trees with square-root feature subsets (30 is the deepest MLlib grows)."""
-    return random_forest(features, label, trees, depth, 1, "sqrt", seed)
+def large_forest(features: Sequence[str] | str, label: str, trees: int = 500, seed: int = 42, key: str | None = None, **options) -> BinnedLearner:
+    """Many trees without a depth limit, leaves of one row."""
+    return random_forest(features, label, trees, None, 1, "sqrt", seed, min_split=2, key=key, **options)
 
 
-def out_of_bag(learner: Learner, df: DataFrame, key: str, replicas: int = 5, frac: float = 1.0, seed: int = 42) -> dict[str, float]:
-    """Scores on the rows that a bootstrap replica left out.
-
-    MLlib does not show its bags, so the bags are drawn here: every replica
-    trains on its copies and scores the rows it did not draw.
-    """
-    cells: dict[tuple, int] = {}
-    for r in range(replicas):
-        rows = df.withColumn("__copies", replica_copies(key, r, frac, seed))
-        inside = rows.where(F.col("__copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
-        model = learner.fit(inside.drop("__copies", "__copy"))
-        scored = model.transform(rows.where(F.col("__copies") == 0).drop("__copies"))
-        for row in confusion_counts(scored, learner.label).collect():
-            cells[(row["label"], row["prediction"])] = cells.get((row["label"], row["prediction"]), 0) + row["n"]
-    return scores_of([{"label": y, "prediction": p, "n": n} for (y, p), n in cells.items()])
+def out_of_bag(learner: BinnedLearner, df: DataFrame) -> dict[str, float]:
+    """Scores of a forest on each row by the trees whose bags left it out."""
+    return scores_of([r.asDict() for r in learner.out_of_bag(df)[1].collect()])  # one row for each pair of classes
 
 
 def gbt(
-    features: Sequence[str], label: str, rounds: int = 100, depth: int = 6, rate: float = 0.1, rows: float = 0.8,
-    cols: float = 0.8, min_gain: float = 0.0, seed: int = 42, weighting: str | None = "ratio", parallelism: int = 4,
-) -> Learner:
-    """Boosted trees; the positive class weighs n0/n1. Several classes run one against the rest.
+    features: Sequence[str] | str, label: str, rounds: int = 100, depth: int = 6, rate: float = 0.1, rows: float = 0.8, cols: float = 0.8, gamma: float = 0.0,
+    seed: int = 42, weighting: str | None = "ratio", l1: float = 0.0, l2: float = 1.0, min_child: float = 1.0, key: str | None = None, **options,
+) -> BinnedLearner:
+    """Second-order boosting; the positive class weighs n0/n1. More than two classes: one tree for each class and round on the softmax loss.
 
-    The checkpoint interval bounds the lineage of the residual column.
+    l1, l2: penalties of leaf values; gamma: least gain of a split; min_child: least hessian of a child; rows, cols: shares drawn for each round and tree.
     """
-    def make(c: FitContext):
-        trees = columns_of(
-            GBTClassifier, weightCol=WEIGHT, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
-            featureSubsetStrategy=str(cols), minInfoGain=min_gain, seed=seed, maxMemoryInMB=512,
-        )
-        if c.classes <= 2:
-            return trees
-        return OneVsRest(classifier=trees, featuresCol=VECTOR, labelCol="__label", weightCol=WEIGHT, parallelism=parallelism)
+    def make(classes: int, width: int) -> Boosting:
+        return Boosting(classes, rounds, depth, rate, rows, cols, Newton(l1, l2, min_child), gamma, seed)
 
-    return Learner(tuple(features), label, make, weighting)
+    return BinnedLearner(features if isinstance(features, str) else tuple(features), label, make, weighting, key, **options)
 
 
-def large_gbt(features: Sequence[str], label: str, rounds: int = 500, depth: int = 5, rate: float = 0.05, min_gain: float = 0.0, cols: float = 1.0) -> Learner:
-    """The slow, regularised variant. Leaf penalties have no MLlib counterpart."""
-    return gbt(features, label, rounds, depth, rate, 0.8, cols, min_gain)
+def large_gbt(
+    features: Sequence[str] | str, label: str, rounds: int = 500, depth: int = 5, rate: float = 0.05, cols: float = 1.0, gamma: float = 0.0, l1: float = 0.1, l2: float = 2.0, **options,
+) -> BinnedLearner:
+    """The slow, regularised variant."""
+    return gbt(features, label, rounds, depth, rate, 0.8, cols, gamma, l1=l1, l2=l2, **options)

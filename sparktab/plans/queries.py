@@ -789,39 +789,39 @@ def poly_svm_binary(spark, sf):
 
 @query
 def forest(spark, sf):
-    return language_report(spark, sf, random_forest(VOWELS, "y"))
+    return language_report(spark, sf, random_forest(VOWELS, "y", key="doc_id"))
 
 
 @query
 def forest_large(spark, sf):
-    return binary_report(spark, sf, large_forest(SHAPE, "quality"))
+    return binary_report(spark, sf, large_forest(SHAPE, "quality", key="doc_id"))
 
 
 @query
 def forest_out_of_bag(spark, sf):
     df = cached(quality(spark, sf))
-    scores = out_of_bag(random_forest(SHAPE, "quality", trees=20, depth=10), df, "doc_id", 3)
+    scores = out_of_bag(large_forest(SHAPE, "quality", key="doc_id"), df)
     return rounded(spark.createDataFrame([(k, v) for k, v in sorted(scores.items())], "metric string, value double"), 4)
 
 
 @query
 def boosted_trees(spark, sf):
-    return binary_report(spark, sf, gbt(SHAPE, "quality", rounds=40))
+    return binary_report(spark, sf, gbt(SHAPE, "quality", key="doc_id"))
 
 
 @query
 def boosted_trees_multiclass(spark, sf):
-    return language_report(spark, sf, gbt(VOWELS, "y", rounds=10, depth=4, weighting=None))
+    return language_report(spark, sf, gbt(VOWELS, "y", weighting=None, key="doc_id"))
 
 
 @query
 def boosted_trees_regularised(spark, sf):
-    return binary_report(spark, sf, large_gbt(SHAPE, "quality", rounds=40, min_gain=0.001))
+    return binary_report(spark, sf, large_gbt(SHAPE, "quality", key="doc_id"))
 
 
 @query
 def adaptive_boosting(spark, sf):
-    return language_report(spark, sf, adaboost(VOWELS, "y", rounds=20))
+    return language_report(spark, sf, adaboost(VOWELS, "y", key="doc_id"))
 
 
 def scaled_languages(spark, sf) -> DataFrame:
@@ -909,13 +909,13 @@ def svm_search(spark, sf):
 
 @query
 def stacking(spark, sf):
-    df = cached(split.stratified_folds(quality(spark, sf), "doc_id", "quality", 3, shuffle=False))
-    bases = {"forest": random_forest(SHAPE, "quality", trees=20, depth=8), "bayes": GaussianNB(SHAPE, "quality")}
+    df = cached(split.stratified_folds(quality(spark, sf), "doc_id", "quality", 5, shuffle=False))
+    bases = {"forest": random_forest(SHAPE, "quality", key="doc_id"), "bayes": GaussianNB(SHAPE, "quality")}
     return rounded(metrics.metric_summary(ens.stack(bases, df, "quality", 2).transform(df), "quality"), 4)
 
 
 @query
 def ensemble_choice(spark, sf):
     df = cached(quality(spark, sf))
-    bases = {"forest": random_forest(SHAPE, "quality", trees=20, depth=8), "logistic": logreg(SHAPE, "quality")}
-    return rounded(workflows.choose_ensemble(bases, df, "doc_id", "quality", stacking_folds=3).scores, 4)
+    bases = {"forest": random_forest(SHAPE, "quality", key="doc_id"), "logistic": logreg(SHAPE, "quality")}
+    return rounded(workflows.choose_ensemble(bases, df, "doc_id", "quality").scores, 4)

@@ -29,7 +29,7 @@ LEARNERS = {
     "rbf": rbf_svm(AB, "y", C=10.0, n_components=40),
     "poly": KernelSVM(AB, "y", kernel="poly", degree=2),
     "forest": random_forest(AB, "y", trees=10, depth=6),
-    "boosted": gbt(AB, "y", rounds=3, depth=3, weighting=None),
+    "boosted": gbt(AB, "y", rounds=30, depth=3, weighting=None),  # a tree sees one of the two columns
     "adaboost": adaboost(AB, "y", rounds=12),
     "mlp": mlp(AB, "y", "key", hidden=(12,), lr=0.3, dropout=0.0, epochs=15, batch=32),
 }
@@ -140,7 +140,7 @@ def test_bagged_neighbours(blobs):
 
 
 def test_out_of_bag(blobs):
-    assert out_of_bag(random_forest(AB, "y", trees=5, depth=4), blobs, "key", 2)["f1_macro"] > 0.9
+    assert out_of_bag(random_forest(AB, "y", trees=5, depth=4, key="key"), blobs)["f1_macro"] > 0.9
 
 
 def test_searches(blobs):
