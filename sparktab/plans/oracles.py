@@ -521,3 +521,43 @@ add("blend_search_triple", blend_sql(triple_grid(), ("s1", "s2", "s3")))
 add("best_blend", blend_sql(FIVE, ("s1", "s2"), "ORDER BY e.f1 DESC, ordinal LIMIT 1"))
 add("blended", f"WITH {ITEMS} SELECT y, (0.35::DOUBLE * s1 + 0.65::DOUBLE * s2 > 0.45::DOUBLE)::INTEGER AS prediction, count(*) AS n FROM items GROUP BY 1, 2")
 add("best_method", f"WITH {ITEMS}, m AS ({MODELS}) SELECT model, {r('f1')} AS f1 FROM m ORDER BY m.f1 DESC, ordinal LIMIT 1")
+
+# Stumps: cut values are the values at ranks i * n // 256; every cut of every feature is tried.
+CUTS = f"""{QUALITY}, long AS ({" UNION ALL ".join(f"SELECT doc_id, {i} AS f, '{c}' AS feature, {c}::DOUBLE AS v FROM data" for i, c in enumerate(SHAPE))}),
+  ranked AS (SELECT f, feature, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS spot, count(*) OVER (PARTITION BY f) AS n FROM long),
+  cuts AS (SELECT DISTINCT f, feature, v AS cut FROM (SELECT *, greatest(1, (spot * 256 + n - 1) // n) AS i FROM ranked) WHERE i < 256 AND (i * n) // 256 = spot)"""
+
+
+def soft(g: str) -> str:
+    return f"(sign({g}) * greatest(abs({g}) - 0.5, 0))"
+
+
+def newton_round(k: int) -> str:
+    score = lambda g, h: f"pow({soft(g)}, 2) / ({h} + 2)"
+    leaf = lambda g, h: f"-0.1 * {soft(g)} / ({h} + 2)"
+    return f"""g{k} AS (SELECT doc_id, w * (p - quality) AS g, w * p * (1 - p) AS h FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM m{k})),
+  c{k} AS (SELECT f, feature, cut, coalesce(sum(g) FILTER (v < cut), 0) AS gl, coalesce(sum(h) FILTER (v < cut), 0) AS hl, sum(g) AS g, sum(h) AS h
+    FROM long JOIN cuts USING (f, feature) JOIN g{k} USING (doc_id) GROUP BY ALL),
+  b{k} AS (SELECT {k} AS round, f, feature, cut, {leaf('gl', 'hl')} AS "left", {leaf('(g - gl)', '(h - hl)')} AS "right" FROM c{k}
+    WHERE hl >= 1 AND h - hl >= 1 ORDER BY {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} DESC, f, cut LIMIT 1),
+  m{k + 1} AS (SELECT m.doc_id, quality, w, margin + CASE WHEN v < cut THEN "left" ELSE "right" END AS margin FROM m{k} m JOIN long USING (doc_id) JOIN b{k} USING (f, feature))"""
+
+
+def adaptive_round(k: int) -> str:
+    side = lambda a, b: f"({a} * {a} + {b} * {b}) / nullif({a} + {b}, 0)"
+    return f"""c{k} AS (SELECT f, feature, cut, coalesce(sum(w * x) FILTER (v < cut AND quality = 0), 0) AS l0, coalesce(sum(w * x) FILTER (v < cut AND quality = 1), 0) AS l1,
+      sum(w * x) FILTER (quality = 0) AS t0, sum(w * x) FILTER (quality = 1) AS t1, count(*) FILTER (v < cut) AS nl, count(*) AS n
+    FROM long JOIN cuts USING (f, feature) JOIN m{k} USING (doc_id) GROUP BY ALL),
+  b{k} AS (SELECT f, feature, cut, (l1 > l0)::INTEGER AS "left", (t1 - l1 > t0 - l0)::INTEGER AS "right" FROM c{k}
+    WHERE nl >= 2 AND n - nl >= 2 ORDER BY {side('l0', 'l1')} + {side('(t0 - l0)', '(t1 - l1)')} DESC, f, cut LIMIT 1),
+  s{k} AS (SELECT m.doc_id, quality, w, x, f, (CASE WHEN v < cut THEN "left" ELSE "right" END) <> quality AS miss FROM m{k} m JOIN long USING (doc_id) JOIN b{k} USING (f, feature)),
+  e{k} AS (SELECT 0.1 * ln((1 - e) / e) AS alpha, mean FROM (SELECT sum(x) FILTER (miss) / sum(x) AS e, avg(x) AS mean FROM s{k})),
+  m{k + 1} AS (SELECT doc_id, quality, w, x * CASE WHEN miss THEN exp(alpha) ELSE 1 END / mean AS x FROM s{k}, e{k})"""
+
+
+add("boosted_stumps", f"""WITH {CUTS}, m0 AS (SELECT doc_id, quality, CASE WHEN quality = 1 THEN (SELECT count(*) FILTER (quality = 0)::DOUBLE / count(*) FILTER (quality = 1) FROM data) ELSE 1 END AS w, 0.0::DOUBLE AS margin FROM data),
+  {", ".join(newton_round(k) for k in range(3))}
+  {" UNION ALL ".join(f"SELECT round, feature, {r('cut', 4)} AS cut, {r(chr(34) + 'left' + chr(34), 4)} AS left, {r(chr(34) + 'right' + chr(34), 4)} AS right FROM b{k}" for k in range(3))}""")
+add("adaptive_stumps", f"""WITH {CUTS}, m0 AS (SELECT doc_id, quality, count(*) OVER ()::DOUBLE / (2 * count(*) OVER (PARTITION BY quality)) AS w, 1.0::DOUBLE AS x FROM data),
+  {", ".join(adaptive_round(k) for k in range(3))}
+  {" UNION ALL ".join(f"SELECT {k} AS round, feature, {r('cut', 4)} AS cut, b.left::DOUBLE AS left, b.right::DOUBLE AS right, {r('alpha', 4)} AS alpha FROM b{k} b, e{k}" for k in range(3))}""")

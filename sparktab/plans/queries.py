@@ -824,6 +824,30 @@ def adaptive_boosting(spark, sf):
     return language_report(spark, sf, adaboost(VOWELS, "y", key="doc_id"))
 
 
+def first_cuts(spark, model, trees) -> DataFrame:
+    """Feature, cut value and both sides of the first split of each ``(tree, left, right, extra)``."""
+    rows = []
+    for i, (tree, left, right, extra) in enumerate(trees):
+        f = tree.feature[0]
+        rows.append((i, SHAPE[f] if f >= 0 else None, float(model.cuts[f][tree.bin[0]]) if f >= 0 else None, float(left), float(right), extra))
+    return spark.createDataFrame(rows, "round int, feature string, cut double, left double, right double, extra double")
+
+
+@query
+def boosted_stumps(spark, sf):
+    """Three rounds of one cut on all rows, with both penalties: small enough to be written out in SQL."""
+    learner = gbt(SHAPE, "quality", rounds=3, depth=1, rows=1.0, cols=1.0, l1=0.5, l2=2.0, key="doc_id")
+    model = learner.fit(quality(spark, sf))
+    return rounded(first_cuts(spark, model, [(t[0], v[0][1], v[0][2], None) for t, v in model.trees]).drop("extra"), 4)
+
+
+@query
+def adaptive_stumps(spark, sf):
+    """Three adaptive rounds of one cut, with the weight of each vote."""
+    model = adaboost(SHAPE, "quality", rounds=3, depth=1, key="doc_id").fit(quality(spark, sf))
+    return rounded(first_cuts(spark, model, [(t, guess[1], guess[2], alpha) for t, guess, alpha in model.trees]).withColumnRenamed("extra", "alpha"), 4)
+
+
 def scaled_languages(spark, sf) -> DataFrame:
     df = cached(languages(spark, sf))
     return fit_scaler(df, VOWELS).transform(df)
