@@ -879,7 +879,7 @@ def network_ensemble(spark, sf):
 @query
 def metric_learning(spark, sf):
     df = scaled_languages(spark, sf).select("doc_id", "y", F.array(*VOWELS).alias("x"))
-    model = nca_fit(df, "doc_id", "x", "y", dim=2, iterations=8)
+    model = nca_fit(df, "doc_id", "x", "y", dim=2)
     steps = [(i, float(v)) for i, v in enumerate(model.objective)]
     return rounded(spark.createDataFrame(steps, "step int, objective double"))
 
@@ -888,7 +888,7 @@ def metric_learning(spark, sf):
 def bagged_neighbours(spark, sf):
     df = cached(languages(spark, sf))
     train, test = split.train_test(df, "doc_id", "y")
-    out = bagged_knn(train, test, "doc_id", VOWELS, "y", k=5, n=3, iterations=4)
+    out = bagged_knn(train, test, "doc_id", VOWELS, "y", k=5)
     return rounded(metrics.classification_report(out.join(test.select("doc_id", "y"), "doc_id"), "y"), 4)
 
 

@@ -13,7 +13,7 @@ from sparktab.models.kernel import KernelSVM, fourier_map, rbf_svm
 from sparktab.models.learner import predict
 from sparktab.models.linear import linear_svm, logreg
 from sparktab.models.mlp import backward, batch_loss, flatten, forward, initial_weights, mlp, one_hot, unflatten
-from sparktab.models.nca import bagged_knn, nca_block, nca_fit
+from sparktab.models.nca import bagged_knn, hit_chance, joined_sums, nca_block, nca_fit, row_sums, scatter
 from sparktab.models.trees import gbt, out_of_bag, random_forest
 from sparktab.operators import split
 from sparktab.operators.encode import fit_label
@@ -201,3 +201,23 @@ def test_network_does_not_depend_on_cores_or_batches(spark, blobs):
                 spark.conf.set(k, v)
         found.append([h["train_loss"] for h in model.history])
     assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
+def test_block_pairs_give_the_exact_objective():
+    """Sums and scatter over pairs of blocks of any size against the dense formula."""
+    rng = np.random.default_rng(8)
+    x, y, A = rng.normal(size=(90, 4)), rng.integers(0, 3, 90), rng.normal(size=(2, 4))
+    value, grad = nca_block(A, x, y)
+    for size in (1, 7, 40, 90):
+        blocks = [(x[i : i + size], y[i : i + size]) for i in range(0, 90, size)]
+        sums = [joined_sums([row_sums(A, one, other, i == j) for j, other in enumerate(blocks)]) for i, one in enumerate(blocks)]
+        assert sum(hit_chance(s).sum() for s in sums) == pytest.approx(value, abs=1e-9)
+        whole = sum(scatter(A, one, other, sums[i], i == j) for i, one in enumerate(blocks) for j, other in enumerate(blocks))
+        assert np.allclose(2 * A @ whole, grad, atol=1e-8)
+
+
+def test_learned_map_does_not_depend_on_blocks(blobs):
+    df = blobs.select("key", "y", F.array("a", "b", (F.col("a") * F.col("b"))).alias("x"))
+    one, many = (nca_fit(df, "key", "x", "y", dim=2, iterations=6, block_rows=n) for n in (2048, 120))
+    assert np.allclose(one.A, many.A, atol=1e-6) and np.allclose(one.objective, many.objective, atol=1e-6)
+    assert one.objective[-1] > one.objective[0]
