@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression
 
-from sparktab.models.learner import VECTOR, WEIGHT, FitContext, Learner, columns_of
+from sparktab.models.learner import WEIGHT, FitContext, Learner, columns_of
+from sparktab.models.margin import SquaredHinge
 
 
 def logreg(
@@ -28,14 +29,7 @@ def logreg(
 
 
 def linear_svm(
-    features: Sequence[str] | str, label: str, C: float = 1.0, max_iter: int = 2000,
-    scale: str | None = "standard", weighting: str | None = "balanced", parallelism: int = 4, tol: float = 1e-4,
-) -> Learner:
-    """Hinge loss; more than two classes are trained one against the rest."""
-    def make(c: FitContext):
-        svm = columns_of(LinearSVC, weightCol=WEIGHT, regParam=1.0 / (C * c.total_weight), maxIter=max_iter, tol=tol, standardization=False)
-        if c.classes <= 2:
-            return svm
-        return OneVsRest(classifier=svm, featuresCol=VECTOR, labelCol="__label", weightCol=WEIGHT, parallelism=parallelism)
-
-    return Learner(features if isinstance(features, str) else tuple(features), label, make, weighting, scale)
+    features: Sequence[str] | str, label: str, C: float = 1.0, max_iter: int = 2000, scale: str | None = "standard", weighting: str | None = "balanced", tol: float = 1e-8,
+) -> SquaredHinge:
+    """Squared hinge; more than two classes are trained one against the rest, side by side."""
+    return SquaredHinge(features if isinstance(features, str) else tuple(features), label, C, max_iter, scale, weighting, tol)

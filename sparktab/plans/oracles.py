@@ -561,3 +561,17 @@ add("boosted_stumps", f"""WITH {CUTS}, m0 AS (SELECT doc_id, quality, CASE WHEN
 add("adaptive_stumps", f"""WITH {CUTS}, m0 AS (SELECT doc_id, quality, count(*) OVER ()::DOUBLE / (2 * count(*) OVER (PARTITION BY quality)) AS w, 1.0::DOUBLE AS x FROM data),
   {", ".join(adaptive_round(k) for k in range(3))}
   {" UNION ALL ".join(f"SELECT {k} AS round, feature, {r('cut', 4)} AS cut, b.left::DOUBLE AS left, b.right::DOUBLE AS right, {r('alpha', 4)} AS alpha FROM b{k} b, e{k}" for k in range(3))}""")
+
+# Newton steps on slope and intercept, 40 of them; the two equations of a step are solved by Cramer's rule.
+add("squared_hinge_line", f"""WITH RECURSIVE {QUALITY},
+  pts AS (SELECT (log_chars - avg(log_chars) OVER ()) / stddev_pop(log_chars) OVER () AS x, 2 * quality - 1 AS s, count(*) OVER ()::DOUBLE / (2 * count(*) OVER (PARTITION BY quality)) AS w FROM data),
+  steps AS (
+    SELECT c::DOUBLE AS c, 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM (VALUES (0.001), (0.25), (4.0)) t(c)
+    UNION ALL
+    SELECT c, any_value(k) + 1, any_value(a) - ((ga + any_value(a)) * (1 + hbb) - (gb + any_value(b)) * hab) / ((1 + haa) * (1 + hbb) - hab * hab),
+      any_value(b) - ((gb + any_value(b)) * (1 + haa) - (ga + any_value(a)) * hab) / ((1 + haa) * (1 + hbb) - hab * hab)
+    FROM (SELECT c, k, a, b, sum(-2 * c * w * s * gap * x * on_) OVER p AS ga, sum(-2 * c * w * s * gap * on_) OVER p AS gb, sum(2 * c * w * x * x * on_) OVER p AS haa,
+        sum(2 * c * w * x * on_) OVER p AS hab, sum(2 * c * w * on_) OVER p AS hbb
+      FROM (SELECT *, 1 - s * (a * x + b) AS gap, (1 - s * (a * x + b) > 0)::INTEGER AS on_ FROM steps, pts WHERE k < 40) WINDOW p AS (PARTITION BY c))
+    GROUP BY c, ga, gb, haa, hab, hbb)
+SELECT c, {r('a', 5)} AS slope, {r('b', 5)} AS intercept FROM steps WHERE k = 40""")

@@ -772,9 +772,17 @@ def linear_svm_binary(spark, sf):
     return binary_report(spark, sf, linear_svm(SHAPE, "quality"))
 
 
+@query
+def squared_hinge_line(spark, sf):
+    """Slope and intercept on one scaled measure, for several penalties."""
+    df = cached(quality(spark, sf))
+    rows = [(c, *map(float, linear_svm(("log_chars",), "quality", C=c).fit(df).coefficients[0])) for c in (0.001, 0.25, 4.0)]
+    return rounded(spark.createDataFrame(rows, "c double, slope double, intercept double"), 5)
+
+
 @query
 def linear_svm_multiclass(spark, sf):
-    return language_report(spark, sf, linear_svm(VOWELS, "y", max_iter=100))
+    return language_report(spark, sf, linear_svm(VOWELS, "y"))
 
 
 @query
@@ -784,7 +792,7 @@ def rbf_svm_multiclass(spark, sf):
 
 @query
 def poly_svm_binary(spark, sf):
-    return binary_report(spark, sf, KernelSVM(SHAPE, "quality", kernel="poly", head="svm", scale="standard", max_iter=100))
+    return binary_report(spark, sf, KernelSVM(SHAPE, "quality", kernel="poly", head="svm", scale="standard"))
 
 
 @query
@@ -927,7 +935,7 @@ def svm_search(spark, sf):
     df = cached(quality(spark, sf))
     train, valid = split.train_test(df, "doc_id", "quality")
     grid = [{"C": c} for c in (0.25, 0.5, 1.0, 2.0)]
-    _, scores = tune.holdout_search(lambda p: linear_svm(SHAPE, "quality", max_iter=1000, **p), grid, train, valid, "quality")
+    _, scores = tune.holdout_search(lambda p: linear_svm(SHAPE, "quality", **p), grid, train, valid, "quality")
     return rounded(spark.createDataFrame([(p["C"], f) for p, f in scores], "c double, f1 double"), 4)
 
 

@@ -25,7 +25,7 @@ AB = ("a", "b")
 LEARNERS = {
     "bayes": GaussianNB(AB, "y"),
     "logistic": logreg(AB, "y"),
-    "linear svm": linear_svm(AB, "y", max_iter=50),
+    "linear svm": linear_svm(AB, "y"),
     "rbf": rbf_svm(AB, "y", C=10.0, n_components=40),
     "poly": KernelSVM(AB, "y", kernel="poly", degree=2),
     "forest": random_forest(AB, "y", trees=10, depth=6),
@@ -221,3 +221,20 @@ def test_learned_map_does_not_depend_on_blocks(blobs):
     one, many = (nca_fit(df, "key", "x", "y", dim=2, iterations=6, block_rows=n) for n in (2048, 120))
     assert np.allclose(one.A, many.A, atol=1e-6) and np.allclose(one.objective, many.objective, atol=1e-6)
     assert one.objective[-1] > one.objective[0]
+
+
+def test_squared_hinge_optimum(spark):
+    """The gradient of ``|w|^2 / 2 + C * weighted squared hinge`` vanishes at the fit, for every class against the rest."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    y = (x[:, 0] + rng.normal(size=300) > 0.5).astype(int) + (x[:, 1] + rng.normal(size=300) > 1).astype(int)
+    df = spark.createDataFrame([(*map(float, a), int(t)) for a, t in zip(x, y)], "a double, b double, c double, y int").repartition(5)
+    for C in (0.01, 3.0):
+        model = linear_svm(("a", "b", "c"), "y", C, scale=None).fit(df)
+        weight = np.array([300 / (3 * (y == t).sum()) for t in y])
+        z = np.hstack([x, np.ones((300, 1))])
+        for k, w in enumerate(model.coefficients):
+            s = np.where(y == k, 1, -1)
+            gap = np.maximum(0, 1 - s * (z @ w))
+            assert np.abs(w - 2 * C * (weight * s * gap) @ z).max() < 1e-6
+    assert linear_svm(("a", "b", "c"), "y", scale=None).fit(df.limit(0)).transform(df).count() == 300
