@@ -27,25 +27,32 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, without warranties or conditions of any kind",
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "MIT": [
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "SPDX-License-Identifier: MIT",
     ],
     "BSD": [
         "Released under the 3-Clause BSD License.",
         "Licensed under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Released under the 2-Clause BSD License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "Licensed under the GNU General Public License, version 2.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
     ],
     "LGPL": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
@@ -54,7 +61,8 @@ TEMPLATES = {
     ],
     "AGPL": [
         "Licensed under the GNU Affero General Public License, version 3.",
-        "redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
         "SPDX-License-Identifier: AGPL-3.0-only",
     ],
     "MPL": [
@@ -62,6 +70,25 @@ TEMPLATES = {
         "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
         "SPDX-License-Identifier: MPL-2.0",
     ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "EPL": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "Zlib": [
+        "Licensed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "SPDX-License-Identifier: Zlib",
+    ],
+    "BSL": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
@@ -167,9 +194,14 @@ class Model:
         self.known = np.array(sorted({g for own in every for c in own for g in gram_codes(c, s.bits)[0].tolist()}), dtype=np.int64)
         self.column = np.full(1 << s.bits, -1, dtype=np.int32)
         self.column[self.known] = np.arange(len(self.known))
+        # a wording that families have in common names none of them: grams of one family count in full, of two by a quarter, of more not at all
+        holders = np.array([[any(g in t for t in own) for own in self.templates] for g in self.known.tolist()]).sum(axis=1)
+        self.naming = dict(zip(self.known.tolist(), np.select([holders == 1, holders == 2], [1.0, 0.25], 0.0).tolist(), strict=True))
+        self.whole = [[sum(self.naming[g] for g in t) for t in own] for own in self.templates]
+        # by template and known gram: what the gram counts for in it
+        self.holds = np.array([np.isin(self.known, list(t)) for own in self.templates for t in own]) * np.array([self.naming[g] for g in self.known.tolist()])
+        self.least = s.shared * self.holds.sum(axis=1) - 1e-9
         self.of = [(k, len(words_of(t.encode()))) for k, f in enumerate(families) for t in TEMPLATES[f]]
-        self.holds = np.array([np.isin(self.known, list(t)) for own in self.templates for t in own])
-        self.least = s.shared * self.holds.sum(axis=1)
         self.w = np.zeros((len(self.known), len(families) + 1))
         self.bias = np.zeros(len(families) + 1)
         self.heat = 1.0
@@ -191,6 +223,10 @@ class Model:
         own = set(self.known[row].tolist()) if len(row) > 1 else set()
         return bool(own) and any(len(own & t) >= self.s.shared * len(t) for ts in self.templates for t in ts)
 
+    def share(self, own: set[int], k: int) -> list[float]:
+        """How much of each template of a family the grams ``own`` hold, by what names the family."""
+        return [sum(self.naming[g] for g in own & t) / whole if whole else 0.0 for t, whole in zip(self.templates[k], self.whole[k], strict=True)]
+
     def chances(self, row: np.ndarray) -> np.ndarray:
         z = (self.w[row].sum(axis=0) / np.sqrt(max(len(row), 1)) + self.bias) / self.heat
         e = np.exp(z - z.max())
@@ -206,12 +242,12 @@ class Model:
         if k == len(self.families):
             return UNKNOWN, float(p[k]), 0.0
         own = set(self.known[row].tolist())
-        shared = max(len(own & t) / len(t) for t in self.templates[k])
+        shared = max(self.share(own, k))
         good = p[k] >= self.s.score and shared >= self.s.shared
         return self.families[k] if good else UNKNOWN, float(p[k]), shared
 
     def regions(self, words: list[bytes]) -> list[tuple[str, float, float, int, int]]:
-        """Family, score, share, first word and word after the last one, wherever the words hold enough of a template in about its length.
+        """Family, score, share, first word and word after the last one, wherever the words hold enough of what names a template in about its length.
 
         Each region is decided by itself, so notices beside each other don't share a score. Of regions that lie in each other by more than half
         (families have wordings in common) the one with the largest share of its template stays.
@@ -229,16 +265,16 @@ class Model:
         column, at, end = column[column >= 0], at[column >= 0], end[column >= 0]
         for t in np.flatnonzero(self.holds[:, np.unique(column)].sum(axis=1) >= self.least):
             k, n = self.of[t]
-            own = self.holds[t, column]
+            own = self.holds[t, column] > 0
             order = np.argsort(end[own], kind="stable")
             c, x, y = column[own][order], at[own][order], end[own][order]
             while len(c):
-                spans = []  # from each start: distinct grams, and the end of the last one's first occurrence
+                spans = []  # from each start: what its distinct grams count for, and the end of the last one's first occurrence
                 for i in np.unique(x).tolist():
                     m = (x >= i) & (y <= i + n + n // 4 + 2)
                     first_seen = np.unique(c[m], return_index=True)[1]
                     last = int(y[m][first_seen].max(initial=i))
-                    spans.append((len(first_seen), i - last, i, last))
+                    spans.append((float(self.holds[t, c[m][first_seen]].sum()), i - last, i, last))
                 number, _, first, last = max(spans)
                 if number < self.least[t]:
                     break

@@ -192,6 +192,21 @@ def test_families(licenses):
         assert licenses.scan(line.encode()) == []
 
 
+NAMED = {
+    "SPDX-License-Identifier: ISC": "ISC", "SPDX-License-Identifier: EPL-2.0": "EPL", "SPDX-License-Identifier: Zlib": "Zlib", "SPDX-License-Identifier: GPL-2.0-only": "GPL",
+    "SPDX-License-Identifier: BSL-1.0": "BSL", "SPDX-License-Identifier: BSD-2-Clause": "BSD", "# SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL", "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL",
+    "SPDX-License-Identifier: Foo-1.0": None, "Licensed under the Foo License, Version 2.0.": None, "Released under the Foo License.": None, "This work is licensed under a Foo 4.0 International License.": None,
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License": "AGPL",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.": "MIT",
+}
+
+
+@pytest.mark.parametrize("line, family", NAMED.items())
+def test_what_names_a_family_decides(licenses, line, family):
+    """Wordings that licences have in common name none of them."""
+    assert [f[0] for f in licenses.scan(line.encode())] == ([family] if family else [])
+
+
 def test_several_notices_on_a_line(licenses):
     one = {f: ts[0] for f, ts in ls.TEMPLATES.items()}
     for a, b in itertools.combinations(one, 2):
