@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparktab.llm.common import cut, hash_of
+from sparktab.llm.order import numbered
 
 RING_BITS, SLICE_BITS = 63, 12
 
@@ -54,8 +54,8 @@ def placements(nodes: list[tuple[int, int]], counts: dict[int, int], room: list[
 def shard_rows(df: DataFrame, shards: int = 40, virtual_nodes: int = 64, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, size, text_crc32, law, shard, slot, grown_shard, home_shard`` for every row; law is ``rows``.
 
-    size: UTF-8 bytes of the text (null: none) plus 16. The key's hash alone decides on the home shard; which rows of a full shard go on depends on their order in the
-    table. Rows with one key (or none) are counted by task, so that a hot key is never gathered in one place. Repeated rows are
+    size: UTF-8 bytes of the text (null: none) plus 16. The key's hash alone decides on the home shard; which rows of a full shard go on is decided by hash, key
+    and text, not by files or partitions. Rows with one key (or none) may be any share: their ranks are taken over range partitions. Repeated rows are
     placed one by one; other columns are ignored; an empty table gives no rows. ``grown_shard`` is null under this law.
     """
     spark = df.sparkSession
@@ -74,21 +74,15 @@ def shard_rows(df: DataFrame, shards: int = 40, virtual_nodes: int = 64, key: st
     rows = rows.withColumn("slice", F.shiftright("position", RING_BITS - SLICE_BITS).cast("int"))
     met = F.get(F.filter("marks", lambda m: m["position"] >= F.col("position")), F.lit(0))["node"]
     homes = rows.join(F.broadcast(slices), "slice").select("key", "size", "text_crc32", "position", F.coalesce(met, F.col("following")).alias("node"))
-    # 4,096 slices and their marks: bounded by the parameters. Written once, because the parts below must stay as they are.
-    homes = cut(homes).withColumn("part", F.spark_partition_id())
-
-    counts = homes.groupBy("node", "part").agg(F.count(F.lit(1)).alias("n"))
-    arrived = {r["node"]: r["n"] for r in counts.groupBy("node").agg(F.sum("n").alias("n")).collect()}  # a number for each virtual node
+    # 4,096 slices and their marks: bounded by the parameters. Rows of one node, however many, get their ranks over range partitions.
+    ranked = numbered(cut(homes.withColumn("seq", F.monotonically_increasing_id())), ["node"], ["position", "key", "text_crc32", "size", "seq"]).withColumnRenamed("idx", "rank")
+    arrived = {r["node"]: r["n"] for r in ranked.groupBy("node").agg(F.max("n").alias("n")).collect()}  # a number for each virtual node
     total = sum(arrived.values())
     room = [total // shards + (s < total % shards) for s in range(shards)]
     plan = spark.createDataFrame(placements(nodes, arrived, room) or [(-1, 0, 0, 0, 0)], "node int, first long, n long, shard int, slot0 long")
 
-    earlier = W.partitionBy("node").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("node", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    local = F.row_number().over(W.partitionBy("node", "part").orderBy("position", "key", "text_crc32", "size")) - 1
-    ranked = homes.withColumn("local", local).join(offsets, ["node", "part"]).withColumn("rank", F.col("before") + F.col("local"))
     own = F.broadcast(plan.withColumnRenamed("node", "at"))
-    placed = ranked.join(own, (F.col("node") == F.col("at")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))
+    placed = ranked.drop("n").join(own, (F.col("node") == F.col("at")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))
     owners = F.broadcast(spark.createDataFrame([(i, s) for i, (_, s) in enumerate(nodes)], "node int, home_shard int"))
     return placed.join(owners, "node").select(
         F.col("key").alias(key), "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("slot0") + F.col("rank") - F.col("first")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "home_shard"

@@ -170,6 +170,14 @@ def test_sharding(spark):
     assert shard_rows(frame(spark, [])).collect() == []
 
 
+def test_shards_depend_on_rows_alone_and_move_little(spark):
+    df = frame(spark, [(i, f"text {i}", "en", "a", 1) for i in range(4000)] + [(9, "text 9", "en", "a", 1)] * 700)
+    two, seven, more = ({(r.doc_id, r.text_crc32, r.slot if n == 9 else 0): r.shard for r in shard_rows(df.repartition(p), n).collect()} for p, n in ((2, 40), (7, 40), (3, 41)))
+    assert two == seven
+    moved = sum(more[k] != v for k, v in two.items() if k[0] != 9)
+    assert moved < 3 * 4000 / 41  # the new shard takes 1 / 41, full shards pass on some
+
+
 LICENSED = {
     "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache", "This work is licensed under the GNU General Public License, version 3.": "GPL",
     "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "Licensed under CC BY-SA 4.0.": "CC-BY-SA", "All rights reserved.": "proprietary", "Copyright 2019 Somebody. All rights reserved.": "proprietary",
