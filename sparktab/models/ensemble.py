@@ -7,9 +7,12 @@ columns of one row and combining them needs no join.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,6 +138,54 @@ def triple_grid(first=TRIPLE["first"], second=TRIPLE["second"], threshold: float
     return [(w, threshold) for w in pairs if w[2] > 0]
 
 
+def simplex_grid(models: int, parts: int = 10) -> list[tuple[float, ...]]:
+    """All weights that are positive multiples of ``1 / parts`` and sum to one, ascending; equal weights if there are too many models."""
+    if models > parts:
+        return [tuple([1.0 / models] * models)]
+    cuts = combinations(range(1, parts), models - 1)
+    return [tuple((b - a) / parts for a, b in zip((0, *c), (*c, parts))) for c in cuts]
+
+
+def blend_search_classes(df: DataFrame, probabilities: Sequence[str], label: str, classes: int, grid: Sequence[Sequence[float]]) -> DataFrame:
+    """Macro F1 of every blend of probability arrays, the class with the highest blended share being the guess (the first on ties).
+
+    One pass as in ``blend_search``, for any number of models and of classes 0..K-1; tasks hand on one row per combination and class.
+    A row without all its shares is a miss, one without a label is left out; classes neither seen nor guessed do not count.
+    Returns ``(ordinal, weights, f1)``.
+    """
+    cols = [f"s{j}" for j in range(len(probabilities))]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tp, g, p = np.zeros((len(grid), classes), dtype="int64"), np.zeros((len(grid), classes), dtype="int64"), np.zeros(classes, dtype="int64")
+        for batch in batches:
+            y = batch.column(0).to_numpy()
+            p += np.bincount(y, minlength=classes)
+            known = batch.column(1).to_numpy(zero_copy_only=False)
+            if not known.any():
+                continue
+            y, kept = y[known], batch.filter(pa.array(known))
+            parts = [kept.column(2 + j).flatten().to_numpy(zero_copy_only=False).reshape(len(y), classes) for j in range(len(cols))]
+            for i, w in enumerate(grid):
+                mixed = w[0] * parts[0]
+                for weight, part in zip(w[1:], parts[1:]):
+                    mixed = mixed + weight * part
+                guess = mixed.argmax(axis=1)
+                g[i] += np.bincount(guess, minlength=classes)
+                tp[i] += np.bincount(guess[guess == y], minlength=classes)
+        ordinal, c = np.divmod(np.arange(len(grid) * classes, dtype="int32"), classes)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ordinal, c, tp.ravel(), g.ravel(), np.tile(p, len(grid)))], ["ordinal", "c", "tp", "g", "p"])
+
+    complete = [F.coalesce((F.size(F.col(s)) == classes) & ~F.exists(F.col(s), lambda v: v.isNull() | F.isnan(v)), F.lit(False)) for s in probabilities]
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.col(label).cast("int").alias("y"), reduce(lambda a, b: a & b, complete).alias("known"), *[F.col(s).cast("array<double>").alias(c) for s, c in zip(probabilities, cols)]
+    )
+    counts = rows.mapInArrow(count, "ordinal int, c int, tp bigint, g bigint, p bigint").groupBy("ordinal", "c").agg(*[F.sum(v).alias(v) for v in ("tp", "g", "p")])
+    f1 = F.avg(F.when(F.col("g") + F.col("p") > 0, F.lit(2.0) * F.col("tp") / (F.col("g") + F.col("p"))))
+    scores = counts.groupBy("ordinal").agg(F.coalesce(f1, F.lit(0.0)).alias("f1"))
+    plan = df.sparkSession.createDataFrame([(i, [float(v) for v in w]) for i, w in enumerate(grid)], "ordinal int, weights array<double>")
+    return plan.join(scores, "ordinal").select("ordinal", "weights", "f1")
+
+
 def _blend(scores: Sequence[str], weights: Sequence[float]) -> str:
     return " + ".join(f"{num(w)} * {name(s)}" for s, w in zip(scores, weights))
 

@@ -80,6 +80,36 @@ def holdout_search(build, grid: Sequence[dict], train: DataFrame, valid: DataFra
     return grid[best], list(zip(grid, scores))
 
 
+# Penalties and kernel widths of the radial search (5 x 5 = 25 combinations).
+RBF_GRID = {"C": (1.0, 10.0, 50.0, 100.0, 200.0), "gamma": ("scale", 0.1, 0.5, 1.0, 2.0)}
+
+
+def penalty_rows(build: Callable[[dict], object], outer: Sequence[dict], penalties: Sequence[float], df: DataFrame, label: str, fold: str = "fold") -> list[tuple]:
+    """``cv_rows`` for the grid ``outer`` x ``C``: the recipes' ``fit_all`` solves all penalties of a setting in the same passes over its rows."""
+    folds = sorted(r[0] for r in df.select(fold).distinct().collect())
+    rows = []
+    for f in folds:
+        train, held = cached(df.where(F.col(fold) != f)), cached(df.where(F.col(fold) == f))
+
+        def scores(p: dict) -> list[dict]:
+            return [evaluate(m.transform(held), label) for m in build(p).fit_all(train, penalties)]  # noqa: B023
+
+        found = [(o | {"C": c}, s) for o, own in zip(outer, side_by_side(scores, outer)) for c, s in zip(penalties, own)]
+        rows += [(i, json.dumps(p, sort_keys=True), f, s["f1"], s["f1_macro"], s["accuracy"]) for i, (p, s) in enumerate(found)]
+        train.unpersist()
+        held.unpersist()
+    return rows
+
+
+def penalty_search(
+    build: Callable[[dict], object], outer: Sequence[dict], penalties: Sequence[float], df: DataFrame, label: str, metric: str = "f1_macro", fold: str = "fold",
+) -> tuple[dict, DataFrame]:
+    """The best setting by mean fold score (the first one on ties) and the report; ``build`` makes a recipe with ``fit_all``."""
+    report = df.sparkSession.createDataFrame(penalty_rows(build, outer, penalties, df, label, fold), SCHEMA)
+    best = cv_means(report, metric).first()["param_id"]
+    return outer[best // len(penalties)] | {"C": penalties[best % len(penalties)]}, report
+
+
 # The neighbour grid (5 x 2 x 2 x 2 = 40 combinations).
 KNN_GRID = {
     "k": (7, 11, 15, 21, 31),

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
-from sparktab.models.ensemble import PAIR_FIVE_THRESHOLDS, pair_grid, triple_grid
-from sparktab.models.tune import KNN_GRID
-from sparktab.plans.queries import LETTERS, MEASURES
+import numpy as np
 
 ORACLES: dict[str, str] = {}
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+NEIGHBOURS = (7, 11, 15, 21, 31)
 
 
 def h60(key: str, seed: int = 42) -> str:
@@ -436,10 +437,10 @@ add("knn_settings", f"""WITH {QUALITY}, f AS (SELECT *, (ntile(5) OVER (PARTITIO
   st AS (SELECT g.fold AS sf, {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in SHAPE)} FROM (SELECT DISTINCT fold FROM f) g JOIN f ON f.fold <> g.fold GROUP BY 1),
   d AS (SELECT q.fold, q.doc_id AS qid, q.quality AS y, t.doc_id AS tid, t.quality AS l, u.p AS used, CASE u.p WHEN 1 THEN {GAPS[1]} ELSE sqrt({GAPS[2]}) END AS dist
     FROM f q JOIN f t ON q.fold <> t.fold JOIN st ON sf = q.fold, (VALUES (1), (2)) u(p)),
-  n AS (SELECT *, row_number() OVER (PARTITION BY qid, used ORDER BY dist, tid) AS rank FROM d QUALIFY rank <= {max(KNN_GRID['k'])}),
+  n AS (SELECT *, row_number() OVER (PARTITION BY qid, used ORDER BY dist, tid) AS rank FROM d QUALIFY rank <= {max(NEIGHBOURS)}),
   v AS (SELECT fold, qid, y, used, k, sum((dist = 0 AND l = 1)::INTEGER) AS z1, sum((dist = 0 AND l = 0)::INTEGER) AS z0, sum(CASE WHEN l = 1 THEN 1 / nullif(dist, 0) END) AS s1,
     sum(CASE WHEN l = 0 THEN 1 / nullif(dist, 0) END) AS s0, sum((l = 1)::INTEGER) AS u1, sum((l = 0)::INTEGER) AS u0
-    FROM n, (VALUES {', '.join(f'({k})' for k in KNN_GRID['k'])}) ks(k) WHERE rank <= k GROUP BY ALL),
+    FROM n, (VALUES {', '.join(f'({k})' for k in NEIGHBOURS)}) ks(k) WHERE rank <= k GROUP BY ALL),
   g AS (SELECT fold, y, used, k, 'uniform' AS weights, (u1 > u0)::INTEGER AS guess FROM v UNION ALL
     SELECT fold, y, used, k, 'distance', CASE WHEN z1 + z0 > 0 THEN (z1 > z0)::INTEGER ELSE (coalesce(s1, 0) > coalesce(s0, 0))::INTEGER END FROM v),
   e AS (SELECT fold, used, k, weights, {f1_sql('guess')} AS f1, avg((guess = y)::INTEGER) AS accuracy FROM g GROUP BY ALL)
@@ -514,10 +515,23 @@ def blend_sql(grid, cols, tail: str = "") -> str:
     return f"WITH {ITEMS}, {blend_cte(grid, cols)} SELECT ordinal, {cols_out} FROM e {tail}"
 
 
-FIVE = pair_grid(**PAIR_FIVE_THRESHOLDS)
+# The grids are written out here once more, so that a wrong one in the library shows.
+FIVE = [((w, 1.0 - w), t) for w in np.arange(0.2, 0.9, 0.05).tolist() for t in (0.4, 0.45, 0.5, 0.55, 0.6)]
+FINE = [((w, 1.0 - w), t) for w in np.arange(0.2, 0.8, 0.05).tolist() for t in np.arange(0.4, 0.6, 0.02).tolist()]
+THREE = [((a, b, 1.0 - a - b), 0.5) for a in np.arange(0.2, 0.9, 0.1).tolist() for b in np.arange(0.1, 0.8, 0.1).tolist() if 1.0 - a - b > 0]
 add("blend_search_pair", blend_sql(FIVE, ("s1", "s2")))
-add("blend_search_fine", blend_sql(pair_grid(), ("s2", "s3")))
-add("blend_search_triple", blend_sql(triple_grid(), ("s1", "s2", "s3")))
+add("blend_search_fine", blend_sql(FINE, ("s2", "s3")))
+add("blend_search_triple", blend_sql(THREE, ("s1", "s2", "s3")))
+add("blend_search_classes", f"""WITH {ITEMS},
+  n AS (SELECT unnest(range(1, 8)) AS i),
+  grid AS (SELECT (row_number() OVER (ORDER BY a.i, b.i, c.i) - 1)::INTEGER AS ordinal, a.i / 10.0::DOUBLE AS w1, b.i / 10.0::DOUBLE AS w2, c.i / 10.0::DOUBLE AS w3,
+      (10 - a.i - b.i - c.i) / 10.0::DOUBLE AS w4 FROM n a, n b, n c WHERE a.i + b.i + c.i < 10),
+  mixed AS (SELECT ordinal, l_returnflag AS y, w1 * s1 + w2 * 0.4::DOUBLE + w3 * (1 - s3) + w4 * 0.3::DOUBLE AS a, w1 * (1 - s1) + w2 * s2 + w3 * 0.5::DOUBLE + w4 * (1 - s1) AS n,
+      w1 * 0.4::DOUBLE + w2 * (1 - s2) + w3 * s3 + w4 * s2 AS r FROM items, grid),
+  guessed AS (SELECT ordinal, y, CASE WHEN a >= n AND a >= r THEN 'A' WHEN n >= r THEN 'N' ELSE 'R' END AS g FROM mixed),
+  f AS (SELECT ordinal, c, 2.0::DOUBLE * count(*) FILTER (y = c AND g = c) / nullif(count(*) FILTER (y = c) + count(*) FILTER (g = c), 0) AS f
+    FROM guessed, (VALUES ('A'), ('N'), ('R')) k(c) GROUP BY ordinal, c)
+SELECT ordinal, {r('any_value(w1)')} AS w1, {r('any_value(w2)')} AS w2, {r('any_value(w3)')} AS w3, {r('any_value(w4)')} AS w4, {r('avg(f)')} AS f1 FROM grid JOIN f USING (ordinal) GROUP BY ordinal""")
 add("best_blend", blend_sql(FIVE, ("s1", "s2"), "ORDER BY e.f1 DESC, ordinal LIMIT 1"))
 add("blended", f"WITH {ITEMS} SELECT y, (0.35::DOUBLE * s1 + 0.65::DOUBLE * s2 > 0.45::DOUBLE)::INTEGER AS prediction, count(*) AS n FROM items GROUP BY 1, 2")
 add("best_method", f"WITH {ITEMS}, m AS ({MODELS}) SELECT model, {r('f1')} AS f1 FROM m ORDER BY m.f1 DESC, ordinal LIMIT 1")
@@ -575,3 +589,17 @@ add("squared_hinge_line", f"""WITH RECURSIVE {QUALITY},
       FROM (SELECT *, 1 - s * (a * x + b) AS gap, (1 - s * (a * x + b) > 0)::INTEGER AS on_ FROM steps, pts WHERE k < 40) WINDOW p AS (PARTITION BY c))
     GROUP BY c, ga, gb, haa, hab, hbb)
 SELECT c, {r('a', 5)} AS slope, {r('b', 5)} AS intercept FROM steps WHERE k = 40""")
+
+# The same for the logistic loss; the intercept carries no penalty.
+add("logistic_line", f"""WITH RECURSIVE {QUALITY},
+  pts AS (SELECT (log_chars - avg(log_chars) OVER ()) / stddev_pop(log_chars) OVER () AS x, quality AS y, count(*) OVER ()::DOUBLE / (2 * count(*) OVER (PARTITION BY quality)) AS w FROM data),
+  steps AS (
+    SELECT c::DOUBLE AS c, 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM (VALUES (0.01), (0.25), (4.0)) t(c)
+    UNION ALL
+    SELECT c, any_value(k) + 1, any_value(a) - ((ga + any_value(a)) * hbb - gb * hab) / ((1 + haa) * hbb - hab * hab),
+      any_value(b) - (gb * (1 + haa) - (ga + any_value(a)) * hab) / ((1 + haa) * hbb - hab * hab)
+    FROM (SELECT c, k, a, b, sum(c * w * (p - y) * x) OVER q AS ga, sum(c * w * (p - y)) OVER q AS gb, sum(c * w * p * (1 - p) * x * x) OVER q AS haa,
+        sum(c * w * p * (1 - p) * x) OVER q AS hab, sum(c * w * p * (1 - p)) OVER q AS hbb
+      FROM (SELECT *, 1 / (1 + exp(-(a * x + b))) AS p FROM steps, pts WHERE k < 30) WINDOW q AS (PARTITION BY c))
+    GROUP BY c, ga, gb, haa, hab, hbb)
+SELECT c, {r('a', 4)} AS slope, {r('b', 4)} AS intercept FROM steps WHERE k = 30""")

@@ -722,6 +722,16 @@ def blend_search_triple(spark, sf):
     return rounded(ens.blend_search(scored_items(spark, sf), ["s1", "s2", "s3"], "y", ens.triple_grid()))
 
 
+@query
+def blend_search_classes(spark, sf):
+    """Four sets of shares for three classes: every weight vector in steps of a tenth."""
+    s1, s2, s3 = F.col("s1"), F.col("s2"), F.col("s3")
+    shares = {"a": (s1, 1 - s1, F.lit(0.4)), "b": (F.lit(0.4), s2, 1 - s2), "c": (1 - s3, F.lit(0.5), s3), "d": (F.lit(0.3), 1 - s1, s2)}
+    df = scored_items(spark, sf).withColumns({"y": F.array_position(F.array(*map(F.lit, "ANR")), F.col("l_returnflag")).cast("int") - 1, **{n: F.array(*v) for n, v in shares.items()}})
+    found = ens.blend_search_classes(df, list(shares), "y", 3, ens.simplex_grid(4))
+    return rounded(found.select("ordinal", *[F.col("weights")[i].alias(f"w{i + 1}") for i in range(4)], "f1"))
+
+
 @query
 def best_blend(spark, sf):
     return rounded(ens.best_blend(ens.blend_search(scored_items(spark, sf), ["s1", "s2"], "y", ens.pair_grid(**ens.PAIR_FIVE_THRESHOLDS))))
@@ -757,6 +767,17 @@ def logistic_l2(spark, sf):
     return binary_report(spark, sf, logreg(SHAPE, "quality"))
 
 
+@query
+def logistic_line(spark, sf):
+    """Slope and intercept on one scaled measure, for several penalties."""
+    df = cached(quality(spark, sf))
+    rows = []
+    for c in (0.01, 0.25, 4.0):
+        model = logreg(("log_chars",), "quality", C=c, tol=1e-12).fit(df).model
+        rows.append((c, float(model.coefficients[0]), float(model.intercept)))
+    return rounded(spark.createDataFrame(rows, "c double, slope double, intercept double"), 4)
+
+
 @query
 def logistic_l1(spark, sf):
     return binary_report(spark, sf, logreg(SHAPE, "quality", C=0.1, penalty="l1"))
@@ -792,7 +813,7 @@ def rbf_svm_multiclass(spark, sf):
 
 @query
 def poly_svm_binary(spark, sf):
-    return binary_report(spark, sf, KernelSVM(SHAPE, "quality", kernel="poly", head="svm", scale="standard"))
+    return binary_report(spark, sf, KernelSVM(SHAPE, "quality", kernel="poly", scale="standard"))
 
 
 @query
@@ -939,6 +960,15 @@ def svm_search(spark, sf):
     return rounded(spark.createDataFrame([(p["C"], f) for p, f in scores], "c double, f1 double"), 4)
 
 
+@query
+def rbf_search(spark, sf):
+    """Penalties and kernel widths, five folds: 125 fits."""
+    df = cached(split.stratified_folds(languages(spark, sf), "doc_id", "y"))
+    outer = [{"gamma": g} for g in tune.RBF_GRID["gamma"]]
+    _, report = tune.penalty_search(lambda p: rbf_svm(VOWELS, "y", n_components=50, probability=False, **p), outer, tune.RBF_GRID["C"], df, "y")
+    return rounded(tune.cv_means(report, "f1_macro"), 4)
+
+
 @query
 def stacking(spark, sf):
     df = cached(split.stratified_folds(quality(spark, sf), "doc_id", "quality", 5, shuffle=False))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.models.ensemble import best_blend, blend_search, f1_weights, pair_grid, score_all, select_best, stack, triple_grid, vote
+from sparktab.models.ensemble import best_blend, blend_search, blend_search_classes, f1_weights, pair_grid, score_all, select_best, simplex_grid, stack, triple_grid, vote
 from sparktab.operators.clean import holdout_by_ids
 from sparktab.operators.encode import LabelCoder
 from sparktab.operators.features import FeatureModel, FeatureSpec
@@ -66,10 +66,12 @@ class EnsembleChoice:
     weights: list[float] | None
     threshold: float
     stacked: object | None = None
+    classes: int = 2
 
-    def transform(self, df: DataFrame, classes: int = 2) -> DataFrame:
+    def transform(self, df: DataFrame, classes: int | None = None) -> DataFrame:
         if self.stacked is not None:
             return self.stacked.transform(df)
+        classes = classes or self.classes
         scored = score_all(self.models, df)
         names = [f"probability_{m}" for m in self.models]
         shares = vote(scored, names, classes, "soft", self.weights)
@@ -87,7 +89,7 @@ def choose_ensemble(
     refit the winner on all rows.
 
     Base models are trained once on the training part and their scores reused.
-    Blending searches two classes only.
+    Blending searches weights and thresholds for two classes, weights and the highest blended share for more.
     """
     train, valid = train_test(df, key, label, frac, seed)
     train, valid = cached(train), cached(valid)
@@ -105,11 +107,14 @@ def choose_ensemble(
         folded = stratified_folds(train, key, label, stacking_folds, shuffle=False)
         stacked = stack(bases, folded, label, classes)
         tried.append(("stacking", evaluate(stacked.transform(valid), label)["f1"], None, 0.5))
-    if classes == 2 and len(bases) in (2, 3):
-        plan = grid or (pair_grid() if len(bases) == 2 else triple_grid())
+    if classes == 2:
+        plan = grid or (pair_grid() if len(bases) == 2 else triple_grid() if len(bases) == 3 else [(w, 0.5) for w in simplex_grid(len(bases))])
         ones = scored.withColumns({f"p_{m}": F.col(f"probability_{m}")[1] for m in bases})
         top = best_blend(blend_search(ones, [f"p_{m}" for m in bases], label, plan)).first()
         tried.append(("blending", top["f1"], [top[f"w{i}"] for i in range(1, len(bases) + 1)], top["threshold"]))
+    else:
+        top = best_blend(blend_search_classes(scored, probs, label, classes, grid or simplex_grid(len(bases)))).first()
+        tried.append(("blending", top["f1"], list(top["weights"]), 0.5))
     rows = [(i, name, float(f1)) for i, (name, f1, _, _) in enumerate(tried)]
     table = df.sparkSession.createDataFrame(rows, "ordinal int, method string, f1 double")
     winner = tried[select_best(table).first()["ordinal"]]
@@ -117,11 +122,11 @@ def choose_ensemble(
         part.unpersist()
     if winner[0] == "stacking":
         folded = stratified_folds(df, key, label, stacking_folds, shuffle=False)
-        return EnsembleChoice(winner[0], table, {}, None, 0.5, stack(bases, folded, label, classes))
+        return EnsembleChoice(winner[0], table, {}, None, 0.5, stack(bases, folded, label, classes), classes)
     whole = cached(df)
     final = {name: learner.fit(whole) for name, learner in bases.items()}
     whole.unpersist()
-    return EnsembleChoice(winner[0], table, final, winner[2], winner[3])
+    return EnsembleChoice(winner[0], table, final, winner[2], winner[3], classes=classes)
 
 
 def score_grid(model, df: DataFrame, x: str, y: str, step: float = 2.0) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from sparktab.models import ensemble, tune
 from sparktab.models.bayes import GaussianNB
 from sparktab.models.boosting import adaboost
-from sparktab.models.kernel import KernelSVM, fourier_map, rbf_svm
+from sparktab.models.calibrate import coupled, sigmoids
+from sparktab.models.kernel import Fourier, Kernel, KernelSVM, Landmarks, Monomials, TensorSketch, candidates_of, mapped, rbf_svm
 from sparktab.models.learner import predict
 from sparktab.models.linear import linear_svm, logreg
+from sparktab.models.margin import SquaredHinge
 from sparktab.models.mlp import backward, batch_loss, flatten, forward, initial_weights, mlp, one_hot, unflatten
 from sparktab.models.nca import bagged_knn, hit_chance, joined_sums, nca_block, nca_fit, row_sums, scatter
 from sparktab.models.trees import gbt, out_of_bag, random_forest
@@ -81,12 +83,94 @@ def test_naive_bayes_statistics_of_many_columns(spark, kind):
     assert wide.transform(df).where("prediction IS NULL").count() == 0
 
 
-def test_fourier_features_approach_the_kernel(spark):
-    pts = np.random.default_rng(0).normal(size=(30, 2))
-    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id int, x array<double>")
-    z = np.array([r["z"] for r in fourier_map(df, "x", 2, 0.5, 4000, 1, "z").orderBy("id").collect()])
-    want = np.exp(-0.5 * ((pts[:, None] - pts[None]) ** 2).sum(2))
-    assert np.abs(z @ z.T - want).max() < 0.1
+def points(spark, n=60, d=3):
+    pts = np.random.default_rng(0).normal(size=(n, d))
+    return pts, spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id int, x array<double>").repartition(4)
+
+
+def inner_products(df, f):
+    z = np.array([r["z"] for r in mapped(df, F.col("x"), f, "z").orderBy("id").collect()])
+    return z @ z.T
+
+
+def test_kernel_maps_have_the_kernel_as_inner_product(spark):
+    pts, df = points(spark)
+    distance = ((pts[:, None] - pts[None]) ** 2).sum(2)
+    for degree, coef0, gamma in ((2, 1.0, 0.5), (3, 0.0, 0.7), (3, 2.5, 0.2)):
+        got = inner_products(df, Monomials(3, Kernel("poly", gamma, degree, coef0)))
+        assert np.allclose(got, (gamma * pts @ pts.T + coef0) ** degree)
+    assert np.abs(inner_products(df, Fourier(3, 0.5, 4000, 1)) - np.exp(-0.5 * distance)).max() < 0.1
+    rows = np.sort(candidates_of(df, F.col("x"), 3, 500, 1), axis=0)
+    assert np.allclose(rows, np.sort(pts, axis=0))
+    assert np.allclose(inner_products(df, Landmarks(rows_of(df), Kernel("rbf", 0.5), 60, 1)), np.exp(-0.5 * distance), atol=1e-6)  # a landmark each: exact
+    some = Landmarks(rows_of(df), Kernel("rbf", 0.1), 40, 1)
+    assert some.error < 0.005 and np.abs(inner_products(df, some) - np.exp(-0.1 * distance)).max() < 0.1
+    sketch = inner_products(df, TensorSketch(3, Kernel("poly", 0.5, 2, 1.0), 8192, 1))
+    want = (0.5 * pts @ pts.T + 1) ** 2
+    assert np.abs(sketch - want).mean() < 0.05 * np.abs(want).mean()
+
+
+def rows_of(df):
+    return np.array([r["x"] for r in df.orderBy("id").collect()])
+
+
+def test_landmark_candidates_are_bounded_and_different(spark):
+    """A row that fills the table is one candidate; missing and infinite rows are none."""
+    df = spark.range(30000).select(F.when(F.col("id") < 20000, F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.col("id") * 1.0, F.lit(0.5))).alias("x"))
+    extra = spark.createDataFrame([([None, 1.0],), ([float("inf"), 1.0],), ([float("nan"), 1.0],), (None,)], "x array<double>")
+    found = candidates_of(df.unionByName(extra), F.col("x"), 2, 100, 7)
+    assert found.shape == (100, 2) and len(np.unique(found, axis=0)) == 100 and np.isfinite(found).all()
+    assert candidates_of(extra, F.col("x"), 2, 100, 7).shape == (0, 2)
+
+
+def test_kernel_machine_edges(spark):
+    """A circle inside a ring; rows with a missing measure get neither class nor probabilities."""
+    rng = np.random.default_rng(2)
+    angle, radius = rng.uniform(0, 6.28, 300), np.repeat([1.0, 3.0], 150) + rng.normal(0, 0.2, 300)
+    rows = [(i, float(r * np.cos(t)), float(r * np.sin(t)), int(i >= 150)) for i, (t, r) in enumerate(zip(angle, radius))]
+    df = spark.createDataFrame(rows, "key int, a double, b double, y int")
+    for learner in (rbf_svm(AB, "y"), KernelSVM(AB, "y", kernel="poly", degree=2, coef0=1.0), rbf_svm(AB, "y", approximation="fourier")):
+        model = learner.fit(df)
+        out = model.transform(df)
+        assert evaluate(out, "y")["f1"] > 0.97
+        sure = out.select((F.col("probability")[1]).alias("p"), "y").toPandas()
+        assert (-(sure.y * np.log(sure.p) + (1 - sure.y) * np.log(1 - sure.p))).mean() < 0.2
+        missing = model.transform(spark.createDataFrame([(1, None, 2.0)], "key int, a double, b double")).first()
+        assert missing["prediction"] is None and missing["probability"] is None
+    none = rbf_svm(AB, "y").fit(df.limit(0)).transform(df)
+    assert none.count() == 300
+
+
+def test_pairwise_coupling_gives_back_consistent_shares():
+    """Pair probabilities made from shares lead to these shares; rows sum to one."""
+    p = np.random.default_rng(3).dirichlet([1, 2, 3, 1], 50)
+    problems = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+    assert np.allclose(coupled(np.column_stack([p[:, a] / (p[:, a] + p[:, b]) for a, b in problems]), problems, 4), p)
+    wild = coupled(np.random.default_rng(4).uniform(0.01, 0.99, (50, 6)), problems, 4)
+    assert np.allclose(wild.sum(axis=1), 1) and (wild >= 0).all()
+
+
+def test_sigmoids_find_the_line_that_made_the_labels(spark):
+    """Labels drawn with known chances: the fitted chances are the drawn ones; margins without a relation to the labels say the class share."""
+    rng = np.random.default_rng(5)
+    f = rng.normal(size=(8000, 1)) * 2
+    y = (rng.uniform(size=8000) < 1 / (1 + np.exp(-(1.5 * f[:, 0] - 0.5)))).astype(int)
+    rows = spark.createDataFrame([([float(v)], int(t)) for (v,), t in zip(f, y)], "margins array<double>, y int").repartition(5)
+    assert sigmoids(rows, [(1, None)])[0] == pytest.approx([1.5, -0.5], abs=0.12)
+    flipped = spark.createDataFrame([([float(-v)], int(t)) for (v,), t in zip(f, y)], "margins array<double>, y int")
+    slope, at = sigmoids(flipped, [(1, None)])[0]
+    assert slope == 0 and 1 / (1 + np.exp(-at)) == pytest.approx(y.mean(), abs=1e-3)
+
+
+def test_penalties_solved_together_are_those_solved_alone(blobs):
+    together = SquaredHinge(AB, "y", pairs=True).fit_all(blobs, [0.1, 5.0])
+    for C, model in zip((0.1, 5.0), together):
+        alone = SquaredHinge(AB, "y", C, pairs=True).fit(blobs)
+        assert np.allclose(alone.coefficients, model.coefficients, atol=1e-7) and model.problems == [(0, 1), (0, 2), (1, 2)]
+    folded = split.stratified_folds(blobs, "key", "y", 3).cache()
+    best, report = tune.penalty_search(lambda p: rbf_svm(AB, "y", n_components=20, probability=False, **p), [{"gamma": 0.5}, {"gamma": "scale"}], [1.0, 10.0], folded, "y")
+    assert report.count() == 12 and best == {"gamma": 0.5, "C": 1.0}
+    assert report.select("params").distinct().count() == 4
 
 
 @pytest.mark.parametrize("outputs,activation", [(1, "relu"), (3, "relu"), (3, "sigmoid")])
@@ -170,6 +254,34 @@ def test_stacking_and_choice(blobs):
     assert evaluate(choice.transform(two), "y")["f1"] > 0.95
 
 
+def test_choice_never_skips_blending(blobs):
+    """Four models and three classes: blending is tried as well, and its weights are applied."""
+    bases = {f"bayes{i}": GaussianNB(f, "y") for i, f in enumerate((("a",), ("b",), AB, ("a",)))}
+    choice = workflows.choose_ensemble(bases, blobs, "key", "y", 3, stacking_folds=None)
+    scores = {r["method"]: r["f1"] for r in choice.scores.collect()}
+    assert set(scores) == {"equal votes", "weighted votes", "blending"} and scores["blending"] > 0.95
+    assert evaluate(choice.transform(blobs), "y")["f1"] > 0.95
+    two = workflows.choose_ensemble(bases, blobs.where("y < 2"), "key", "y", 2, stacking_folds=None)
+    assert two.scores.where("method = 'blending'").count() == 1
+
+
+def test_class_blends_against_brute_force(spark):
+    """Any number of models; rows without shares are misses, rows without a label are left out, the first class wins ties."""
+    rng = np.random.default_rng(6)
+    shares = rng.dirichlet([1, 1, 1], (200, 3))
+    rows = [([float(v) for v in a], [float(v) for v in b], [float(v) for v in c], int(rng.integers(3))) for a, b, c in shares]
+    rows += [([0.5, 0.5, 0.0],) * 3 + (1,), (None, [1.0, 0.0, 0.0], [1.0, 0.0, 0.0], 0), ([1.0, 0.0, 0.0],) * 3 + (None,)]
+    df = spark.createDataFrame(rows, "a array<double>, b array<double>, c array<double>, y int").repartition(3)
+    grid = ensemble.simplex_grid(3, 5)
+    assert len(grid) == 6 and all(min(w) > 0 and sum(w) == pytest.approx(1) for w in grid)
+    got = {r["ordinal"]: r["f1"] for r in ensemble.blend_search_classes(df, ["a", "b", "c"], "y", 3, grid).collect()}
+    for i, w in enumerate(grid):
+        pairs = [(y, int(np.argmax(sum(wj * np.array(v) for wj, v in zip(w, s)))) if None not in s else -1) for *s, y in rows if y is not None]
+        f1 = [2 * sum(y == g == k for y, g in pairs) / sum((y == k) + (g == k) for y, g in pairs) for k in range(3)]
+        assert got[i] == pytest.approx(np.mean(f1))
+    assert ensemble.blend_search_classes(df.limit(0), ["a", "b", "c"], "y", 3, grid).select("f1").distinct().collect() in ([], [(0.0,)])
+
+
 def test_holdout_by_ids_decodes(spark, blobs):
     named = blobs.withColumn("c", F.when(F.col("y") == 0, "p").when(F.col("y") == 1, "q").otherwise("r")).drop("y")
     coder = fit_label(named, "c")
