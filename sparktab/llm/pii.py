@@ -39,6 +39,7 @@ DIGIT_WORDS = {
 LOOK_ALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԝ": "w",
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X",
+    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "ϲ": "c", "ϳ": "j",
     "α": "a", "ο": "o", "ν": "v", "ρ": "p", "ι": "i", "υ": "u", "ɑ": "a", "ɡ": "g", "ı": "i",
     "․": ".", "。": ".", "﹒": ".", "﹫": "@", "⁺": "+", "﹢": "+",
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "﹣": "-",
@@ -50,6 +51,10 @@ def _one_to_one() -> dict[int, str]:
     table = {ord(k): v for k, v in LOOK_ALIKES.items()}
     table |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}  # full-width forms
     table |= {c: " " for c in (0xA0, 0x3000, *range(0x2000, 0x200B), 0x202F, 0x205F)}
+    for c in (*range(0x2100, 0x2150), *range(0x24B6, 0x24EA), *range(0x1D400, 0x1D800)):  # letter-like, circled and mathematical letters
+        letter = unicodedata.normalize("NFKC", chr(c))
+        if len(letter) == 1 and letter.isascii() and letter.isalpha():
+            table[c] = letter
     for c in range(0x80, 0x1FBFA):
         digit = unicodedata.digit(chr(c), None)  # also super- and subscripts and circled digits
         if digit is not None:
@@ -66,13 +71,15 @@ _ITEM = rf"(?:(?<!\w)(?:{_WORD})(?!\w)|\+?[0-9])"
 SPELLED = re.compile(rf"(?:(?<!\w)plus{_GAP})?{_ITEM}(?:{_GAP}{_ITEM}){{3,}}+", re.IGNORECASE)
 _BY_LETTER = "|".join(f"{c}(?:{'|'.join(w[1:] for w in DIGIT_WORDS if w[0] == c)})" for c in sorted({w[0] for w in DIGIT_WORDS}))
 # over lower-cased text after a blank; begins with a set of characters, which the matcher can skip to
-SPELLED_HINT = re.compile(rf"[\s,;.()\[\]{{}}<>:/|=*+\"'-](?:{_BY_LETTER})[\s,;.()-]{{1,3}}(?:{_BY_LETTER}|[0-9])")
+SPELLED_HINT = re.compile(rf"[\s,;.()\[\]{{}}<>:/|=*+\"'-](?:{_BY_LETTER})[\s,;.()-]{{1,3}}(?:{_BY_LETTER}|[0-9])|[0-9][\s,;.()-]{{1,3}}(?:{_BY_LETTER})(?!\w)")
 ONE_SPELLED = re.compile(rf"(?<!\w)(?:(plus)|({_WORD}))(?!\w)", re.IGNORECASE)
 AT = re.compile(r"\s*(?:[\[({<]\s*(?:at|@)\s*[\])}>]|[_-]at[_-])\s*", re.IGNORECASE)
 DOT = re.compile(r"\s*(?:[\[({<]\s*(?:dot|\.)\s*[\])}>]|[_-]dot[_-])\s*", re.IGNORECASE)
 _PART, _LABEL = "[A-Za-z0-9_%+-]{1,64}+", "[A-Za-z0-9-]{1,63}"
 BARE = re.compile(rf"(?<![\w.%+-])({_PART}(?:(?:\.| dot ){_PART}){{0,8}})( at | @ ?|@ )({_LABEL}(?:(?:\.| dot ){_LABEL}){{0,8}}(?: dot |\.)[A-Za-z]{{2,24}})(?!\w)", re.IGNORECASE)
-DISGUISED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]|[_-](?:at|dot)[_-]| dot | @|@ ", re.IGNORECASE)
+DISGUISED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]|[_-](?:at|dot)[_-]| dot | @|@ | at [a-z0-9-]{1,63}(?:\.[a-z0-9-]{1,63}){0,8}\.[a-z]{2,24}(?!\w)", re.IGNORECASE)
+# Words after which a bare "name at host.example" is an address.
+CONTACT = re.compile(r"(?<!\w)(?:(?:e-?)?mails?|mailto|mailen|courriel|correo|contact|contactez|contacto|kontakt|reach|write|schreiben|écrivez|escriba|address|adresse)(?: (?:me|us|to|at|is|him|her|them|an|à|a|uns|nous))?:? ?$", re.IGNORECASE)
 
 Span = tuple[int, int, str]  # start, end, kind
 
@@ -184,12 +191,16 @@ def fold_digits(t: Traced) -> Traced:
 
 
 def fold_signs(t: Traced) -> Traced:
-    """Written-out "at" and "dot": in brackets anywhere, bare where a whole address is spelled."""
+    """Written-out "at" and "dot": in brackets anywhere, bare where a whole address is spelled; a lone bare "at" needs a name with a dot or digit, or a contact word before it."""
     t = t.rewrite(AT, lambda m: "@").rewrite(DOT, lambda m: ".")
 
+    def named(m: re.Match) -> bool:
+        like_an_account = m[1][0].isalpha() and ("." in m[1] or any(c in "0123456789" for c in m[1]))
+        return like_an_account or CONTACT.search(m.string[max(0, m.start() - 24) : m.start()]) is not None
+
     def whole(m: re.Match) -> str:
         dots = m[1].lower().count(" dot ") + m[3].lower().count(" dot ")
-        if m[2].strip().lower() == "at" and not dots:
+        if m[2].strip().lower() == "at" and not dots and not named(m):
             return m[0]
         return re.sub(" dot ", ".", f"{m[1]}@{m[3]}", flags=re.IGNORECASE)
 

@@ -46,6 +46,31 @@ def test_disguises_map_back(text, found):
     assert not pii.find(pii.mask_all(text))[1]
 
 
+@pytest.mark.parametrize(
+    "text,hidden,kind",
+    [
+        ("please mail jane at example.com today", "jane at example.com", "email"),
+        ("E-mail: jane at mail.example.org", "jane at mail.example.org", "email"),
+        ("ask jane.doe at example.com", "jane.doe at example.com", "email"),
+        ("ask jane99 at example.com", "jane99 at example.com", "email"),
+        ("call +1 555 123 456 seven now", "+1 555 123 456 seven", "phone"),
+        ("call +1 555 123 45 six seven now", "+1 555 123 45 six seven", "phone"),
+        ("ΝΙΚΟ@example.com", "ΝΙΚΟ@example.com", "email"),
+        ("write 𝐣𝐚𝐧𝐞@𝕖𝕩𝕒𝕞𝕡𝕝𝕖.𝒄𝒐𝒎 soon", "𝐣𝐚𝐧𝐞@𝕖𝕩𝕒𝕞𝕡𝕝𝕖.𝒄𝒐𝒎", "email"),
+        ("ⓙⓐⓝⓔ@example.com", "ⓙⓐⓝⓔ@example.com", "email"),
+    ],
+)
+def test_more_disguises(text, hidden, kind):
+    start = text.index(hidden)
+    assert (start, start + len(hidden), kind) in pii.find(text)[1]
+    assert not pii.find(pii.mask_all(text))[1]
+
+
+@pytest.mark.parametrize("text", ["look at example.com", "we met at booking.com at 5.30 at home. Then", "3 one 4 more", "Ω ΑΒΓ at Αθήνα", "sold 25 at market.example"])
+def test_plain_speech_is_no_disguise(text):
+    assert pii.find(text) == ([], [])
+
+
 def test_prose_is_left_alone():
     for text in ("we met at noon. dot com", "look at it (at) last", "one or two of three", "meet at example.com", "Grüße an alle, né en 1999", ""):
         assert pii.find(text) == ([], []) and pii.mask_all(text) == text
