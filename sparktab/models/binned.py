@@ -5,7 +5,8 @@ is one aggregation: every task sums histograms by (node, feature, bin) over its
 meet in one reducer that finds the best cut, and one row for each open node and feature reaches the driver. Statistics are summed as whole numbers
 (fixed point), so that a model depends neither on cores nor on blocks. Rows, columns and bags are drawn by hashes.
 
-A table of one block takes the same steps inside one task (forests: one task for each group of trees), without a job for each level.
+A table of one block takes the same steps inside one task, without a job for each level. The trees of a forest do not wait for each other: while
+the binned table is small (``SHARED_BYTES``, counted first) each task grows a few whole trees on it; larger ones take a job for each level.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ BLOCK_ROWS, SCALE = 1 << 16, float(1 << 24)
 HIST_CELLS = 1 << 22
 # Trees of a forest that grow side by side.
 GROUP_TREES = 20
+# A binned table of up to so many bytes is handed to every task that grows trees of a forest, at most so many trees to a task.
+SHARED_BYTES, TASK_TREES = 64 << 20, 4
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 ARRAYS = {"bins": np.uint8, "y": np.int32, "w": np.float64, "h": np.uint64, "state": np.float64}
 BLOCK_DDL = "block long, rows int, " + ", ".join(f"{c} binary" for c in ARRAYS)
@@ -55,6 +58,15 @@ def drawn(count: int, d: int, *salts: int) -> np.ndarray:
     return np.argsort(uniform(np.arange(d, dtype=np.uint64), *salts), kind="stable")[:count]
 
 
+def drawn_at(d: int, nodes: np.ndarray, *salts: int) -> np.ndarray:
+    """``drawn(d, d, *salts, node)`` for each of ``nodes``, one row each."""
+    x = np.arange(d, dtype=np.uint64)
+    for s in salts:
+        x = mixed(x + np.uint64((int(GOLDEN) * (s + 1)) & 0xFFFFFFFFFFFFFFFF))
+    x = mixed(x[None, :] + (GOLDEN * (nodes.astype(np.uint64) + np.uint64(1)))[:, None])
+    return np.argsort((x >> np.uint64(11)).astype(np.float64) * 2.0**-53, axis=1, kind="stable")
+
+
 @dataclass
 class Tree:
     """Nodes in the order of their making; ``feature`` is -1 at a leaf, the right child follows the left one."""
@@ -322,6 +334,128 @@ def leaves(tree: Tree, rule, width: int) -> np.ndarray:
     return np.stack([rule.leaf(t / SCALE) if t is not None else np.zeros(width) for t in tree.total])
 
 
+@dataclass
+class PackedTree:
+    """A fitted classification tree as arrays; ``left`` of a leaf is its row in the table of leaf values."""
+
+    feature: np.ndarray
+    bin: np.ndarray
+    left: np.ndarray
+
+    def assign(self, bins: np.ndarray) -> np.ndarray:
+        """Row in the table of leaf values of every row; ``bins`` is (features, rows)."""
+        node, rows = np.zeros(bins.shape[1], dtype=np.int64), np.arange(bins.shape[1])
+        while len(rows):
+            rows = rows[self.feature[node[rows]] >= 0]
+            at = node[rows]
+            node[rows] = self.left[at] + (bins[self.feature[at], rows] > self.bin[at])
+        return self.left[node].astype(np.int64)
+
+
+def packed(feature: np.ndarray, bin_: np.ndarray, left: np.ndarray, totals: np.ndarray) -> tuple[PackedTree, np.ndarray]:
+    """Tree and class shares of its leaves. ``totals`` (nodes, classes) are whole numbers; many leaves have the same ones, which are kept once."""
+    leaf = np.flatnonzero(feature < 0)
+    kinds, which = np.unique(totals[leaf], axis=0, return_inverse=True)
+    left = left.astype(np.int32)
+    left[leaf] = which.ravel()
+    return PackedTree(feature.astype(np.int16), bin_.astype(np.uint8), left), shares_of(kinds / SCALE)
+
+
+def shares_of(totals: np.ndarray) -> np.ndarray:
+    return totals / np.maximum(totals.sum(axis=1, keepdims=True), 1e-12)
+
+
+def packed_tree(tree: Tree, classes: int) -> tuple[PackedTree, np.ndarray]:
+    totals = np.array([np.zeros(classes, dtype=np.int64) if t is None else t[:-1] for t in tree.total])
+    return packed(np.array(tree.feature), np.array(tree.bin), np.array(tree.left), totals)
+
+
+def best_cuts(code: np.ndarray, label: np.ndarray, weight: np.ndarray, total: np.ndarray, levels: int, rule: Gini) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gain, bin and left statistics of the best cut of one feature at every open node; gain -inf where there is none.
+
+    ``code`` is node * levels + bin of every row, ``total`` (nodes, channels). Only bins that hold rows are looked at: the work grows with the rows, not with the nodes.
+    """
+    m = len(total)
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    last = np.flatnonzero(np.append(code[1:] != code[:-1], True))
+    at, bin_ = np.divmod(code[last], levels)
+    first = np.searchsorted(at, np.arange(m + 1))  # entries of each node
+    upto = np.empty((len(last), rule.channels), dtype=np.int64)
+    for c in range(rule.classes):
+        upto[:, c] = np.cumsum(np.where(label[order] == c, weight[order], 0))[last]
+    upto[:, -1] = (last + 1) * int(SCALE)
+    held = np.flatnonzero(first[1:] > first[:-1])
+    before = np.zeros((m, rule.channels), dtype=np.int64)
+    before[held] = np.where(first[held, None] > 0, upto[np.maximum(first[held] - 1, 0)], 0)
+    upto -= before[at]
+    gains = np.where(bin_ < levels - 1, rule.gains(upto / SCALE, total[at] / SCALE), -np.inf)
+    best, place = np.full(m, -np.inf), np.zeros(m, dtype=np.int64)
+    best[held] = np.maximum.reduceat(gains, first[held]) if len(held) else -np.inf
+    hit = np.flatnonzero(gains == best[at])[::-1]
+    place[at[hit]] = hit  # the first one stays
+    if not len(last):
+        return best, place, before
+    return best, bin_[place], upto[place]
+
+
+def grow_alone(block: Block, copies: np.ndarray, rule: Gini, depth: int, levels: int, features: int, salts: tuple[int, int]) -> tuple[PackedTree, np.ndarray]:
+    """The tree that ``grow`` makes, for a whole table in one task: rows go down with their nodes, and a level is a few array operations for all its nodes."""
+    width = len(block.bins)
+    rows = np.flatnonzero(copies > 0)
+    y, w = block.y[rows], np.rint(block.w[rows] * copies[rows] * SCALE).astype(np.int64)
+    root = np.append(np.bincount(y, weights=w, minlength=rule.classes).astype(np.int64), len(rows) * int(SCALE))[None]
+    totals = [root]
+    ids, total, slot, made = np.array([0]), root, np.zeros(len(rows), dtype=np.int64), 1
+
+    def is_open(t: np.ndarray) -> np.ndarray:
+        return (t[:, -1] / SCALE >= max(rule.min_split, 2)) & ((t[:, :-1] > 0).sum(axis=1) > 1)
+
+    marks: list[tuple] = []  # splits of a level: nodes, features, bins, left children
+    if not (len(rows) and width and is_open(root)[0]):
+        ids = ids[:0]
+    for _ in range(depth):
+        if not len(ids):
+            break
+        order = drawn_at(width, ids, *salts)
+        chosen, cut, child = np.full(len(ids), -1), np.zeros(len(ids), dtype=np.int64), np.full(len(ids), -1)
+        made_totals, waiting, attempt = [], np.arange(len(ids)), 0
+        while len(waiting) and attempt * features < width:
+            allowed = np.zeros((len(ids), width), dtype=bool)
+            allowed[waiting[:, None], order[waiting, attempt * features : (attempt + 1) * features]] = True
+            gain, sides = np.full(len(ids), -np.inf), np.zeros((len(ids), rule.channels), dtype=np.int64)
+            for f in np.flatnonzero(allowed[waiting].any(axis=0)).tolist():
+                some = np.flatnonzero(allowed[slot, f])
+                code = slot[some] * levels + block.bins[f, rows[some]]
+                g, b, s = best_cuts(code, y[some], w[some], total, levels, rule)
+                better = np.flatnonzero(g > gain)
+                gain[better], chosen[better], cut[better], sides[better] = g[better], f, b[better], s[better]
+            split = waiting[gain[waiting] > -np.inf]
+            child[split] = made + 2 * np.arange(len(split))
+            made += 2 * len(split)
+            pair = np.stack([sides[split], total[split] - sides[split]], axis=1)
+            made_totals.append(pair.reshape(-1, rule.channels))
+            waiting = waiting[gain[waiting] == -np.inf]
+            attempt += 1
+        marks.append((ids, chosen, cut, child))
+        fresh = np.concatenate(made_totals)
+        base = made - len(fresh)
+        totals.append(fresh)
+        go_on = is_open(fresh)
+        ids, total = base + np.flatnonzero(go_on), fresh[go_on]
+        to = np.full(len(fresh), -1)
+        to[go_on] = np.arange(len(ids))
+        some = np.flatnonzero(child[slot] >= 0)
+        own = slot[some]
+        down = to[child[own] - base + (block.bins[chosen[own], rows[some]] > cut[own])]
+        kept = some[down >= 0]
+        rows, y, w, slot = rows[kept], y[kept], w[kept], down[down >= 0]
+    feature, bin_, left = np.full(made, -1), np.zeros(made, dtype=np.int64), np.full(made, -1)
+    for nodes, f, b, c in marks:
+        feature[nodes], bin_[nodes], left[nodes] = f, b, c
+    return packed(feature, bin_, left, np.concatenate(totals)[:, :-1])
+
+
 def shares(votes: np.ndarray) -> np.ndarray:
     """Votes (rows, classes) as shares; equal ones without any vote."""
     whole = votes.sum(axis=1, keepdims=True)
@@ -459,8 +593,8 @@ class Bagging:
             out += values[tree.assign(bins)]
         return shares(out)
 
-    def groups(self) -> list[range]:
-        return [range(at, min(self.trees, at + GROUP_TREES)) for at in range(0, self.trees, GROUP_TREES)]
+    def groups(self, size: int = GROUP_TREES) -> list[range]:
+        return [range(at, min(self.trees, at + size)) for at in range(0, self.trees, size)]
 
     def copies(self, block: Block, tree: int) -> np.ndarray:
         return np.searchsorted(poisson_bounds(1.0), uniform(block.h, self.seed, tree, 2), side="right")
@@ -479,7 +613,11 @@ class Bagging:
             return drawn(width, width, self.seed, chosen[t], node)[attempt * self.features : (attempt + 1) * self.features]
 
         grow(store, made, self.rule, self.depth or 1 << 30, levels, width, lambda b, t: self.weights(b, chosen[t]), features)
-        return [(t, leaves(t, self.rule, self.classes)) for t in made]
+        return [packed_tree(t, self.classes) for t in made]
+
+    def alone(self, block: Block, chosen: Sequence[int], levels: int) -> list:
+        """The same trees on a whole table in one task."""
+        return [grow_alone(block, self.copies(block, t), self.rule, self.depth or 1 << 30, levels, self.features, (self.seed, t)) for t in chosen]
 
     def run(self, store, levels: int, width: int) -> list:
         return [t for chosen in self.groups() for t in self.some(store, chosen, levels, width)]
@@ -487,11 +625,12 @@ class Bagging:
 
 @dataclass
 class Table:
-    """Binned rows: cut values of each feature, blocks, and their number."""
+    """Binned rows: cut values of each feature, blocks, their number and that of the rows."""
 
     cuts: list[np.ndarray]
     blocks: DataFrame
     count: int
+    rows: int
 
     @property
     def levels(self) -> int:
@@ -529,35 +668,56 @@ def binned(df: DataFrame, features: Sequence[str] | str, label: str, weights: di
         return pa.Table.from_pylist([made.row(int(table.column("block")[0].as_py()))], schema=SCHEMA)
 
     spread = rows.select(F.pmod(F.col("h"), F.lit(blocks)).alias("block"), "*")
-    return Table(cuts, spread.groupBy("block").applyInArrow(gathered, BLOCK_DDL), blocks)
+    return Table(cuts, spread.groupBy("block").applyInArrow(gathered, BLOCK_DDL), blocks, total)
 
 
 SCHEMA = pa.schema([("block", pa.int64()), ("rows", pa.int32()), *[(c, pa.binary()) for c in ARRAYS]])
 
 
 def fitted(table: Table, plan, width: int) -> list:
-    """Run ``plan`` on the blocks: inside one task if there is one block, else as jobs over all of them."""
+    """Run ``plan`` on the blocks: inside one task if there is one block, else as jobs over all of them; trees of a forest in tasks of their own."""
     ensure_checkpoint_dir(table.blocks.sparkSession)
     blocks = checkpointed(table.blocks)
     levels = table.levels
+    if isinstance(plan, Bagging) and table.rows * row_bytes(width) <= SHARED_BYTES:
+        return forest_of(blocks, plan, levels)
     if table.count > 1:
         store = Spread(blocks)
         try:
             return plan.run(store, levels, width)
         finally:
             store.close()
-    groups = plan.groups() if hasattr(plan, "groups") else [None]
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                store, chosen = Alone(Block.of(row)), groups[row["place"]]
-                made = plan.run(store, levels, width) if chosen is None else plan.some(store, chosen, levels, width)
-                yield pa.RecordBatch.from_arrays([pa.array([row["place"]], pa.int32()), pa.array([cloudpickle.dumps(made)], pa.binary())], ["place", "model"])
+                made = plan.run(Alone(Block.of(row)), levels, width)
+                yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(made)], pa.binary())], ["model"])
+
+    return [m for r in blocks.mapInArrow(alone, "model binary").collect() for m in cloudpickle.loads(r["model"])]
+
+
+def row_bytes(width: int) -> int:
+    """Bytes of a row in a block without state."""
+    return width + sum(np.dtype(ARRAYS[c]).itemsize for c in ("y", "w", "h"))
+
+
+def forest_of(blocks: DataFrame, plan: Bagging, levels: int) -> list:
+    """Each task gets all blocks (``SHARED_BYTES`` at most) and grows a few trees."""
+    groups = plan.groups(TASK_TREES)
+
+    def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        for place in sorted({r["place"] for r in rows}):
+            own = [Block.of(r) for r in rows if r["place"] == place]
+            table = Block(np.concatenate([b.bins for b in own], axis=1), *[np.concatenate([getattr(b, c) for b in own]) for c in ("y", "w", "h", "state")])
+            for t in groups[place]:
+                made = cloudpickle.dumps(plan.alone(table, [t], levels)[0])
+                yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([made], pa.binary())], ["tree", "model"])
 
-    # the block goes to one task for each group of trees: 65,536 rows at most, at one byte for each feature
-    each = blocks.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))).repartition(len(groups), "place")
-    return [m for r in sorted(each.mapInArrow(alone, "place int, model binary").collect(), key=lambda r: r["place"]) for m in cloudpickle.loads(r["model"])]
+    each = blocks.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))).repartitionByRange(len(groups), "place")
+    found = each.mapInArrow(grown, "tree int, model binary").collect()  # the model: its size is that of its trees
+    return [cloudpickle.loads(r["model"]) for r in sorted(found, key=lambda r: r["tree"])]
 
 
 @dataclass

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparktab.models.binned import SCALE, Adaptive, Block, Gini, Newton, Tree, drawn, uniform
+from sparktab.models import binned
+from sparktab.models.binned import SCALE, Adaptive, Alone, Bagging, Block, Gini, Newton, Tree, drawn, uniform
 from sparktab.models.boosting import adaboost
 from sparktab.models.trees import gbt, large_forest, out_of_bag, random_forest
 from sparktab.operators.metrics import evaluate
@@ -115,6 +116,33 @@ def test_blocks_do_not_matter(noisy, name):
     assert np.allclose(p, q, atol=1e-9)
 
 
+@pytest.mark.parametrize("rows, classes, width, depth, split, leaf", [(900, 3, 4, None, 2, 1), (400, 2, 4, 6, 5, 2), (30, 2, 1, None, 2, 1), (0, 2, 2, 3, 2, 1)])
+def test_trees_grown_by_rows_equal_those_grown_by_histograms(rows, classes, width, depth, split, leaf):
+    """The same nodes in the same order, whichever way; columns with few bins, so that some nodes need a second draw of features."""
+    g = np.random.default_rng(rows)
+    bins = g.integers(0, [2 * 3**j for j in range(width)], (rows, width)).T.astype(np.uint8).copy()
+    y = ((bins.sum(axis=0) // 9 + g.integers(0, 3, rows)) % classes).astype(np.int32)
+    block = Block(bins, y, g.random(rows) + 0.5, g.integers(0, 2**63, rows).astype(np.uint64), np.zeros((rows, 0)))
+    plan, levels = Bagging(classes, 5, depth, Gini(classes, split, leaf), max(1, width // 2), 7), int(bins.max(initial=0)) + 1
+    for (a, v), (b, w) in zip(plan.some(Alone(block), range(5), levels, width), plan.alone(block, range(5), levels), strict=True):
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("feature", "bin", "left")) and (v == w).all()
+
+
+def test_a_forest_over_many_blocks_runs_no_job_for_each_level(noisy, monkeypatch):
+    """Trees without a depth limit on several blocks: whole trees in tasks; above the bound the job for each level gives the same ones."""
+    def unused(*args):
+        raise AssertionError("a job for each level")
+
+    learner = large_forest(FEATURES, "y", trees=3, key="key", block_rows=300)
+    with monkeypatch.context() as m:
+        m.setattr(binned.Spread, "cuts", unused)
+        a = learner.fit(noisy)
+    monkeypatch.setattr(binned, "SHARED_BYTES", 0)
+    b = learner.fit(noisy)
+    for (s, v), (t, w) in zip(a.trees, b.trees, strict=True):
+        assert (s.feature == t.feature).all() and (s.bin == t.bin).all() and (v == w).all()
+
+
 def plain_tree(bins, y, weight, inside, features, rule, depth):
     """A classification tree by trying every cut; returns class shares of every row."""
     k = rule.classes
