@@ -402,3 +402,16 @@ def test_codes_of_levels(spark):
     df = spark.createDataFrame([("b",), ("a",), ("zz",), (None,)], "c string")
     assert [r[0] for r in df.select(F.expr(label_code("c", ["a", "b"]))).collect()] == [1.0, 0.0, -1.0, -1.0]
     assert [r[0] for r in df.select(F.expr(label_code("c", []))).collect()] == [-1.0] * 4
+
+
+def test_brackets_of_many_columns_fit_a_task_together(spark, monkeypatch):
+    """What is looked at value by value is bounded over all columns, as one task may get it all; the ranks stay exact."""
+    from sparktab.operators import ranking
+
+    cols, seen = [f"c{i}" for i in range(12)], []
+    df = spark.range(300).select(*[(((F.col("id") * 37 + i) % 300) / 7.0).alias(c) for i, c in enumerate(cols)])
+    frame = ranking._bracket_frame
+    monkeypatch.setattr(ranking, "_bracket_frame", lambda df, by, kind, brackets: seen.append(sum(b.size for b in brackets)) or frame(df, by, kind, brackets))
+    found = ranking.order_values(df, cols, lambda n: [n // 2], limit=480)
+    assert all(found[c,].values == {150: 150 / 7.0} for c in cols)
+    assert len(seen) > 1 and seen[-1] <= 480
