@@ -17,13 +17,13 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.expressions import best_index, finite_or, name, poisson_bounds
 from sparktab.operators.ranking import order_values
-from sparktab.session import cached, checkpointed, ensure_checkpoint_dir
+from sparktab.session import checkpointed, ensure_checkpoint_dir
 
 # Rows of a block; statistics count in steps of 1 / SCALE.
 BLOCK_ROWS, SCALE = 1 << 16, float(1 << 24)
@@ -237,66 +237,56 @@ class Alone:
 
 
 class Spread:
-    """The same steps on blocks in a DataFrame: a job for each level, and for each change of the rows' state."""
+    """The same steps on blocks kept by the executors: a job for each level; a change of the rows' state is made by the job that follows it."""
 
     EVERY = 10  # changes between two checkpoints
 
-    def __init__(self, blocks: DataFrame):
-        self.first = self.blocks = blocks
-        self.changes = 0
+    def __init__(self, blocks: DataFrame, count: int):
+        ensure_checkpoint_dir(blocks.sparkSession)
+        cores = blocks.sparkSession.sparkContext.defaultParallelism
+        dealt = blocks.repartitionByRange(min(count, max(2 * cores, count // 16)), "block")
+        self.blocks: RDD = dealt.rdd.map(lambda row: Block.of(row.asDict())).persist(StorageLevel.MEMORY_AND_DISK)
+        self.older: list[RDD] = []
+        self.changes, self.parts = 0, min(self.blocks.getNumPartitions(), cores)
+
+    def done(self) -> None:
+        """After a job the current blocks are kept: those before them can go."""
+        for rdd in self.older:
+            rdd.unpersist()
+        self.older = []
 
     def cuts(self, trees: list[Tree], open_: Sequence[Open], stats: Callable, levels: int, rule) -> list[tuple]:
         channels = rule.channels
 
-        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(blocks: Iterator[Block]) -> Iterator[tuple]:
             known: dict[tuple[int, int], np.ndarray] = {}
-            for batch in batches:
-                for row in batch.to_pylist():
-                    for i, f, h in histograms(Block.of(row), trees, open_, stats, levels, channels):
-                        known[i, f] = known[i, f] + h if (i, f) in known else h
-            keys = sorted(known)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([known[k].tobytes() for k in keys], pa.binary())], ["place", "feature", "hist"])
+            for block in blocks:
+                for i, f, h in histograms(block, trees, open_, stats, levels, channels):
+                    known[i, f] = known[i, f] + h if (i, f) in known else h
+            yield from known.items()
 
-        def found(table: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(b, dtype=np.int64) for b in table.column("hist").to_pylist()).reshape(levels, channels)
-            gain, at, left, whole = best_cut(total, rule)
-            return pa.table({"place": table.column("place")[:1], "feature": table.column("feature")[:1], "gain": [gain], "bin": pa.array([at], pa.int32()), "sides": [np.concatenate([left, whole]).tolist()]})
-
-        parts = self.blocks.mapInArrow(summed, "place int, feature int, hist binary")
-        best = parts.groupBy("place", "feature").applyInArrow(found, "place int, feature int, gain double, bin int, sides array<long>")
-        rows = best.collect()  # one for each open node and feature
-        return [(r["place"], r["feature"], r["gain"], r["bin"], np.array(r["sides"][:channels]), np.array(r["sides"][channels:])) for r in rows]
+        sums = self.blocks.mapPartitions(summed).reduceByKey(np.add, self.parts)
+        best = sums.map(lambda kv: (*kv[0], *best_cut(kv[1], rule))).collect()  # one for each open node and feature
+        self.done()
+        return best
 
     def update(self, change: Callable[[Block], np.ndarray]) -> None:
-        def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = []
-                for row in batch.to_pylist():
-                    block = Block.of(row)
-                    out.append({**row, "state": np.ascontiguousarray(change(block)).astype(np.float64).tobytes()})
-                yield pa.RecordBatch.from_pylist(out, schema=batch.schema)
-
         self.changes += 1
-        new = self.blocks.mapInArrow(changed, self.blocks.schema)
-        new = checkpointed(new) if self.changes % self.EVERY == 0 else cached(new)
-        new.count()  # before the older one goes
-        if self.blocks is not self.first:
-            self.blocks.unpersist()
-        self.blocks = new
+        self.older.append(self.blocks)
+        self.blocks = self.blocks.map(lambda block: replace(block, state=change(block))).persist(StorageLevel.MEMORY_AND_DISK)
+        if self.changes % self.EVERY == 0:
+            self.blocks.checkpoint()
+            self.blocks.count()
+            self.done()
 
     def sums(self, fn: Callable[[Block], np.ndarray]) -> np.ndarray:
-        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    values = np.rint(fn(Block.of(row))).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array(values)], ["i", "v"])
-
-        rows = self.blocks.mapInArrow(summed, "i int, v long").groupBy("i").agg(F.sum("v").alias("v")).collect()
-        return np.array([r["v"] for r in sorted(rows, key=lambda r: r["i"])], dtype=np.int64)
+        found = self.blocks.map(lambda block: np.rint(fn(block)).astype(np.int64)).reduce(np.add)
+        self.done()
+        return found
 
     def close(self) -> None:
-        if self.blocks is not self.first:
-            self.blocks.unpersist()
+        self.done()
+        self.blocks.unpersist()
 
 
 def grow(store, trees: list[Tree], rule, depth: int, levels: int, width: int, stats: Callable, features: Callable[[int, int, int], Sequence[int]]) -> None:
@@ -682,7 +672,7 @@ def fitted(table: Table, plan, width: int) -> list:
     if isinstance(plan, Bagging) and table.rows * row_bytes(width) <= SHARED_BYTES:
         return forest_of(blocks, plan, levels)
     if table.count > 1:
-        store = Spread(blocks)
+        store = Spread(blocks, table.count)
         try:
             return plan.run(store, levels, width)
         finally:

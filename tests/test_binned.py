@@ -143,6 +143,25 @@ def test_a_forest_over_many_blocks_runs_no_job_for_each_level(noisy, monkeypatch
         assert (s.feature == t.feature).all() and (s.bin == t.bin).all() and (v == w).all()
 
 
+def test_a_round_over_blocks_takes_one_job_for_each_level(spark, noisy):
+    """Changes of the rows' state have no job of their own (but for checkpoints), and older blocks do not stay."""
+    sc = spark.sparkContext
+    learner = gbt(FEATURES, "y", rounds=12, depth=2, weighting=None, key="key", block_rows=300)
+    table = learner._fit(noisy)[1]
+    store = binned.Spread(table.blocks, table.count)
+    held = len(sc._jsc.getPersistentRDDs())
+    learner.make(3, 3).run(store, table.levels, 3)
+    assert len(sc._jsc.getPersistentRDDs()) <= held + 2
+    sc.setJobGroup("boosting", "rounds")
+    try:
+        learner.make(3, 3).run(store, table.levels, 3)
+        jobs = sc.statusTracker().getJobIdsForGroup("boosting")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        store.close()
+    assert len(jobs) <= 12 * 2 + 12  # before: one more for each round; checkpoints write in jobs of their own
+
+
 def plain_tree(bins, y, weight, inside, features, rule, depth):
     """A classification tree by trying every cut; returns class shares of every row."""
     k = rule.classes

@@ -412,6 +412,6 @@ def test_brackets_of_many_columns_fit_a_task_together(spark, monkeypatch):
     df = spark.range(300).select(*[(((F.col("id") * 37 + i) % 300) / 7.0).alias(c) for i, c in enumerate(cols)])
     frame = ranking._bracket_frame
     monkeypatch.setattr(ranking, "_bracket_frame", lambda df, by, kind, brackets: seen.append(sum(b.size for b in brackets)) or frame(df, by, kind, brackets))
-    found = ranking.order_values(df, cols, lambda n: [n // 2], limit=480)
+    found = ranking.order_values(df, cols, lambda n: [n // 2], limit=480, bins=16)
     assert all(found[c,].values == {150: 150 / 7.0} for c in cols)
     assert len(seen) > 1 and seen[-1] <= 480
