@@ -18,7 +18,18 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.expressions import best_index, name, num, safe_share
 from sparktab.models.linear import logreg
-from sparktab.session import cached
+from sparktab.session import cached, ensure_checkpoint_dir, side_by_side
+
+
+def fit_all(bases: Mapping[str, object], df: DataFrame) -> dict:
+    """All recipes fitted on the same rows, a few at once. The rows are cached meanwhile; a table that the caller keeps stays kept."""
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.storageLevel.useMemory or df.storageLevel.useDisk
+    whole = df if kept else cached(df)
+    models = dict(zip(bases, side_by_side(lambda learner: learner.fit(whole), list(bases.values()))))
+    if not kept:
+        whole.unpersist()
+    return models
 
 
 def score_all(models: Mapping[str, object], df: DataFrame) -> DataFrame:
@@ -94,12 +105,18 @@ def meta_features(df: DataFrame, models: Sequence[str], classes: int) -> DataFra
 
 
 def out_of_fold(bases: Mapping[str, object], df: DataFrame, classes: int, fold: str = "fold") -> DataFrame:
-    """Each row scored by models that did not see its fold."""
-    parts = None
-    for f in sorted(r[0] for r in df.select(fold).distinct().collect()):
+    """Each row scored by models that did not see its fold. The fits wait for nothing of each other, so a few share the cluster."""
+    ensure_checkpoint_dir(df.sparkSession)
+    folds = sorted(r[0] for r in df.select(fold).distinct().collect())
+
+    def fitted(f) -> dict:
         train = cached(df.where(F.col(fold) != f))
         models = {name: learner.fit(train) for name, learner in bases.items()}
         train.unpersist()
+        return models
+
+    parts = None
+    for f, models in zip(folds, side_by_side(fitted, folds)):
         scored = meta_features(score_all(models, df.where(F.col(fold) == f)), list(bases), classes)
         parts = scored if parts is None else parts.unionByName(scored)
     return parts
@@ -111,10 +128,7 @@ def stack(bases: Mapping[str, object], df: DataFrame, label: str, classes: int,
     rows = cached(out_of_fold(bases, df, classes, fold).select(label, *names))
     meta = logreg(names, label, C, scale=None).fit(rows)
     rows.unpersist()
-    whole = cached(df)
-    models = {name: learner.fit(whole) for name, learner in bases.items()}
-    whole.unpersist()
-    return StackModel(models, meta, classes)
+    return StackModel(fit_all(bases, df), meta, classes)
 
 
 # Blend grids as (start, stop, step) of a half-open range.

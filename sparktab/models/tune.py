@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,19 +11,11 @@ from pyspark.sql import functions as F
 from sparktab.operators.features import fit_scaler
 from sparktab.operators.knn import class_votes, knn_join, literal
 from sparktab.operators.metrics import evaluate
-from sparktab.session import cached
+from sparktab.session import cached, side_by_side
 
-# Fits that run at once.
-FITS = 4
 SCHEMA = "param_id int, params string, fold int, f1 double, f1_macro double, accuracy double"
 
 
-def side_by_side(f: Callable[[dict], object], grid: Sequence[dict], at_once: int = FITS) -> list:
-    """Results in the order of the grid; a few fits share the cluster, so that one's last tasks do not leave it idle."""
-    with ThreadPoolExecutor(min(at_once, max(1, len(grid)))) as pool:
-        return list(pool.map(f, grid))
-
-
 def cv_rows(build: Callable[[dict], object], grid: Sequence[dict], df: DataFrame, label: str, fold: str = "fold") -> list[tuple]:
     """Scores of every parameter set on every fold.
 

@@ -1,6 +1,7 @@
 """Models: optimality, agreement with direct computation, scores on clear classes."""
 
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -255,6 +256,21 @@ def test_stacking_and_choice(blobs):
     assert evaluate(choice.transform(two), "y")["f1"] > 0.95
 
 
+def test_stacking_fits_folds_at_once_and_keeps_the_callers_cache(blobs):
+    """A fit waits until another one has begun; the table that the caller cached is still cached afterwards."""
+    met, folded = threading.Barrier(2, timeout=60), split.stratified_folds(blobs.where("y < 2"), "key", "y", 2, shuffle=False).cache()
+
+    class Waiting(GaussianNB):
+        def fit(self, df):
+            met.wait()
+            return super().fit(df)
+
+    model = ensemble.stack({"one": Waiting(("a",), "y"), "two": GaussianNB(AB, "y")} | {"three": Waiting(AB, "y")}, folded, "y", 2)
+    assert list(model.models) == ["one", "two", "three"] and folded.storageLevel.useMemory
+    assert evaluate(model.transform(folded), "y")["f1"] > 0.95
+    folded.unpersist()
+
+
 def test_choice_never_skips_blending(blobs):
     """Four models and three classes: blending is tried as well, and its weights are applied."""
     bases = {f"bayes{i}": GaussianNB(f, "y") for i, f in enumerate((("a",), ("b",), AB, ("a",)))}
