@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.models.ensemble import best_blend, blend_search, blend_search_classes, f1_weights, pair_grid, score_all, select_best, simplex_grid, stack, triple_grid, vote
+from sparktab.models.ensemble import best_blend, blend_search, blend_search_classes, f1_weights, fit_all, pair_grid, score_all, select_best, simplex_grid, stack, triple_grid, vote
 from sparktab.operators.clean import holdout_by_ids
 from sparktab.operators.encode import LabelCoder
 from sparktab.operators.features import FeatureModel, FeatureSpec
@@ -93,7 +93,7 @@ def choose_ensemble(
     """
     train, valid = train_test(df, key, label, frac, seed)
     train, valid = cached(train), cached(valid)
-    models = {name: learner.fit(train) for name, learner in bases.items()}
+    models = fit_all(bases, train)
     scored = cached(score_all(models, valid))
     probs = [f"probability_{m}" for m in bases]
     singles = [evaluate(scored, label, f"prediction_{m}")["f1"] for m in bases]
@@ -123,10 +123,7 @@ def choose_ensemble(
     if winner[0] == "stacking":
         folded = stratified_folds(df, key, label, stacking_folds, shuffle=False)
         return EnsembleChoice(winner[0], table, {}, None, 0.5, stack(bases, folded, label, classes), classes)
-    whole = cached(df)
-    final = {name: learner.fit(whole) for name, learner in bases.items()}
-    whole.unpersist()
-    return EnsembleChoice(winner[0], table, final, winner[2], winner[3], classes=classes)
+    return EnsembleChoice(winner[0], table, fit_all(bases, df), winner[2], winner[3], classes=classes)
 
 
 def score_grid(model, df: DataFrame, x: str, y: str, step: float = 2.0) -> DataFrame:
