@@ -415,3 +415,44 @@ def test_brackets_of_many_columns_fit_a_task_together(spark, monkeypatch):
     found = ranking.order_values(df, cols, lambda n: [n // 2], limit=480, bins=16)
     assert all(found[c,].values == {150: 150 / 7.0} for c in cols)
     assert len(seen) > 1 and seen[-1] <= 480
+
+
+def test_neighbours_in_tiles_and_boxes_against_brute_force():
+    """Ties, equal rows and single precision: every path of a block finds what plain sorting finds, on a fraction of the work."""
+    rng = np.random.default_rng(3)
+    for d, scale in ((40, None), (40, 0.5), (3, None), (3, 2.0), (1, 30.0), (2, 0.0)):
+        t, q = rng.normal(size=(9000, d)), rng.normal(size=(300, d))
+        t, q = (t, q) if scale is None else (np.round(t * scale), np.round(q * scale))
+        ids = rng.permutation(len(t))
+        for p in (1, 2, 3):
+            rows, cols, dist = knn.nearest(q, t, ids, 7, p)
+            assert np.array_equal(rows, np.repeat(np.arange(len(q)), 7))
+            for i in range(0, len(q), 23):
+                plain = knn._exact(np.tile(q[i], (len(t), 1)), t, p)
+                want = np.lexsort((ids, plain))[:7]
+                assert np.array_equal(ids[cols[7 * i : 7 * i + 7]], ids[want]) and np.allclose(dist[7 * i : 7 * i + 7], plain[want], rtol=1e-12, atol=0)
+
+
+def test_boxes_measure_few_pairs(monkeypatch):
+    """Thirty times as many train rows do not bring many more exact distances."""
+    rng, seen = np.random.default_rng(4), []
+    plain = knn._exact
+    monkeypatch.setattr(knn, "_exact", lambda a, b, p: seen.append(len(a)) or plain(a, b, p))
+    for n in (3000, 90_000):
+        knn.nearest(rng.uniform(size=(500, 3)), rng.uniform(size=(n, 3)), np.arange(n), 5, 2.0)
+    assert seen and sum(seen) < 500 * 2 * 200
+
+
+def test_neighbours_without_cells_copy_rows_by_blocks(spark, monkeypatch):
+    """Rows of many components meet by blocks, same result; queries of a single file are dealt over the cores."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(600, 24)))]
+    df = spark.createDataFrame(rows, "id int, v array<double>").coalesce(1)
+    met, old = [], knn._met
+    monkeypatch.setattr(knn, "_met", lambda left, right, *a: met.append((left.count(), right.count())) or old(left, right, *a))
+    for p in (1.0, 2.0):
+        want = sorted(map(tuple, knn.knn_join(df, df, "id", "v", 4, p).collect()))
+        assert sorted(map(tuple, knn.knn_join(df, df, "id", "v", 4, p, broadcast_bytes=0).collect())) == want
+    assert len(met) == 2 and max(a + b for a, b in met) < 600 * 40  # 64 cells would take 64 copies of a query
+    monkeypatch.setattr(knn, "SPREAD_ROWS", 100)
+    assert knn.knn_join(df, df, "id", "v", 4).rdd.getNumPartitions() > 1
