@@ -39,17 +39,18 @@ def sigmoids(rows: DataFrame, problems: Sequence[Problem], max_iter: int = 50, t
     sides = [(counts.get(a, 0), n - counts.get(a, 0) if b is None else counts.get(b, 0)) for a, b in problems]
     targets = [((up + 1.0) / (up + 2.0), 1.0 / (down + 2.0)) for up, down in sides]
 
-    def passes(w: np.ndarray, step: np.ndarray) -> np.ndarray:
+    def passes(w: np.ndarray, step: np.ndarray, some: np.ndarray) -> np.ndarray:
         def sums(batch: pa.RecordBatch) -> np.ndarray:
             f = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k)
             y = batch.column(1).to_numpy()
-            out = np.zeros((k, len(STEPS) + 6))
-            for j, (a, b) in enumerate(problems):
+            out = np.zeros((len(some), len(STEPS) + 6))
+            for i, j in enumerate(some):
+                a, b = problems[j]
                 part = slice(None) if b is None else (y == a) | (y == b)
-                out[j] = sigmoid_sums(f[part, j], np.where(y[part] == a, *targets[j]), w[j], step[j])
+                out[i] = sigmoid_sums(f[part, j], np.where(y[part] == a, *targets[j]), w[i], step[i])
             return out.ravel()
 
-        return add_up(rows, k * (len(STEPS) + 6), sums).reshape(k, -1)
+        return add_up(rows, len(some) * (len(STEPS) + 6), sums).reshape(len(some), -1)
 
     start = np.array([[0.0, np.log((up + 1.0) / (down + 1.0))] for up, down in sides])
     lines = newton(passes, start, np.ones(k), 1e-9, max_iter, tol)

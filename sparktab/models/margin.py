@@ -52,7 +52,9 @@ def sums_of(x: np.ndarray, sign: np.ndarray, weight: np.ndarray, w: np.ndarray,
     gap = 1 - sign * (at + along)
     on = gap > 0
     z, v = x[on], weight[on]
-    return np.concatenate([losses, -2 * (v * sign[on] * gap[on]) @ z, (2 * (z.T * v) @ z).ravel()])
+    first = -2 * (v * sign[on] * gap[on]) @ z
+    z *= np.sqrt(2 * v)[:, None]
+    return np.concatenate([losses, first, (z.T @ z).ravel()])  # a product with itself costs half of any other
 
 
 Problem = tuple[int, int | None]  # a class against another one, or against the rest
@@ -67,11 +69,13 @@ def totals(rows: DataFrame, points: np.ndarray, steps: np.ndarray, tasks: Sequen
         x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, d - 1)
         x, y, weight, fold = np.hstack([x, np.ones((len(x), 1))]), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy()
         out = np.zeros((count, size))
-        for k, (one, other, left_out) in enumerate(tasks):
+        for one, other, left_out in dict.fromkeys(tasks):  # penalties share their rows
             part = np.ones(len(x), dtype=bool) if other is None else (y == one) | (y == other)
             if left_out is not None:
                 part &= fold != left_out
-            out[k] = sums_of(x[part], np.where(y[part] == one, 1.0, -1.0), weight[part], points[k], steps[k])
+            own, sign, heavy = x[part], np.where(y[part] == one, 1.0, -1.0), weight[part]
+            for k in [k for k, task in enumerate(tasks) if task == (one, other, left_out)]:
+                out[k] = sums_of(own, sign, heavy, points[k], steps[k])
         return out.ravel()
 
     return add_up(rows, count * size, sums).reshape(count, size)
@@ -90,30 +94,35 @@ def held_margins(rows: DataFrame, left_out: np.ndarray) -> DataFrame:
     return rows.mapInArrow(scored, "margins array<double>, y int")
 
 
-def newton(passes: Callable[[np.ndarray, np.ndarray], np.ndarray], w: np.ndarray, C: np.ndarray, ridge: float, max_iter: int, tol: float) -> np.ndarray:
-    """Minima of ``ridge * |w|^2 / 2 + C * loss``, a line for each problem; a pass gives the sums described at ``sums_of``."""
-    d, step = w.shape[1], np.zeros_like(w)
-    first = None
-    now = passes(w, step)
+def newton(passes: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], w: np.ndarray, C: np.ndarray, ridge: float, max_iter: int, tol: float) -> np.ndarray:
+    """Minima of ``ridge * |w|^2 / 2 + C * loss``, a line for each problem; a pass gives the sums described at ``sums_of`` for the problems it is asked for: those
+    that have reached their minimum, or cannot get nearer to it, are left out."""
+    w, d = w.copy(), w.shape[1]
+    now = passes(w, np.zeros_like(w), np.arange(len(w)))
+    first, moving = None, np.ones(len(w), dtype=bool)
     for _ in range(max_iter):
         grads = ridge * w + C[:, None] * now[:, len(STEPS) : len(STEPS) + d]
         norms = np.abs(grads).max(axis=1)
         first = norms if first is None else first
-        open_ = norms > tol * np.maximum(first, 1e-12)
-        if not open_.any():
+        moving &= norms > tol * np.maximum(first, 1e-12)
+        some = np.flatnonzero(moving)
+        if not len(some):
             break
-        curves = ridge * np.eye(d) + C[:, None, None] * now[:, len(STEPS) + d :].reshape(-1, d, d)
-        step = np.where(open_[:, None], -np.linalg.solve(curves, grads[:, :, None])[:, :, 0], 0.0)
-        value = 0.5 * ridge * (w * w).sum(axis=1) + C * now[:, 0]
-        after = passes(w, step)
-        along = np.stack([0.5 * ridge * ((w + t * step) ** 2).sum(axis=1) + C * after[:, k] for k, t in enumerate(STEPS)], axis=1)
-        slope = (grads * step).sum(axis=1)
+        at, c, own = w[some], C[some], now[some]
+        curves = ridge * np.eye(d) + c[:, None, None] * own[:, len(STEPS) + d :].reshape(-1, d, d)
+        step = -np.linalg.solve(curves, grads[some][:, :, None])[:, :, 0]
+        value = 0.5 * ridge * (at * at).sum(axis=1) + c * own[:, 0]
+        after = passes(at, step, some)
+        along = np.stack([0.5 * ridge * ((at + t * step) ** 2).sum(axis=1) + c * after[:, k] for k, t in enumerate(STEPS)], axis=1)
+        slope = (grads[some] * step).sum(axis=1)
         good = along <= value[:, None] + 1e-4 * np.array(STEPS) * slope[:, None] + 1e-12 * np.abs(value[:, None])
         size = np.where(good.any(axis=1), np.array(STEPS)[good.argmax(axis=1)], 0.0)
-        w = w + size[:, None] * step
-        if not (size > 0).any():
-            break
-        now = after if (size[open_] == 1).all() else passes(w, np.zeros_like(w))
+        w[some] = at + size[:, None] * step
+        moving[some] = size > 0
+        now[some] = after
+        short = some[(size > 0) & (size < 1)]
+        if len(short):
+            now[short] = passes(w[short], np.zeros_like(w[short]), short)
     return w
 
 
@@ -197,7 +206,7 @@ class SquaredHinge:
         tasks = [(*p, k) for _, k in settings for p in problems]
         C = np.repeat([float(c) for c, _ in settings], len(problems))
         try:
-            w = newton(lambda at, step: totals(rows, at, step, tasks), np.zeros((len(tasks), d)), C, 1.0, self.max_iter, self.tol)
+            w = newton(lambda at, step, some: totals(rows, at, step, [tasks[i] for i in some]), np.zeros((len(tasks), d)), C, 1.0, self.max_iter, self.tol)
             parts = w.reshape(len(penalties), 1 + folds, len(problems), d)
             found = then(held_margins(rows, parts[0, 1:]), problems) if then else None
         finally:

@@ -400,3 +400,23 @@ def test_ascent_over_blocks_looks_at_every_pair_once(blobs, monkeypatch):
             got = nca_fit(df, "key", "x", "y", iterations=3, block_rows=120).objective
         want = want or got
         assert np.allclose(got, want, atol=1e-9)
+
+
+def test_newton_leaves_out_problems_that_are_done():
+    """Quadratics, one of them solved at the start: no pass asks for it again, and a problem that cannot move does not hold up the end."""
+    from sparktab.models.margin import STEPS, newton
+
+    goal, asked = np.array([[0.0, 0.0], [3.0, -1.0], [1.0, 1.0]]), []
+
+    def passes(w, step, some):
+        asked.append(list(some))
+        rows = []
+        for i, j in enumerate(some):
+            losses = [((w[i] + t * step[i] - goal[j]) ** 2).sum() if j < 2 else 5.0 + (np.abs(step[i]).sum() > 0) for t in STEPS]
+            rows.append([*losses, *(2 * (w[i] + step[i] - goal[j])), 2, 0, 0, 2])
+        return np.array(rows, dtype=float)
+
+    start = np.zeros((3, 2))
+    out = newton(passes, start, np.ones(3), 0.0, 50, 1e-9)
+    assert np.allclose(out[1], goal[1]) and not start.any() and (out[[0, 2]] == 0).all()
+    assert asked[0] == [0, 1, 2] and all(0 not in a for a in asked[1:]) and len(asked) == 2
