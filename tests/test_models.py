@@ -17,7 +17,7 @@ from sparktab.models.linear import linear_svm, logreg
 from sparktab.models.margin import SquaredHinge
 from sparktab.models.mlp import backward, batch_loss, flatten, forward, initial_weights, mlp, one_hot, unflatten
 from sparktab.models import nca
-from sparktab.models.nca import bagged_knn, hit_chance, joined_sums, merged, moments, nca_block, nca_fit, row_sums, scatter, slope
+from sparktab.models.nca import _in_parts, bagged_knn, by_cells, hit_chance, joined_sums, merged, moments, nca_block, nca_fit, row_sums, scatter, slope, swept
 from sparktab.models.trees import gbt, out_of_bag, random_forest
 from sparktab.operators import split
 from sparktab.operators.encode import fit_label
@@ -402,6 +402,77 @@ def test_ascent_over_blocks_looks_at_every_pair_once(blobs, monkeypatch):
         assert np.allclose(got, want, atol=1e-9)
 
 
+def test_sums_by_cells_and_tiles_are_the_dense_ones(monkeypatch):
+    """Value and gradient without a look at every pair, or with one look: copies, equal rows, far rows, a class of one row, parts of a block."""
+    monkeypatch.setattr(nca, "GRID_ROWS", 170)
+    monkeypatch.setattr(nca, "TILE", 64)
+    g = np.random.default_rng(3)
+    x = np.concatenate([g.normal(size=(400, 4)), g.normal(size=(100, 4)) * 8, [[90.0, 0, 0, 0], [0, 0, 400.0, 0]]])
+    y, n = g.integers(0, 3, 502), g.integers(1, 4, 502).astype(float)
+    x[:60], y[:30], y[499], n[400:] = x[60:120], y[60:90], 7, 1
+    for dim in (1, 2, 3):
+        A = g.normal(size=(dim, 4))
+        value, grad = nca_block(A, np.repeat(x, n.astype(int), axis=0), np.repeat(y, n.astype(int)))
+        order = np.argsort(y, kind="stable")
+        for sums, copies in ((moments(A, (x, y), (x, y, n), True), n), (swept(A, x[order], y[order], n[order]), n[order])):
+            total = slope(sums, 4, copies)
+            assert total[0] == pytest.approx(value, abs=1e-9)
+            assert np.allclose(2 * A @ total[1:].reshape(4, 4), grad, atol=1e-7)
+        if dim < 3:
+            got, gradient = by_cells(lambda f, given=None: _in_parts(f, 0, (x, y, n), given), A, 4, 1.0)
+            assert got == pytest.approx(value, abs=1e-9)
+            assert np.allclose(gradient(), grad, atol=1e-7)
+
+
+def test_work_of_a_plane_map_grows_with_the_rows(monkeypatch):
+    """One measure of 120,000 rows, that is 14 billion pairs, takes no pair of them; the value is right for every 400th row."""
+    g = np.random.default_rng(5)
+    y = g.integers(0, 4, 120_000)
+    x, n, A = g.normal(size=(120_000, 3)) + y[:, None], np.ones(120_000), g.normal(size=(2, 3))
+    hits, own = [], _in_parts(lambda place, rows, _: ({}, rows), 0, (x, y, n), None)[1]
+    assert sum(len(rows[0]) for rows in own) == 120_000
+    monkeypatch.setattr(nca, "FAR", 0.0)
+    monkeypatch.setattr(nca, "moments", None)
+
+    def each(f, given=None):
+        made = _in_parts(f, 0, (x, y, n), given)
+        hits.append(made)
+        return made
+
+    value, gradient = by_cells(each, A, 3, 120_000)
+    assert gradient().shape == (2, 3) and len(hits) == 3
+    monkeypatch.undo()
+    some = np.arange(0, 120_000, 400)
+    want = moments(A, (x[some], y[some]), (x, y), some)
+    z = x @ A.T
+    every, mine = nca.read_off(nca.placed_rows(z[some], y[some]), nca.fields(hits[0][0], slice(0, 3), slice(0, 3)))
+    assert np.allclose((mine[:, 0] - 1) / (every[:, 0] - 1), slope_chances(want, 3), atol=1e-10)
+    assert 0 < value < 1
+
+
+def slope_chances(sums, d):
+    width = 1 + d * (d + 1) // 2
+    return sums[:, 1 + width] / sums[:, 1]
+
+
+def test_ways_to_learn_a_map_agree(blobs, monkeypatch):
+    """One task, all pairs of blocks, cells in one and in many tasks, cells given up; copies are rows of their own."""
+    df = blobs.select("key", "y", F.array("a", "b", (F.col("a") * F.col("b"))).alias("x"), (F.col("key") % 3 + 1).cast("int").alias("copies"))
+    rows = df.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    for dim in (2, 3):
+        want = nca_fit(rows, "key", "x", "y", dim=dim, iterations=4)
+        for size, cells, broadcast in ((2048, 4096, 64 << 20), (100, 4096, 64 << 20), (100, 4096, 0), (100, 0, 0)):
+            with monkeypatch.context() as m:
+                m.setattr(nca, "CELLS", cells)
+                m.setattr(nca, "BROADCAST_BYTES", broadcast)
+                got = nca_fit(df, "key", "x", "y", dim=dim, iterations=4, block_rows=size, copies="copies")
+            assert np.allclose(got.objective, want.objective, atol=1e-9)
+            assert np.allclose(got.A.T @ got.A, want.A.T @ want.A, atol=1e-7)
+    for together in (1, 20):
+        got = nca_fit(df, "key", "x", "y", iterations=3, block_rows=100, copies="copies", together=together)
+        assert np.allclose(got.objective, nca_fit(rows, "key", "x", "y", iterations=3).objective, atol=1e-9)
+
+
 def test_newton_leaves_out_problems_that_are_done():
     """Quadratics, one of them solved at the start: no pass asks for it again, and a problem that cannot move does not hold up the end."""
     from sparktab.models.margin import STEPS, newton
